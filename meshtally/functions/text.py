@@ -26,7 +26,8 @@ _MARKED, _PLAIN = _plain_letters()
 
 def unaccented(c: Column) -> Column:
     """Upper case, trimmed, without accents: the stored comparison key."""
-    return F.regexp_replace(F.translate(F.upper(F.trim(c)), _MARKED, _PLAIN), r"\p{M}", "")
+    stripped = F.btrim(c, F.lit(" \t\n\r\f\v"))
+    return F.regexp_replace(F.translate(F.upper(stripped), _MARKED, _PLAIN), r"\p{M}", "")
 
 
 def comparable(c: Column) -> Column:

@@ -22,16 +22,16 @@ PATHS = {"so_rua": (False, False), "rua_bairro": (False, True), "rua_numero": (T
 
 
 def group_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], suffix: str = "_mediana") -> DataFrame:
-    """Attach the exact median of each value within its group."""
-    out = df
-    for v in values:
-        med = exact_percentiles(df, keys, v, {f"{v}{suffix}": 0.5})
-        renamed = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], f"{v}{suffix}")
-        match = F.lit(True)
-        for k in keys:
-            match = match & F.col(k).eqNullSafe(F.col(f"_m_{k}"))
-        out = out.join(renamed, match, "left").drop(*[f"_m_{k}" for k in keys])
-    return out
+    """Attach the exact median of each value within its group; all values in one pass."""
+    long = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(v).alias("_name"), F.col(v).cast("double").alias("_value")) for v in values])).alias("_x"))
+    med = exact_percentiles(long.select(*keys, "_x.*"), [*keys, "_name"], "_value", {"_med": 0.5})
+    wide = med.groupBy(*[F.col(k).alias(f"_m_{k}") for k in keys]).agg(
+        *[F.max(F.when(F.col("_name") == v, F.col("_med"))).alias(f"{v}{suffix}") for v in values])
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_m_{k}"))
+    return df.join(wide, match, "left").drop(*[f"_m_{k}" for k in keys])
 
 
 def ratio_to_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "razao") -> DataFrame:

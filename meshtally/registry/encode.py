@@ -1,0 +1,120 @@
+"""Byte factory: ballot reports and vote records written from table rows.
+
+Used to derive binary inputs from the given tables, and by the tests.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def field(tag: int, body: bytes) -> bytes:
+    n = len(body)
+    if n < 0x80:
+        return bytes([tag, n]) + body
+    size = n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag, 0x80 | len(size)]) + size + body
+
+
+def whole(value: int) -> bytes:
+    """Signed big-endian body of an integer."""
+    return int(value).to_bytes(int(value).bit_length() // 8 + 1, "big", signed=True)
+
+
+def seq(*parts: bytes) -> bytes:
+    return field(0x30, b"".join(parts))
+
+
+def num(value: int) -> bytes:
+    return field(0x02, whole(value))
+
+
+def ctx(n: int, value: int) -> bytes:
+    return field(0x80 | n, whole(value))
+
+
+def votable(kind: int, count: int, party: int | None = None, number: int | None = None) -> bytes:
+    who = [] if party is None else [field(0xA3, num(party) + num(party if number is None else number))]
+    return seq(ctx(1, kind), ctx(2, count), *who, num(1), field(0x04, b"seal"))
+
+
+def report(town: int = 310, zone: int = 17, place: int = 1074, section: int = 1, phase: int = 2, run: int = 452,
+           elections: list | None = None, results: bytes | None = None, head: int = 8, before_groups: int = 3) -> bytes:
+    """A ballot report. `elections`: [(code, [(turnout, [(office, [votable bytes])])])].
+
+    `head` and `before_groups` move the two lists away from their usual position.
+    """
+    blocks = []
+    for code, groups in elections or []:
+        gs = [seq(num(0), num(turnout), seq(*[seq(ctx(0, office), num(0), seq(*votes)) for office, votes in offices]))
+              for turnout, offices in groups]
+        blocks.append(seq(num(code), *[num(0)] * before_groups, seq(*gs)))
+    ident = seq(seq(num(town), num(zone)), num(place), num(section))
+    inner = [seq(num(1), ctx(1, run)), field(0x0A, bytes([phase])), num(0), ident]
+    inner += [num(0)] * (head - 4) + [results if results is not None else seq(*blocks)]
+    return seq(num(1), field(0x04, seq(*inner)))
+
+
+def record(elections: list, supplementary: bool = False) -> bytes:
+    """A vote record: [(code, [(office, [(type, typed digits or None)])])]."""
+    out = []
+    for code, offices in elections:
+        votes = [seq(ctx(1, office), num(1), seq(*[
+            seq(field(0x0A, bytes([kind])), *([field(0x12, typed.encode())] if typed else [])) for kind, typed in lines]))
+            for office, lines in offices]
+        middle = [field(0x0A, b"\x01"), field(0x0A, b"\x01")] if supplementary else []
+        out.append(seq(num(code), *middle, seq(*votes)))
+    body = field(0xA1 if supplementary else 0xA0, b"".join(out))
+    return seq(seq(num(0)), seq(num(0)), seq(num(1), field(0x0A, b"\x02"), seq(num(0)), body))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Lines of one file together; a file has a handful of lines."""
+    line = F.struct("linha", "cargo", "tipo", "partido", "numero", "quantidade")
+    return rows.groupBy("arquivo", "municipio", "zona", "local", "secao", "fase", "quebra", "desvio").agg(
+        F.array_sort(F.collect_list(line)).alias("linhas"))
+
+
+def report_files(rows: DataFrame) -> DataFrame:
+    """(arquivo, content) from rows of the `ballot` relation.
+
+    `quebra` cuts the file short; `desvio` declares one voter too many.
+    """
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                by_office: dict[int, list] = {}
+                for v in r.linhas:
+                    by_office.setdefault(v["cargo"], []).append(v)
+                groups = [(sum(v["quantidade"] for v in vs) + r.desvio, [(office, [
+                    votable(v["tipo"], v["quantidade"], v["partido"], v["numero"]) for v in vs])])
+                    for office, vs in sorted(by_office.items())]
+                data = report(r.municipio, r.zona, r.local, r.secao, r.fase, elections=[(619, groups)])
+                out.append((r.arquivo, data[:len(data) - 3] if r.quebra else data))
+            yield pd.DataFrame(out, columns=["arquivo", "content"])
+
+    return _grouped(rows).mapInPandas(write, "arquivo string, content binary")
+
+
+def record_files(rows: DataFrame) -> DataFrame:
+    """Vote records of the same rows: one typed vote per line, types in record numbering."""
+    kinds = {1: 2, 2: 3, 3: 4, 4: 1}
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                by_office: dict[int, list] = {}
+                for v in r.linhas:
+                    typed = None if v["numero"] is None else str(v["numero"])
+                    by_office.setdefault(v["cargo"], []).append((kinds[v["tipo"]], typed))
+                data = record([(619, sorted(by_office.items()))])
+                out.append((r.arquivo, data[:5] if r.quebra else data))
+            yield pd.DataFrame(out, columns=["arquivo", "content"])
+
+    return _grouped(rows).mapInPandas(write, "arquivo string, content binary")
