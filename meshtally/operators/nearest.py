@@ -58,15 +58,27 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
             .dropna(subset=["_tx", "_ty"])
             # Targets on one spot are one candidate: the smallest id answers for it.
             .groupBy(*g, "_tx", "_ty").agg(F.min("_tid").alias("_tid")))
+    goal = settle(goal)
+    sizes = goal.groupBy(*g).agg(F.count("*").alias("n")).agg(F.max("n"), F.count("*"), F.sum("n")).first()
+    kind = goal.schema["_tid"].dataType
+    if sizes[0] is None:
+        return queries.select("*", F.lit(None).cast(kind).alias(target_id),
+                              F.lit(None).cast("double").alias(distance))
+    if sizes[0] <= leaf_targets:
+        # Every group is one short list: a single lookup, no grid.
+        lists = goal.groupBy(*g).agg(F.collect_list(F.struct(
+            F.col("_tx").alias("x"), F.col("_ty").alias("y"), F.col("_tid").alias("id"))).alias("_cand"))
+        table = F.broadcast(lists) if sizes[1] + sizes[2] <= broadcast_limit else lists
+        found = queries.join(table, g, "left").withColumn("_best", _closest(qx, qy))
+        return found.select(*[F.col(c) for c in queries.columns], F.col("_best.id").alias(target_id),
+                            F.sqrt("_best.d2").alias(distance))
+
     spread = goal.agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty")).unionAll(
         queries.agg(F.min(qx), F.max(qx), F.min(qy), F.max(qy)))
     box = spread.toDF("a", "b", "c", "d").agg(F.min("a"), F.max("b"), F.min("c"), F.max("d")).first()
-    if box[0] is None or box[2] is None:
-        return queries.select("*", F.lit(None).cast(goal.schema["_tid"].dataType).alias(target_id),
-                              F.lit(None).cast("double").alias(distance))
     side = max(box[1] - box[0], box[3] - box[2], 1e-9) * (1 + 1e-9)
-    goal = settle(goal.select("*", _cell(F.col("_tx"), box[0], side).alias("_cx"),
-                              _cell(F.col("_ty"), box[2], side).alias("_cy")))
+    goal = goal.select("*", _cell(F.col("_tx"), box[0], side).alias("_cx"),
+                       _cell(F.col("_ty"), box[2], side).alias("_cy"))
     # Points by number of the dyadic cell.
     placed = queries.select("*", _cell(qx, box[0], side).alias("_cx"),
                             _cell(qy, box[2], side).alias("_cy"))
@@ -76,7 +88,7 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
 
     leaves, levels = _build_leaves(goal, occupied, g, leaf_targets)
     if leaves is None:
-        return queries.select("*", F.lit(None).cast(goal.schema["_tid"].dataType).alias(target_id),
+        return queries.select("*", F.lit(None).cast(kind).alias(target_id),
                               F.lit(None).cast("double").alias(distance))
     size = leaves.agg(F.sum(F.size("_cand")), F.count("*")).first()
     table = F.broadcast(leaves) if size[0] + size[1] <= broadcast_limit else leaves
@@ -84,15 +96,11 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
     keyed = placed.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("_level"))
     keyed = keyed.select("*", F.expr(f"shiftright(_cx, {DEPTH} - _level)").alias("_lx"),
                          F.expr(f"shiftright(_cy, {DEPTH} - _level)").alias("_ly"))
-    best = F.array_min(F.transform("_cand", lambda t: F.struct(
-        ((qx - t["x"]) * (qx - t["x"]) + (qy - t["y"]) * (qy - t["y"])).alias("d2"),
-        t["id"].alias("id"))))
     hit = (keyed.join(table, [*g, "_level", "_lx", "_ly"], "left")
-           .withColumn("_best", best))
+           .withColumn("_best", _closest(qx, qy)))
     # A row finds its one leaf at one level. Rows with none keep a single null copy.
     reachable = goal.select(*g).distinct().withColumn("_has", F.lit(True))
-    n_groups = reachable.count()
-    reachable = F.broadcast(reachable) if n_groups <= broadcast_limit else reachable
+    reachable = F.broadcast(reachable) if sizes[1] <= broadcast_limit else reachable
     hit = hit.join(reachable, g, "left")
     usable = F.coalesce(F.col("_has"), F.lit(False)) & qx.isNotNull() & qy.isNotNull()
     alone = ~usable & (F.col("_level") == levels[0])
@@ -102,6 +110,12 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
                     F.when(usable, F.sqrt("_best.d2")).alias(distance)))
 
 
+def _closest(qx: Column, qy: Column) -> Column:
+    """(d2, id) of the candidate closest to the row's point; null without either."""
+    return F.when(qx.isNotNull() & qy.isNotNull(), F.array_min(F.transform("_cand", lambda t: F.struct(
+        ((qx - t["x"]) * (qx - t["x"]) + (qy - t["y"]) * (qy - t["y"])).alias("d2"), t["id"].alias("id")))))
+
+
 def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targets: int):
     pairs = (occupied.select(*g).distinct()
              .join(goal.groupBy(*g).agg(F.count("*").alias("_n")), g)

@@ -15,34 +15,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _windows(keys: Sequence[str], order: Sequence[Column | str]):
-    inside = Window.partitionBy(*keys, "_blk").orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy("_blk") if keys else Window.orderBy("_blk")
-    return inside, across
+def _blocks(df: DataFrame, keys: Sequence[str], block: Column):
+    """Rows with their piece `_key` (key and block in one column), and the two windows.
 
-
-def _rejoin(rows: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    on = [*keys, "_blk"]
-    renamed = blocks.select(*[F.col(k).alias(f"_b_{k}") for k in on],
-                            *[c for c in blocks.columns if c not in on])
-    match = F.lit(True)
-    for k in on:
-        match = match & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
-    return rows.join(renamed, match, "left").drop(*[f"_b_{k}" for k in on])
+    One key column serves the window and the join after it, so rows are shuffled
+    once; it is never null, and null parts of a key still match each other.
+    """
+    rows = df.withColumn("_key", F.struct(*keys, block.alias("_blk")))
+    whole = [F.col(f"_key.{k}") for k in keys]
+    across = (Window.partitionBy(*whole) if keys else Window.partitionBy()).orderBy("_key._blk")
+    return rows, Window.partitionBy("_key"), across
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                    block: Column, out: str = "previous") -> DataFrame:
     """`value` of the row before this one in the order of its key (null on the first)."""
-    rows = df.withColumn("_blk", block)
-    inside, across = _windows(keys, order)
+    rows, inside, across = _blocks(df, keys, block)
+    inside = inside.orderBy(*order)
     rows = (rows.withColumn("_in", F.lag(value).over(inside))
             .withColumn("_first", F.row_number().over(inside) == 1))
-    tails = (rows.groupBy(*keys, "_blk").agg(F.max_by(value, F.struct(*order)).alias("_tail"))
+    tails = (rows.groupBy("_key").agg(F.max_by(value, F.struct(*order)).alias("_tail"))
              .withColumn("_carry", F.lag("_tail").over(across)).drop("_tail"))
-    return (_rejoin(rows, tails, keys)
+    return (rows.join(tails, "_key")
             .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_in")))
-            .drop("_blk", "_in", "_first", "_carry"))
+            .drop("_key", "_in", "_first", "_carry"))
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
@@ -51,44 +47,44 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Col
 
     With no keys it numbers the whole table; only the block counts meet in one task.
     """
-    rows = df.withColumn("_blk", block)
-    inside, across = _windows(keys, order)
+    rows, inside, across = _blocks(df, keys, block)
+    inside = inside.orderBy(*order)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    counts = (rows.groupBy(*keys, "_blk").agg(F.count("*").alias("_n"))
+    counts = (rows.groupBy("_key").agg(F.count("*").alias("_n"))
               .withColumn("_carry", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
     rows = rows.withColumn("_in", F.row_number().over(inside))
-    return (_rejoin(rows, counts, keys)
+    return (rows.join(counts, "_key")
             .withColumn(out, (F.col("_carry") + F.col("_in") - 1 + start).cast("bigint"))
-            .drop("_blk", "_in", "_carry"))
+            .drop("_key", "_in", "_carry"))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                 block: Column, out: str = "running") -> DataFrame:
     """Sum of `value` up to and including this row; order keys must be unique per key."""
-    rows = df.withColumn("_blk", block)
-    inside, across = _windows(keys, order)
+    rows, inside, across = _blocks(df, keys, block)
+    inside = inside.orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    sums = (rows.groupBy(*keys, "_blk").agg(F.sum(value).alias("_s"))
+    sums = (rows.groupBy("_key").agg(F.sum(value).alias("_s"))
             .withColumn("_carry", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s"))
     rows = rows.withColumn("_in", F.sum(value).over(upto))
-    return (_rejoin(rows, sums, keys).withColumn(out, F.col("_carry") + F.col("_in"))
-            .drop("_blk", "_in", "_carry"))
+    return (rows.join(sums, "_key").withColumn(out, F.col("_carry") + F.col("_in"))
+            .drop("_key", "_in", "_carry"))
 
 
 def last_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                block: Column, out: str = "known") -> DataFrame:
     """Latest non-null `value` at or before each row in the order of its key."""
-    rows = df.withColumn("_blk", block)
-    inside, across = _windows(keys, order)
+    rows, inside, across = _blocks(df, keys, block)
+    inside = inside.orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     position = F.when(F.col(value).isNotNull(), F.struct(*order))
-    tails = (rows.groupBy(*keys, "_blk").agg(F.max_by(value, position).alias("_tail"))
+    tails = (rows.groupBy("_key").agg(F.max_by(value, position).alias("_tail"))
              .withColumn("_carry", F.last("_tail", ignorenulls=True).over(before)).drop("_tail"))
     rows = rows.withColumn("_in", F.last(value, ignorenulls=True).over(upto))
-    return (_rejoin(rows, tails, keys).withColumn(out, F.coalesce("_in", "_carry"))
-            .drop("_blk", "_in", "_carry"))
+    return (rows.join(tails, "_key").withColumn(out, F.coalesce("_in", "_carry"))
+            .drop("_key", "_in", "_carry"))
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],

@@ -11,6 +11,7 @@ from meshtally.operators import guards
 from meshtally.operators.runs import heaviest_per_key, run_starts
 from meshtally.operators.shares import dominant_member, member_shares, weighted
 from meshtally.schemas import ADDRESS_COLUMNS, STREET
+from meshtally.session import settle
 
 NUMBER_BLOCK = 1000   # house numbers per task-sized piece of a street
 
@@ -56,8 +57,9 @@ def build_runs(rows: DataFrame) -> DataFrame:
 
 
 def build_index(counts: DataFrame) -> StreetIndex:
-    rows = usable_rows(counts)
-    by_street = member_shares(rows, STREET, "id_regiao")
+    # Each of these feeds several tables of the index.
+    rows = settle(usable_rows(counts))
+    by_street = settle(member_shares(rows, STREET, "id_regiao"))
     ambiguous = by_street.where("n_regioes > 1")
     named = rows.where("bairro <> ''")
     # A locality only helps on an ambiguous street that runs through more than one.

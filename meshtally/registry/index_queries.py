@@ -97,7 +97,7 @@ def index(s):
 def stored_index(s):
     """The index as its readers see it: five stored tables."""
     i = index(s)
-    return SI.StreetIndex(*[settle(t) for t in (i.runs, i.streets, i.street_regions, i.street_localities, i.localities)])
+    return SI.StreetIndex(settle(i.runs), settle(i.streets), i.street_regions, settle(i.street_localities), i.localities)
 
 
 def _accuracy(s):

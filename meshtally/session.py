@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,9 @@ def build_session(app: str = "meshtally", cores: int | str = "*", partitions: in
     )
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -33,12 +38,17 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    return tempfile.mkdtemp(prefix="spark-meshtally-")
+    if "dir" not in _LOCAL:
+        _LOCAL["dir"] = tempfile.mkdtemp(prefix="spark-meshtally-")
+    return _LOCAL["dir"]
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise a frame and cut its lineage with a reliable checkpoint."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Store a frame in the shared folder and continue from the stored table.
+
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation, and the
+    next plan starts from a table of known size with prunable columns.
+    """
+    path = os.path.join(shared_dir(df.sparkSession), f"settled-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
