@@ -23,7 +23,7 @@ from meshtally.session import settle
 
 DEPTH = 30             # finest grid: the square's side / 2^30
 OCCUPANCY_DEPTH = 12   # query cells are counted no finer than this
-LEAF_TARGETS = 48      # a query cell with at most this many candidates is a leaf
+LEAF_TARGETS = 128    # a query cell with at most this many candidates is a leaf
 BROADCAST_CANDIDATES = 1_000_000   # about 40 MB of leaf table; beyond it, a shuffled join
 
 

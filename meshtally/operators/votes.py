@@ -105,12 +105,13 @@ def candidate_results(votes: DataFrame, where: Sequence[str],
     """Votes and share of valid votes per candidate (nominal votes only)."""
     kind = F.col("tipo_voto")
     valid = V.is_valid_vote(kind) if list_votes_valid else kind == "nominal"
-    sums = (votes.where(valid)
-            .groupBy(*where, *CONTEST, "tipo_voto", "nm_votavel", "sg_partido")
-            .agg(F.sum("qt_votos").alias("votos")))
-    whole = shares.with_totals(sums, [*where, *CONTEST], validos=F.sum("votos"))
-    return (whole.where(F.col("tipo_voto") == "nominal").drop("tipo_voto")
-            .withColumn("pct", numbers.percent(F.col("votos"), F.col("validos"))))
+    keys = [*where, *CONTEST]
+    rows = votes.where(kind == "nominal").groupBy(*keys, "nm_votavel", "sg_partido").agg(
+        F.sum("qt_votos").alias("votos"))
+    # The denominator is one small row per contest, summed from the same stored votes.
+    whole = votes.where(valid).groupBy(*keys).agg(F.sum("qt_votos").alias("validos"))
+    return rows.join(whole, keys).select(*rows.columns, "validos").withColumn(
+        "pct", numbers.percent(F.col("votos"), F.col("validos")))
 
 
 def top_candidates(results: DataFrame, where: Sequence[str], n: int) -> DataFrame:

@@ -11,6 +11,7 @@ from meshtally.plans import live as L
 from meshtally.plans import publish as PUB
 from meshtally.registry.common import (CLEAN_VOTE, MESH, REGION_VOTE, SECTION, VOTER, pct_sql, query, tidy)
 from meshtally.registry.mesh_queries import mesh, voters
+from meshtally.session import settle
 
 RV = dict(**MESH, region_vote=REGION_VOTE)
 
@@ -27,7 +28,8 @@ def clean(s):
 
 
 def region_votes(s):
-    return V.votes_per_region(s.vote, mesh(s)[1])
+    """Votes by region as later steps find them: a stored table."""
+    return settle(V.votes_per_region(s.vote, mesh(s)[1]))
 
 
 def placed(s):
@@ -140,7 +142,7 @@ QUERIES = {
         lambda s: tidy(V.of_office(s.vote_raw, "Presidénte").groupBy("SG_UF").agg(F.count("*").alias("linhas"))),
         "SELECT SG_UF, COUNT(*) AS linhas FROM {vote_raw} WHERE UPPER(DS_CARGO) = 'PRESIDENTE' GROUP BY 1"),
     "votes_per_region": query(
-        lambda s: tidy(region_votes(s)),
+        lambda s: tidy(V.votes_per_region(s.vote, mesh(s)[1])),
         f"SELECT id_regiao, sg_uf, {_Y}, turno, cargo, sq_candidato, nr_votavel, nm_votavel, sg_partido, tipo_voto, qt_votos FROM {{region_vote}}", **RV),
     "reallocated_votes": query(
         lambda s: tidy(_moved(s)),

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from meshtally.constants import OFFICES
+from meshtally.functions.text import office_slug
 from meshtally.plans import live
 
 LINES = ("array<struct<cargo:int,tipo:string,quantidade:bigint,partido:bigint,numero:bigint>>")
@@ -150,13 +152,16 @@ def current_results(spark: SparkSession, folder: str, mapped: DataFrame, limits:
                     candidates: DataFrame | None = None) -> DataFrame:
     sums = spark.read.parquet(f"{folder}/deltas").groupBy("id_regiao", "cargo", "tipo", "numero").agg(
         F.sum("votos").alias("votos"))
-    results = live.live_shares(sums)
+    towns = mapped.select("id_regiao", "cd_municipio_ibge", "uf").distinct()
+    results = live.live_shares(sums).join(towns, "id_regiao").withColumn(
+        "cargo", office_slug(F.try_element_at(F.create_map(*[F.lit(x) for o in OFFICES.items() for x in o]),
+                                              F.col("cargo"))))
     if candidates is None:
         results = results.withColumn("nome", F.col("numero").cast("string"))
     else:
-        results = live.named_votables(results, candidates, F.lit("presidente"))
-    towns = mapped.select("id_regiao", "cd_municipio_ibge").distinct()
-    return live.withhold(results.join(towns, "id_regiao"), limits, ["cd_municipio_ibge"])
+        unit = F.when(F.col("cargo") == "presidente", "presidente").otherwise(F.upper("uf"))
+        results = live.named_votables(results, candidates, unit)
+    return live.withhold(results, limits, ["cd_municipio_ibge"])
 
 
 def _received(spark: SparkSession, folder: str) -> DataFrame:

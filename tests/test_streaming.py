@@ -46,6 +46,11 @@ def test_retransmission_replaces_and_resumes(spark, tmp_path):
     assert [(r.secao, r.motivo) for r in B.latest(spark, out, "pendentes").collect()] == []
     assert {r.situacao: r.secoes for r in B.status_counts(spark, out).collect()} == {"Totalizado": 3}
 
+    people = spark.createDataFrame([("presidente", "presidente", "13", "Fulana", "PT")],
+                                   "unidade string, cargo string, numero string, nome string, partido string")
+    named = {r.numero: r.nome for r in B.current_results(spark, out, mapped, limits, people).where("tipo = 'nominal'").collect()}
+    assert named == {13: "Fulana"}
+
     # a region with more votes for a name than its municipality is withheld
     put([report(2, "Totalizado", 5, [(1, "nominal", 5, 13, 13), (1, "nominal", 6, 22, 22)])])
     one_pass()
