@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["votes_per_place", "votes_per_region", "candidate_results", "territory_rollup", "nearest_region_per_address",
             "nearest_supplier_per_customer", "address_counts", "index_runs", "index_streets", "resolve_addresses",
-            "asof_events", "ambiguous_coverage", "order_price_percentiles", "ballot_votes", "comparable_text",
+            "asof_events", "ambiguous_coverage", "order_price_percentiles", "live_results", "comparable_text",
             "reconcile_totals"]
 
 

@@ -18,11 +18,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from meshtally.session import settle
 
 DEPTH = 30             # finest grid: the square's side / 2^30
 OCCUPANCY_DEPTH = 12   # query cells are counted no finer than this
+FIRST_LEVEL = 2        # the descent starts at 4 x 4 cells
 LEAF_TARGETS = 128    # a query cell with at most this many candidates is a leaf
 BROADCAST_CANDIDATES = 1_000_000   # about 40 MB of leaf table; beyond it, a shuffled join
 
@@ -59,7 +61,7 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
             # Targets on one spot are one candidate: the smallest id answers for it.
             .groupBy(*g, "_tx", "_ty").agg(F.min("_tid").alias("_tid")))
     goal = settle(goal)
-    sizes = goal.groupBy(*g).agg(F.count("*").alias("n")).agg(F.max("n"), F.count("*"), F.sum("n")).first()
+    sizes = goal.groupBy(*g).agg(F.count("*").alias("_n")).agg(F.max("_n"), F.count("*"), F.sum("_n")).first()
     kind = goal.schema["_tid"].dataType
     if sizes[0] is None:
         return queries.select("*", F.lit(None).cast(kind).alias(target_id),
@@ -87,9 +89,6 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
                               _at("_cy", OCCUPANCY_DEPTH).alias("_oy")).distinct())
 
     leaves, levels = _build_leaves(goal, occupied, g, leaf_targets)
-    if leaves is None:
-        return queries.select("*", F.lit(None).cast(kind).alias(target_id),
-                              F.lit(None).cast("double").alias(distance))
     size = leaves.agg(F.sum(F.size("_cand")), F.count("*")).first()
     table = F.broadcast(leaves) if size[0] + size[1] <= broadcast_limit else leaves
 
@@ -116,51 +115,70 @@ def _closest(qx: Column, qy: Column) -> Column:
         ((qx - t["x"]) * (qx - t["x"]) + (qy - t["y"]) * (qy - t["y"])).alias("d2"), t["id"].alias("id")))))
 
 
+def _pruned(pairs: DataFrame, cell: WindowSpec) -> DataFrame:
+    """Pairs whose target cell may hold the neighbour of some point of the query cell.
+
+    Squared distances in cells: the least possible one of a pair against the best
+    one guaranteed to the query cell.
+    """
+    dx, dy = F.abs(F.col("_qx") - F.col("_px")), F.abs(F.col("_qy") - F.col("_py"))
+    zero = F.lit(0).cast("bigint")
+    least = F.greatest(dx - 1, zero) * F.greatest(dx - 1, zero) \
+        + F.greatest(dy - 1, zero) * F.greatest(dy - 1, zero)
+    most = (dx + 1) * (dx + 1) + (dy + 1) * (dy + 1)
+    return (pairs.withColumn("_lb", least).withColumn("_ub", F.min(most).over(cell))
+            .where(F.col("_lb") <= F.col("_ub")).drop("_lb", "_ub")
+            .withColumn("_all", F.sum("_n").over(cell)))
+
+
 def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targets: int):
-    pairs = (occupied.select(*g).distinct()
-             .join(goal.groupBy(*g).agg(F.count("*").alias("_n")), g)
-             .select(*g, *[F.lit(0).cast("bigint").alias(c) for c in ("_qx", "_qy", "_px", "_py")],
-                     "_n"))
-    whole = Window.partitionBy(*g, "_qx", "_qy")
-    done, levels = [], []
-    for level in range(DEPTH + 1):
+    """(leaf table, levels in use): (group, level, cell) -> candidate targets."""
+    target = F.struct(F.col("_tx").alias("x"), F.col("_ty").alias("y"), F.col("_tid").alias("id"))
+    sizes = goal.groupBy(*g).agg(F.count("*").alias("_n"))
+    small, big = (sizes.where(c).select(*g) for c in
+                  (F.col("_n") <= leaf_targets, F.col("_n") > leaf_targets))
+    zero = F.lit(0).cast("bigint")
+    # A short group is one leaf; only the others descend.
+    done = [goal.join(small, g, "left_semi").groupBy(*g, F.lit(0).alias("_level"), zero.alias("_lx"),
+                                                     zero.alias("_ly"))
+            .agg(F.collect_list(target).alias("_cand"))]
+    levels = [0]
+    cell = Window.partitionBy(*g, "_qx", "_qy")
+    goal = goal.join(big, g, "left_semi")
+
+    def targets_at(level: int) -> DataFrame:
+        return goal.groupBy(*g, _at("_cx", level).alias("_px"), _at("_cy", level).alias("_py")).agg(
+            F.count("*").alias("_n"))
+
+    def queries_at(level: int) -> DataFrame:
+        return occupied.select(*g, F.shiftright("_ox", OCCUPANCY_DEPTH - level).alias("_qx"),
+                               F.shiftright("_oy", OCCUPANCY_DEPTH - level).alias("_qy")).distinct()
+
+    # The first level has at most 16 cells a side and group.
+    pairs = _pruned(queries_at(FIRST_LEVEL).join(targets_at(FIRST_LEVEL), g), cell)
+    for level in range(FIRST_LEVEL, DEPTH + 1):
         # At most a few dozen target cells meet one query cell, at any level.
-        pairs = settle(pairs.withColumn("_all", F.sum("_n").over(whole)))
+        pairs = settle(pairs)
         last = level == DEPTH
         leaf = pairs if last else pairs.where(F.col("_all") <= leaf_targets)
-        members = goal.select(*g, _at("_cx", level).alias("_px"), _at("_cy", level).alias("_py"),
-                              F.struct(F.col("_tx").alias("x"), F.col("_ty").alias("y"),
-                                       F.col("_tid").alias("id")).alias("_t"))
         n = pairs.agg(F.count_if(F.col("_all") <= leaf_targets), F.count("*")).first()
         if n[0] or last:
             levels.append(level)
+            members = goal.select(*g, _at("_cx", level).alias("_px"), _at("_cy", level).alias("_py"),
+                                  target.alias("_t"))
             done.append(leaf.join(members, [*g, "_px", "_py"])
                         .groupBy(*g, F.lit(level).alias("_level"), F.col("_qx").alias("_lx"),
                                  F.col("_qy").alias("_ly"))
                         .agg(F.collect_list("_t").alias("_cand")))
         if n[0] == n[1] or last:
             break
-        finer = goal.groupBy(*g, _at("_cx", level + 1).alias("_px"),
-                             _at("_cy", level + 1).alias("_py")).agg(F.count("*").alias("_n"))
         open_ = (pairs.where(F.col("_all") > leaf_targets).drop("_n", "_all")
                  .withColumn("_qx", _children("_qx")).withColumn("_qy", _children("_qy")))
         if level + 1 <= OCCUPANCY_DEPTH:
-            here = occupied.select(
-                *g, F.shiftright("_ox", OCCUPANCY_DEPTH - level - 1).alias("_qx"),
-                F.shiftright("_oy", OCCUPANCY_DEPTH - level - 1).alias("_qy")).distinct()
-            open_ = open_.join(here, [*g, "_qx", "_qy"], "left_semi")
+            open_ = open_.join(queries_at(level + 1), [*g, "_qx", "_qy"], "left_semi")
         near = (open_.withColumn("_px", _children("_px")).withColumn("_py", _children("_py"))
-                .join(finer, [*g, "_px", "_py"]))
-        dx, dy = F.abs(F.col("_qx") - F.col("_px")), F.abs(F.col("_qy") - F.col("_py"))
-        zero = F.lit(0).cast("bigint")
-        least = F.greatest(dx - 1, zero) * F.greatest(dx - 1, zero) \
-            + F.greatest(dy - 1, zero) * F.greatest(dy - 1, zero)
-        most = (dx + 1) * (dx + 1) + (dy + 1) * (dy + 1)
-        pairs = (near.withColumn("_lb", least)
-                 .withColumn("_ub", F.min(most).over(whole))
-                 .where(F.col("_lb") <= F.col("_ub")).drop("_lb", "_ub"))
-    if not done:
-        return None, []
+                .join(targets_at(level + 1), [*g, "_px", "_py"]))
+        pairs = _pruned(near, cell)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -182,9 +182,9 @@ QUERIES = {
         f"SELECT s_suppkey, ROUND({poly_sql('lat', 'lon')[0]},3) AS x, ROUND({poly_sql('lat', 'lon')[1]},3) AS y FROM {{place}}"),
     "nearest_region_per_address": query(
         lambda s: tidy(assigned(s).select("cd_municipio_ibge", "logradouro", "numero", "latitude", "longitude",
-                                          "id_regiao", "distancia")),
+                                          "id_regiao", F.round("distancia", 2).alias("distancia"))),
         """SELECT cd_municipio_ibge, logradouro, numero, ROUND(latitude,4) AS latitude, ROUND(longitude,4) AS longitude,
-                  id_regiao, ROUND(distancia,4) AS distancia FROM {assigned}""", **ASSIGN),
+                  id_regiao, ROUND(distancia,2) AS distancia FROM {assigned}""", **ASSIGN),
     "address_counts": query(
         lambda s: tidy(A.address_counts(assigned(s))),
         """SELECT cd_municipio_ibge, logradouro, bairro, numero, id_regiao, COUNT(*) AS n_enderecos,

@@ -117,12 +117,15 @@ def latest(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}/lote={last}")
 
 
-def live_step(folder: str, mapped: DataFrame, limits: DataFrame,
-              candidates: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
+def live_step(folder: str, mapped: DataFrame, limits: DataFrame, candidates: DataFrame | None = None,
+              published: DataFrame | None = None, year: int | None = None,
+              round_: str = "1") -> Callable[[DataFrame, int], None]:
     """Micro-batch step over `corrections`: store deltas, sum them, guard, serve.
 
     `mapped` is the section map; `limits` (cd_municipio_ibge, nome, limite) withholds
-    a region in which a name exceeds the official count of its municipality.
+    a region in which a name exceeds the official count of its municipality. With
+    `published` (id_regiao, cargo, ano_eleicao, turno, nome, votos), `servido` holds the
+    published contests plus the live ones of `year` and `round_` where they are missing.
     """
     folder = folder.rstrip("/")
 
@@ -140,6 +143,13 @@ def live_step(folder: str, mapped: DataFrame, limits: DataFrame,
         _write(live.live_results(lines), f"{folder}/deltas", number)
         placed.unpersist()
         _write(current_results(spark, folder, mapped, limits, candidates), f"{folder}/resultados", number)
+        if published is not None:
+            shown = spark.read.parquet(f"{folder}/resultados/lote={number}").where(
+                F.col("tipo").isin("nominal", "legenda") & (F.col("votos") > 0)).select(
+                "id_regiao", "cargo", F.lit(year).cast(published.schema["ano_eleicao"].dataType).alias("ano_eleicao"),
+                F.lit(round_).alias("turno"), "nome", "votos")
+            _write(live.overlay(published, shown, ["id_regiao", "cargo", "ano_eleicao", "turno"]),
+                   f"{folder}/servido", number)
         _write(current_progress(spark, folder, mapped), f"{folder}/progresso", number)
         _write(current_pending(spark, folder, mapped), f"{folder}/pendentes", number)
         # Named last: readers see a batch only when all its tables are there.

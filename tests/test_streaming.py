@@ -19,12 +19,15 @@ def test_retransmission_replaces_and_resumes(spark, tmp_path):
     limits = spark.createDataFrame([("1100015", "13", 500), ("1100015", "22", 5)],
                                    "cd_municipio_ibge string, nome string, limite bigint")
 
+    published = spark.createDataFrame([(1, "presidente", 2022, "1", "ANTES", 9), (2, "presidente", 2026, "1", "JA", 3)],
+                                      "id_regiao bigint, cargo string, ano_eleicao int, turno string, nome string, votos bigint")
+
     def put(rows):
         spark.createDataFrame(rows, B.REPORT).coalesce(1).write.mode("append").parquet(src)
 
     def one_pass():
         stream = B.arriving(spark, src, spark.createDataFrame([], B.REPORT).schema)
-        B.run_pass(B.corrections(stream), ck, B.live_step(out, mapped, limits))
+        B.run_pass(B.corrections(stream), ck, B.live_step(out, mapped, limits, published=published, year=2026))
 
     def votes():
         return {(r.id_regiao, r.tipo, r.numero): r.votos for r in B.latest(spark, out, "resultados").collect()}
@@ -46,6 +49,8 @@ def test_retransmission_replaces_and_resumes(spark, tmp_path):
     assert [(r.secao, r.motivo) for r in B.latest(spark, out, "pendentes").collect()] == []
     assert {r.situacao: r.secoes for r in B.status_counts(spark, out).collect()} == {"Totalizado": 3}
 
+    shown = {(r.id_regiao, r.ano_eleicao, r.nome, r.votos, r.parcial) for r in B.latest(spark, out, "servido").collect()}
+    assert shown == {(1, 2022, "ANTES", 9, False), (2, 2026, "JA", 3, False), (1, 2026, "13", 55, True)}
     people = spark.createDataFrame([("presidente", "presidente", "13", "Fulana", "PT")],
                                    "unidade string, cargo string, numero string, nome string, partido string")
     named = {r.numero: r.nome for r in B.current_results(spark, out, mapped, limits, people).where("tipo = 'nominal'").collect()}
