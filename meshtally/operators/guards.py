@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meshtally import constants as K
-from meshtally.functions.geo import valid_point
 
 
 class CheckFailed(ValueError):
@@ -114,14 +113,14 @@ def official_totals(votes: DataFrame, official: DataFrame, context: str,
     parte, oficial. Rounds without a reference are left out by the join.
     """
     mine = votes.groupBy("ano_eleicao", "turno", name).agg(F.sum("qt_votos").alias("qt"))
-    hit = (F.broadcast(official).alias("o").join(
+    hit = (official.alias("o").join(
         mine.alias("v"), (F.col("v.ano_eleicao") == F.col("o.ano_eleicao"))
         & (F.col("v.turno") == F.col("o.turno")) & F.upper(F.col(f"v.{name}")).contains(F.col("o.parte")),
         "inner")
         .groupBy("o.ano_eleicao", "o.turno", "o.parte", "o.oficial")
         .agg(F.min_by("v.qt", F.col(f"v.{name}")).alias("qt")))
     rounds = votes.select("ano_eleicao", "turno").distinct()
-    expected = F.broadcast(official).join(rounds, ["ano_eleicao", "turno"], "left_semi")
+    expected = official.join(rounds, ["ano_eleicao", "turno"], "left_semi")
     both = expected.join(hit, ["ano_eleicao", "turno", "parte", "oficial"], "left").where(
         F.col("qt").isNull() | (F.col("qt") != F.col("oficial")))
     return problem_rows(both, "official total", context, F.concat(
@@ -182,8 +181,4 @@ def require_columns(df: DataFrame, columns: Sequence[str], context: str) -> None
         raise CheckFailed(f"columns [{context}]: missing {missing}")
 
 
-def plausible_points(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    return df.where(valid_point(F.col(lat), F.col(lon)))
-
-
 PROBLEM_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("check", "context", "detail")])

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from meshtally import constants as K
 from meshtally.functions import geo, text, votes as V
 from meshtally.operators.ordered import exact_percentiles
-from meshtally.operators.shares import with_totals
 from meshtally.plans.resolve import resolve
 from meshtally.plans.street_index import StreetIndex, ambiguous_coverage
 from meshtally.session import settle
@@ -206,7 +205,3 @@ def coverage_report(geocoding: DataFrame, votes: DataFrame, counts: DataFrame,
     if per_path is not None:
         parts["acerto_por_caminho"] = (per_path, "caminho")
     return report_document(**parts)
-
-
-def attach_group_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    return with_totals(df, keys, **{out: F.sum(value)})

@@ -6,7 +6,7 @@ step joins the questions to one index table, and answers are joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshtally.functions import text
@@ -172,20 +172,41 @@ def search_names(df: DataFrame, columns: list[str], term: str, order: str, limit
         F.collate(F.col(order), "UNICODE_CI_AI"), F.col(order)).limit(limit)
 
 
+def _pairs_of_letters(c: Column) -> Column:
+    """Distinct two-letter pieces of a text; a text contains a term only with all of the term's."""
+    n = F.length(c)
+    return F.when(n >= 2, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), n - 1), lambda i: F.substr(c, i, F.lit(2)))))
+
+
+def containing(terms: DataFrame, names: DataFrame, keys: list[str], term: str, name: str) -> DataFrame:
+    """Pairs (keys, term, name) where the name contains the term.
+
+    Terms meet only names that share their rarest two-letter piece, never all names
+    of the key; the containment itself is then tested.
+    """
+    pieces = names.select(*keys, name, F.explode(_pairs_of_letters(F.col(name))).alias("_g"))
+    rarity = pieces.groupBy(*keys, "_g").agg(F.count("*").alias("_c"))
+    asked = terms.select(*keys, term, F.explode(_pairs_of_letters(F.col(term))).alias("_g"))
+    rarest = (asked.join(rarity, [*keys, "_g"], "left").groupBy(*keys, term)
+              .agg(F.min_by("_g", F.struct(F.coalesce("_c", F.lit(0)), F.col("_g"))).alias("_g")))
+    return (rarest.join(pieces, [*keys, "_g"]).where(F.col(name).contains(F.col(term)))
+            .select(*keys, term, name))
+
+
 def match_names(asked: DataFrame, names: DataFrame, keys: list[str], wanted: str,
                 name: str) -> DataFrame:
     """Best name per question by tier: 1 exact, 2 without accents, 3 contained; first wins.
 
-    The containing tier meets only names of the same key whose letters hold the term.
+    Terms under two characters are not searched inside names.
     """
     exact = asked.join(names.select(*keys, F.col(name).alias(wanted), F.col(name).alias("_m1")),
                        [*keys, wanted], "left")
     loose = names.groupBy(*keys, text.unaccented(F.col(name)).alias("_n")).agg(F.min(name).alias("_m2"))
     two = exact.withColumn("_n", text.unaccented(F.col(wanted))).join(loose, [*keys, "_n"], "left")
     rest = two.where("_m1 is null and _m2 is null").select(*keys, "_n").distinct()
-    inside = (rest.join(names.select(*keys, F.col(name).alias("_c"),
-                                     text.unaccented(F.col(name)).alias("_cn")), keys)
-              .where((F.length("_n") >= 2) & F.col("_cn").contains(F.col("_n")))
+    plain = names.groupBy(*keys, text.unaccented(F.col(name)).alias("_cn")).agg(F.min(name).alias("_c"))
+    inside = (containing(rest, plain, keys, "_n", "_cn").join(plain, [*keys, "_cn"])
               .groupBy(*keys, "_n").agg(F.min("_c").alias("_m3")))
     all_ = two.join(inside, [*keys, "_n"], "left")
     return all_.select(*asked.columns, F.coalesce("_m1", "_m2", "_m3").alias("encontrado"),

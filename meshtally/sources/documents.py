@@ -54,8 +54,8 @@ def write_documents(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     """One JSON line per row, in one folder per key value."""
     rows = json_rows(df, keys)
     if keys:
-        # Rows of a folder come from several tasks only when the folder is large.
-        rows = rows.repartition(*[F.col(k) for k in keys], F.pmod(F.xxhash64("value"), F.lit(4)))
+        # Small folders are gathered in one task, a huge one is split over many.
+        rows = rows.hint("rebalance", *keys)
         rows.write.mode("overwrite").partitionBy(*keys).text(path)
     else:
         rows.write.mode("overwrite").text(path)
