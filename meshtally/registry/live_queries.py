@@ -334,6 +334,11 @@ QUERIES = {
         """SELECT DISTINCT sg_uf AS uf, cd_municipio_tse AS municipio, nm_municipio AS municipio_nome, LPAD(CAST(nr_zona AS STRING), 4, '0') AS zona,
                   CAST(nr_secao AS STRING) AS secao, '04/10/2026' AS data_aux, '17:01' AS hora_aux FROM {section} WHERE nr_secao % 10 <> 0 AND nr_secao % 3 > 0""", section=SECTION),
     "section_map": query(lambda s: tidy(mapped(s)), "SELECT * FROM {section_map}", **SECTION_MAP),
+    "section_lists": query(
+        lambda s: tidy(L.section_lists(mapped(s)).select("cd_municipio_ibge", "id_regiao", F.size("secoes").alias("n"),
+                                                         F.array_join(F.transform(F.col("secoes")[0], lambda x: x.cast("string")), "-").alias("primeira"))),
+        """SELECT cd_municipio_ibge, id_regiao, COUNT(*) AS n, (array_agg(CONCAT(nr_zona, '-', nr_local, '-', nr_secao) ORDER BY nr_zona, nr_local, nr_secao))[1] AS primeira
+           FROM {section_map} GROUP BY 1, 2""", **SECTION_MAP),
     "section_map_counters": query(
         lambda s: tidy(L.section_map_counters(sections(s), mesh(s)[1].where("id_regiao % 4 <> 0"), principal(s))),
         """SELECT COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 <> 0) AS mapeadas, COUNT(*) FILTER (id_regiao % 4 = 0) AS fora_da_malha,

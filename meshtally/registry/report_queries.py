@@ -15,6 +15,7 @@ from meshtally.plans import live as L
 from meshtally.plans import publish as PUB
 from meshtally.plans import reports as R
 from meshtally.plans import resolve as RES
+from meshtally.plans import validate as VAL
 from meshtally.registry.common import MESH, REGION_VOTE, haversine_sql, query, tidy
 from meshtally.registry.mesh_queries import mesh
 from meshtally.session import settle
@@ -121,6 +122,28 @@ def _preview(s):
     return L.preview_text(share).select("nm_municipio", "titulo", "placar")
 
 
+def _rules(s):
+    """Segment counts per nation as results: some shares do not close, some totals are short."""
+    rows = s.sql("""SELECT c_nationkey AS onde, c_mktsegment AS nome, COUNT(*) AS votos FROM {customer} GROUP BY 1, 2""")
+    whole = rows.groupBy("onde").agg(F.sum("votos").alias("t"))
+    cand = rows.join(whole, "onde").select("onde", "nome", "votos", (
+        numbers.percent(F.col("votos"), F.col("t")) + F.when(F.col("onde") % 4 == 0, 1.0).otherwise(0.0)).alias("pct"))
+    totals = whole.select("onde", (F.col("t") - F.when(F.col("onde") % 5 == 0, 1).otherwise(0)).alias("total"))
+    return VAL.aggregate_problems(cand, totals, ["onde"], "nation").groupBy("check").agg(F.count("*").alias("problemas"))
+
+
+def _index_counts(s):
+    regions = mesh(s)[0]
+    states = PUB.state_index(regions).withColumn("n_municipios", F.col("n_municipios") + F.when(F.col("sigla") == "RO", 1).otherwise(0))
+    return VAL.index_counts(states, PUB.municipality_index(regions))
+
+
+def _accuracy(s):
+    return tidy(R.accuracy_overall(s.sql("""SELECT o_orderstatus AS sg_uf, o_orderpriority AS caminho, COUNT(*) AS amostra,
+        CAST(SUM(CASE WHEN o_orderkey % 3 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS acertos, CAST(SUM(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS amostra_domicilios,
+        CAST(SUM(CASE WHEN o_orderkey % 6 = 2 THEN 1 ELSE 0 END) AS BIGINT) AS acertos_domicilios FROM {orders} GROUP BY 1, 2""")))
+
+
 _NORM = "trim(regexp_replace(regexp_replace(strip_accents(upper(replace(replace(text, 'ß', 'ss'), 'ẞ', 'ss'))), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 
 QUERIES = {
@@ -237,4 +260,17 @@ QUERIES = {
                   string_agg(c_mktsegment || ' ' || replace(printf('%.1f', p), '.', ',') || '%', ' × ' ORDER BY votos DESC, c_mktsegment) AS placar
            FROM (SELECT *, CAST((votos * 20000 + t) // (t * 2) AS DOUBLE) / 100 AS p FROM (SELECT n_name, c_mktsegment, COUNT(*) AS votos, CAST(SUM(COUNT(*)) OVER (PARTITION BY n_name) AS BIGINT) AS t,
                  row_number() OVER (PARTITION BY n_name ORDER BY COUNT(*) DESC, c_mktsegment) AS r FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) WHERE r <= 2) GROUP BY 1"""),
+    "aggregate_rules": query(
+        _rules,
+        """SELECT * FROM (SELECT 'percent' AS "check", COUNT(DISTINCT c_nationkey) AS problemas FROM customer WHERE c_nationkey % 4 = 0
+           UNION ALL SELECT 'valid votes', COUNT(DISTINCT c_nationkey) FROM customer WHERE c_nationkey % 5 = 0) WHERE problemas > 0"""),
+    "index_counts": query(
+        _index_counts,
+        """SELECT 'index counts' AS "check", 'states' AS context, CONCAT('RO: index ', n + 1, ', list ', n) AS detail
+           FROM (SELECT COUNT(DISTINCT cd_municipio_ibge) AS n FROM {region_dim} WHERE sg_uf = 'RO') WHERE n > 0""", **MESH),
+    "accuracy_overall": query(
+        _accuracy,
+        """SELECT caminho, ROUND(AVG(a / n * 100), 4) AS acerto_pct, ROUND(AVG(h / NULLIF(m, 0) * 100), 4) AS acerto_domicilios_pct, ROUND(SUM(a) / SUM(n) * 100, 4) AS acerto_ponderado_pct
+           FROM (SELECT o_orderstatus, o_orderpriority AS caminho, COUNT(*) AS n, COUNT(*) FILTER (o_orderkey % 3 > 0) AS a, COUNT(*) FILTER (o_orderkey % 2 = 0) AS m,
+                        COUNT(*) FILTER (o_orderkey % 6 = 2) AS h FROM orders GROUP BY 1, 2) GROUP BY 1"""),
 }
