@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meshtally.session import settle
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -195,7 +197,9 @@ class Scenario:
                 self._known[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
             else:
                 sql = FRAGMENTS[name]
-                self._known[name] = self.spark.sql(sql, **{n: getattr(self, n) for n in needs(sql)})
+                frame = self.spark.sql(sql, **{n: getattr(self, n) for n in needs(sql)})
+                # Stored, so that the planner knows the size of the dimension it joins.
+                self._known[name] = settle(frame) if name == "place" else frame
         return self._known[name]
 
     def sql(self, text: str) -> DataFrame:
