@@ -63,4 +63,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_packing, op3_urls, op4_quality, op5_fingerprints, op6_line_dedup, op7_secrets,
                             op8_minhash, op9_scoring, op10_vectors)}
 
-ORACLE: dict[str, str] = {}
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LINES_SQL = f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+     keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   '{UPPER}', '{UPPER.lower()}') AS key FROM lines),
+     common AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+                GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+     judged AS (SELECT doc_id, i, line, coalesce(doc_id < last, false) AS gone FROM keyed LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+VECTORS_SQL = """
+WITH RECURSIVE unit AS (
+       SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS u
+       FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+       WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+     links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+               ON a.vec_id <> b.vec_id AND list_inner_product(a.u, b.u) >= 0.95),
+     reach AS (SELECT a AS vec_id, a AS other FROM links UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+     LEFT JOIN (SELECT vec_id, min(other) AS component FROM reach GROUP BY vec_id) USING (vec_id)"""
+
+ORACLE: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op10_vectors": VECTORS_SQL}
