@@ -4,8 +4,8 @@ The distinct shingle hashes of a document fall into bins of one hash range; a bi
 its least hash. An empty bin takes the value of the first occupied bin in an order of its
 own, the same for all documents (optimal densification). Bins make bands, and equal bands
 make buckets. A bucket gives star-shaped candidate edges, from one centre to its members;
-what the stars leave undecided is compared between components only. Every candidate is
-confirmed on full shingle sets. Documents with equal sets are one class throughout.
+buckets that the stars leave in several components are compared block against block. All
+is confirmed on full shingle sets. Documents with equal sets are one class throughout.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from meshtally.llm.components import components
 BANDS, ROWS = 72, 8
 BINS = BANDS * ROWS
 TRIES = 16
+BLOCK = 1024  # members of a bucket that are compared with as many others at a time
+WIDTH = 4096  # shingles summed at a time
 WORDS_KEPT = 300_000  # word hashes remembered by a task
 
 
@@ -145,45 +147,96 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def undecided(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (band, node, n, comp) of the buckets that links leave in more than one component."""
+    """Members (band, node, comp) of the buckets that links leave in more than one component."""
     comps = components(links)
-    at = (members.join(comps, "node", "left")
-          .select("band", "node", "n", F.coalesce("label", "node").alias("comp")))
-    mixed_ = at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-    return stored(at.join(mixed_, "band"))
+    at = members.join(comps, "node", "left").select("band", "node", F.coalesce("label", "node").alias("comp"))
+    split = stored(at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+                   .where("lo < hi").select("band", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+    return stored(at.join(split, "band"))
+
+
+def across(nodes: list[int], comps: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Alike pairs of different components, one for each node and other component, within one comparison."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    renumbered = np.cumsum(count > 1) - 1
+    owner, column = owner[shared], renumbered[column[shared]]
+    common = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers, exact below 2 ** 24
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for start in range(0, int((count > 1).sum()), WIDTH):
+        lo, hi = np.searchsorted(column, [start, start + WIDTH])
+        has = np.zeros((len(sets), WIDTH), np.float32)
+        has[owner[lo:hi], column[lo:hi] - start] = 1
+        common += has @ has.T
+    whole = size[:, None] + size - common
+    alike = (100 * common.astype(float) >= percent * whole) & (comps[:, None] < comps)
+    if blocks[0] != blocks[-1]:  # pairs within a block have a comparison of their own
+        alike &= blocks[:, None] != blocks
+    a, b = np.nonzero(alike)
+    _, first = np.unique(np.stack([a, comps[b]]), axis=1, return_index=True)
+    return [(nodes[i], nodes[j]) for i, j in zip(a[first].tolist(), b[first].tolist())]
+
+
+def compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components within buckets, block against block.
+
+    A bucket of any size is split into blocks, and each pair of blocks is one comparison of
+    bounded size. Pairs are formed inside it as sums over shingles, never as rows.
+    """
+    own = F.pmod(F.xxhash64("node", F.lit(8)), "blocks")
+    rows = (rest.withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "comp", "node"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def links() -> list[tuple[int, int]]:
+            if len({h[1] for h in held}) < 2:
+                return []
+            return across([h[2] for h in held], np.array([h[1] for h in held]), np.array([h[0] for h in held]),
+                          [np.frombuffer(h[3], "<u8") for h in held], percent)
+
+        def batch_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*pairs) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            out = []
+            for band, i, j, *row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
+                if key != (band, i, j):
+                    out += links()
+                    key, held = (band, i, j), []
+                held.append(row)
+            yield batch_of(out)
+        yield batch_of(links())
+
+    placed = rows.join(sets, "node").select("band", "i", "j", "own", "comp", "node", "shingles")
+    return (placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "own")
+            .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def links_between(docs: DataFrame, nodes: DataFrame, words: int, percent: int, text: str, doc_id: str) -> DataFrame:
     """Confirmed links (a, b) between classes that connect all that any link connects.
 
     nodes: (node, n, bands) of one document of each class. After the stars from each
-    bucket's smallest node, then from its largest, the members of a bucket that are still in
-    different components are compared with each other, so that no link is lost.
+    bucket's smallest node, the members of a bucket that are still in different components
+    are compared with each other, so that no link is lost.
     """
     # Two different sets this much alike have 100 / (100 - percent) shingles together at least.
     least = -(-100 // max(1, 100 - percent)) - 1
-    banded = nodes.where(F.col("n") >= least).select(F.explode("bands").alias("band"), "node", "n")
-    shared = stored(banded.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    banded = nodes.where(F.col("n") >= least).select(F.explode("bands").alias("band"), "node")
+    shared = stored(banded.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("centre"))
                     .where("size > 1").drop("size"))
     members = stored(banded.join(shared, "band"))
     sets = stored(sets_of(docs, members.select("node").distinct(), words, text, doc_id))
-    stars = members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    stars = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(confirmed(stars, sets, percent))
     rest = undecided(members, links)
-    if rest.isEmpty():
-        return links
-    far = rest.groupBy("band").agg(F.max("node").alias("hi"))
-    stars = (rest.join(far, "band").where("node <> hi")
-             .select(F.col("node").alias("a"), F.col("hi").alias("b")).distinct())
-    links = stored(links.unionByName(confirmed(stars, sets, percent)))
-    rest = undecided(rest.drop("comp"), links)
-    if rest.isEmpty():
-        return links
-    other = rest.select("band", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("with"))
-    pairs = (rest.join(other, "band")
-             .where((F.col("comp") < F.col("with")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
-             .select(F.col("node").alias("a"), "b").distinct())
-    return stored(links.unionByName(confirmed(pairs, sets, percent)))
+    return links if rest.isEmpty() else stored(links.unionByName(compared(rest, sets, percent)))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
