@@ -126,8 +126,9 @@ def repeated(docs: DataFrame, text: str, doc_id: str, least: int) -> DataFrame:
 def drops(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = 20, documents: int = 3) -> DataFrame:
     """doc_id and `keys`, the line keys that it loses: all but the largest doc_id that holds them do."""
     suspects = stored(repeated(docs, text, doc_id, least))
-    common = (suspects.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("last"))
-              .where(F.col("n") >= documents).select("key", "last"))
+    # Stored, so that Spark sees its size and can split a join on a very common line.
+    common = stored(suspects.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("last"))
+                    .where(F.col("n") >= documents).select("key", "last"))
     return (suspects.join(common, "key").where("doc_id < last")
             .groupBy("doc_id").agg(F.collect_set("key").alias("keys")))  # bounded by the document's own lines
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshtally.llm.common import ascii_lower
+from meshtally.llm.common import ascii_lower, stored
 
 START, END, OTHER = "\x02", "\x03", "\x01"
 ALPHABET = 97  # printable ASCII, one for all else, the end; triples: fewer than 98 ** 3
@@ -53,10 +53,10 @@ def model(examples: DataFrame) -> DataFrame:
                            F.coalesce(F.col("verdict") == "block", F.lit(False)).cast("bigint").alias("block"))
     sides = ("allow", "block")
     full = each.groupBy("triple").agg(*(F.sum(s).alias(s) for s in sides))
-    full = full.select("triple", F.substr("triple", F.lit(2), F.lit(2)).alias("pair"),
+    full = stored(full.select("triple", F.substr("triple", F.lit(2), F.lit(2)).alias("pair"),
                        F.substr("triple", F.lit(3), F.lit(1)).alias("one"),
                        F.substr("triple", F.lit(1), F.lit(2)).alias("ctx2"),
-                       F.substr("triple", F.lit(2), F.lit(1)).alias("ctx1"), *sides)
+                       F.substr("triple", F.lit(2), F.lit(1)).alias("ctx1"), *sides))
 
     def totals(key: str) -> DataFrame:
         return full.groupBy(key).agg(*(F.sum(s).alias(f"{s}_{key}") for s in sides))
@@ -74,10 +74,10 @@ def model(examples: DataFrame) -> DataFrame:
 
 
 def scored(addresses: DataFrame, ratios: DataFrame) -> DataFrame:
-    """addresses (distinct `address`, other columns kept) with their length-normalised score."""
-    each = addresses.select("address", F.explode(triples(F.col("address"))).alias("triple"))
+    """addresses (distinct `address`, with `verdict`) and their length-normalised score."""
+    each = addresses.select("address", "verdict", F.explode(triples(F.col("address"))).alias("triple"))
     return (each.join(F.broadcast(ratios), "triple")  # fewer than 98 ** 3 rows
-            .groupBy("address").agg(F.avg("ratio").alias("score")))
+            .groupBy("address", "verdict").agg(F.avg("ratio").alias("score")))
 
 
 def threshold(scores: DataFrame) -> float:
@@ -105,11 +105,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", page
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     rows = rows.select("page_id", "host", "path", F.concat("host", "path").alias("address"), "_rule.*")
-    distinct = rows.groupBy("address").agg(F.first("verdict").alias("verdict"))
-    ratios = model(distinct)
-    scores = scored(distinct, ratios)
-    least = threshold(scores.join(distinct, "address"))
-    new = scores.join(distinct.where("verdict IS NULL"), "address", "left_semi").select("address", F.round("score", 9).alias("score"))
+    distinct = stored(rows.groupBy("address").agg(F.first("verdict").alias("verdict")))
+    scores = stored(scored(distinct, stored(model(distinct))))
+    least = threshold(scores)
+    new = scores.where("verdict IS NULL").select("address", F.round("score", 9).alias("score"))
     return rows.join(new, "address", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("verdict", F.when(F.col("score") >= least, "allow").otherwise("block")).alias("verdict"),
