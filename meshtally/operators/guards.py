@@ -175,6 +175,13 @@ def same_schema(df: DataFrame, expected: Sequence[str], context: str) -> None:
         raise CheckFailed(f"same schema [{context}]: got {df.columns}, expected {list(expected)}")
 
 
+def same_types(df: DataFrame, expected: dict[str, str], context: str) -> None:
+    """Column types must be equal before one table is merged into another."""
+    wrong = {c: (k, expected.get(c)) for c, k in df.dtypes if expected.get(c) != k}
+    if wrong:
+        raise CheckFailed(f"same types [{context}]: {wrong}")
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], context: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

@@ -50,12 +50,12 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
     """Every query row plus the id of the nearest target of its group and the distance.
 
     Euclidean in the unit of the coordinates; the smallest id wins a tie. Rows without
-    a coordinate, or in a group without targets, keep nulls.
+    a coordinate (null or NaN), or in a group without targets, keep nulls.
     """
     g = list(group)
-    qx, qy = (F.col(c).cast("double") for c in query_xy)
-    goal = (targets.select(*g, F.col(target_xy[0]).cast("double").alias("_tx"),
-                           F.col(target_xy[1]).cast("double").alias("_ty"),
+    qx, qy = (F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in query_xy)
+    goal = (targets.select(*g, F.nanvl(F.col(target_xy[0]).cast("double"), F.lit(None).cast("double")).alias("_tx"),
+                           F.nanvl(F.col(target_xy[1]).cast("double"), F.lit(None).cast("double")).alias("_ty"),
                            F.col(target_id).alias("_tid"))
             .dropna(subset=["_tx", "_ty"])
             # Targets on one spot are one candidate: the smallest id answers for it.
@@ -63,9 +63,9 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
     goal = settle(goal)
     sizes = goal.groupBy(*g).agg(F.count("*").alias("_n")).agg(F.max("_n"), F.count("*"), F.sum("_n")).first()
     kind = goal.schema["_tid"].dataType
+    none = queries.select("*", F.lit(None).cast(kind).alias(target_id), F.lit(None).cast("double").alias(distance))
     if sizes[0] is None:
-        return queries.select("*", F.lit(None).cast(kind).alias(target_id),
-                              F.lit(None).cast("double").alias(distance))
+        return none
     if sizes[0] <= leaf_targets:
         # Every group is one short list: a single lookup, no grid.
         lists = goal.groupBy(*g).agg(F.collect_list(F.struct(
@@ -88,9 +88,11 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
                       .select(*g, _at("_cx", OCCUPANCY_DEPTH).alias("_ox"),
                               _at("_cy", OCCUPANCY_DEPTH).alias("_oy")).distinct())
 
+    if occupied.isEmpty():
+        return none
     leaves, levels = _build_leaves(goal, occupied, g, leaf_targets)
     size = leaves.agg(F.sum(F.size("_cand")), F.count("*")).first()
-    table = F.broadcast(leaves) if size[0] + size[1] <= broadcast_limit else leaves
+    table = F.broadcast(leaves) if (size[0] or 0) + size[1] <= broadcast_limit else leaves
 
     keyed = placed.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("_level"))
     keyed = keyed.select("*", F.expr(f"shiftright(_cx, {DEPTH} - _level)").alias("_lx"),

@@ -40,16 +40,20 @@ def voters_per_place(sections: DataFrame) -> DataFrame:
 
 
 def latest_places(sections: DataFrame) -> DataFrame:
-    """One row per place with a coordinate: per column, the latest value that is known."""
+    """One row per place with a coordinate: the latest point, and per other column the latest value known."""
     known = sections.where(F.col("latitude").isNotNull())
     when = F.struct("ano_eleicao", "turno")
     columns = ["sg_uf", "cd_municipio_tse", "nm_municipio", "nr_zona", "nr_local",
-               "nm_local_votacao", "ds_endereco", "latitude", "longitude"]
+               "nm_local_votacao", "ds_endereco"]
     # A null has no order, so max_by skips it column by column. Equal moments are
     # settled by the value, which keeps the answer independent of row order.
     latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(when, F.col(c)))).alias(c)
               for c in columns]
-    return known.groupBy("id_local_votacao").agg(*latest, F.max("ano_eleicao").alias("ano_referencia"))
+    # Both coordinates come from one section. Sections of one moment settle by the point.
+    point = F.struct("latitude", "longitude")
+    return (known.groupBy("id_local_votacao")
+            .agg(*latest, F.max_by(point, F.struct(when, point)).alias("_point"), F.max("ano_eleicao").alias("ano_referencia"))
+            .select("id_local_votacao", *columns, "_point.latitude", "_point.longitude", "ano_referencia"))
 
 
 def place_counters(sections: DataFrame) -> DataFrame:

@@ -127,9 +127,9 @@ def overlay(published: DataFrame, live: DataFrame, keys: list[str], top_deputies
     the same top list as published ones.
     """
     new = live.join(published.select(*keys).distinct(), keys, "left_anti")
-    deputy = new.where("cargo = 'deputado_federal'")
+    deputy = new.where("cargo <=> 'deputado_federal'")
     cut = top_n(deputy, keys, "votos", "nome", top_deputies, out="_r").drop("_r")
-    rest = new.where("cargo <> 'deputado_federal'")
+    rest = new.where("NOT (cargo <=> 'deputado_federal')")
     return (published.withColumn("parcial", F.lit(False))
             .unionByName(rest.unionByName(cut).withColumn("parcial", F.lit(True))))
 

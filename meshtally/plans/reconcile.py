@@ -16,11 +16,12 @@ TOTALS = ["comparecimento", "validos", "brancos", "nulos"]
 def compare_totals(ours: DataFrame, official: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per territory and total: difference and mark.
 
-    ' ' equal; '~' explained by ballot boxes we do not have; 'x' wrong.
+    ' ' equal; '~' explained by ballot boxes we do not have; 'x' wrong, also where the whole
+    territory is missing on our side.
     """
     a = ours.select(*keys, *[F.col(t).alias(f"_a_{t}") for t in TOTALS])
     b = official.select(*keys, *[F.col(t).alias(f"_b_{t}") for t in TOTALS], F.lit(True).alias("_has"))
-    both = a.join(b, list(keys), "left")
+    both = a.join(b, list(keys), "full")
     short = F.col("_b_comparecimento") - F.col("_a_comparecimento")
     rows = both.select(*keys, "_has", short.alias("falta"), F.explode(F.array(*[
         F.struct(F.lit(t).alias("total"), F.col(f"_b_{t}").alias("oficial"),

@@ -45,7 +45,7 @@ def stale_partitions(saved: DataFrame, regions: DataFrame, required: Sequence[st
 def replace_slice(df: DataFrame, path: str, keys: Sequence[str] = ("ano_eleicao", "turno")) -> None:
     """Put a converted (year, round) into the base table; running twice changes nothing.
 
-    Other slices are not touched, and a base with other columns is refused.
+    Other slices are not touched, and a base with other columns or types is refused.
     """
     spark = df.sparkSession
     try:
@@ -54,6 +54,9 @@ def replace_slice(df: DataFrame, path: str, keys: Sequence[str] = ("ano_eleicao"
         base = None
     if base is not None:
         guards.same_schema(df.select(*sorted(df.columns)), sorted(base.columns), "slice merge")
+        # Partition values are read back with an inferred type; all other columns keep theirs.
+        kinds = dict(base.dtypes)
+        guards.same_types(df.drop(*keys), {c: k for c, k in kinds.items() if c not in keys}, "slice merge")
     write_partitions(df, path, keys)
 
 

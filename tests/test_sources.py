@@ -129,12 +129,12 @@ def result(**v):
 def test_official_totals_as_the_box_recorded(spark):
     from pyspark.sql.types import StringType, StructField, StructType
     schema = StructType([StructField("uf", StringType()), *schemas.OFFICIAL_RESULT.fields])
-    docs = spark.createDataFrame([result(vnom="4009", vansj="836", vb="91", vn="119", c="5055", tv="5055", vvc="4009"),
-                                  result(vnom="6405", vvc="6405", vb="28", vn="108", vnt="1", tvn="109", c="6542", tv="6542"),
+    docs = spark.createDataFrame([result(vnom="300", vansj="40", vb="7", vn="13", c="360", tv="360", vvc="300"),
+                                  result(vnom="500", vvc="500", vb="6", vn="20", vnt="1", tvn="21", c="527", tv="527"),
                                   result(vnom="10", vvc="10", vb="0", vn="0", c="12", tv="11")], schema)
     a, b, c = official.result_totals(docs, ["uf"]).collect()
-    assert (a.validos, a.nulos, a.avisos, len(a.notas)) == (4845, 119, [], 1)
-    assert (b.validos, b.nulos, b.avisos) == (6406, 108, [])
+    assert (a.validos, a.nulos, a.avisos, len(a.notas)) == (340, 13, [], 1)
+    assert (b.validos, b.nulos, b.avisos) == (501, 20, [])
     assert len(c.avisos) == 2
 
 
