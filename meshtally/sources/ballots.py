@@ -1,228 +1,34 @@
-"""Ballot reports and vote records: binary files to rows, as a Spark job.
+"""Ballot reports and vote records as relations.
 
-Spark lists and spreads the files; each task turns bytes into plain rows. A file
-whose structure is not the expected one becomes one row with `erro`, so a change
-of format shows up as counted rejections.
+A report or record arrives as one row per line, with the codes of its format in `fase` and
+`tipo`. One that could not be read is a single row with `erro`, so that a change of format
+shows up as counted rejections. Decoding the files themselves is outside this library.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from meshtally import constants as K
 from meshtally.functions.votes import code_name
 from meshtally.schemas import BALLOT_ROWS, RECORD_ROWS
 
 
-class Malformed(ValueError):
-    pass
-
-
-class Field:
-    """One tag-length-value field; `kids` is None for a primitive one."""
-
-    __slots__ = ("tag", "body", "kids")
-
-    def __init__(self, tag: int, body: bytes):
-        self.tag, self.body = tag, body
-        self.kids = fields(body) if tag & 0x20 else None
-
-    def kid(self, i: int, name: str) -> "Field":
-        if self.kids is None or len(self.kids) <= i:
-            raise Malformed(f"{name}: no field {i + 1}")
-        return self.kids[i]
-
-    def signed(self, name: str) -> int:
-        if self.kids is not None:
-            raise Malformed(f"{name}: not a number")
-        return int.from_bytes(self.body, "big", signed=True)
-
-    def natural(self, name: str) -> int:
-        value = self.signed(name)
-        if value < 0:
-            raise Malformed(f"{name}: negative ({value})")
-        return value
-
-    def bare(self, name: str) -> int:
-        """Number behind a context tag."""
-        if self.kids is not None or len(self.body) > 8:
-            raise Malformed(f"{name}: not a context number")
-        return int.from_bytes(self.body, "big")
-
-    @property
-    def in_context(self) -> bool:
-        return self.kids is None and self.tag >> 6 == 2
-
-
-def fields(data: bytes) -> list[Field]:
-    """Consecutive DER fields; anything cut short is malformed."""
-    out, at, end = [], 0, len(data)
-    while at < end:
-        tag = data[at]
-        at += 1
-        if tag & 0x1F == 0x1F:            # long tag: its bytes follow, the last without top bit
-            while at < end and data[at] & 0x80:
-                at += 1
-            at += 1
-        if at >= end:
-            raise Malformed("truncated: no length")
-        size = data[at]
-        at += 1
-        if size & 0x80:
-            width = size & 0x7F
-            if not 1 <= width <= 4 or at + width > end:
-                raise Malformed("bad length")
-            size = int.from_bytes(data[at:at + width], "big")
-            at += width
-        if at + size > end:
-            raise Malformed("truncated: content shorter than announced")
-        out.append(Field(tag, data[at:at + size]))
-        at += size
-    return out
-
-
-# The position of two lists changed between elections, so each is also known by
-# its shape: what its members must look like, from the votable upwards.
-
-def _all(field: Field, test: Callable[[Field], bool]) -> bool:
-    return bool(field.kids) and all(test(k) for k in field.kids)
-
-
-def _is_votable(f: Field) -> bool:
-    return f.kids is not None and len(f.kids) >= 2 and f.kids[0].in_context and f.kids[1].in_context
-
-
-def _is_office(f: Field) -> bool:
-    return f.kids is not None and len(f.kids) >= 3 and _all(f.kids[2], _is_votable)
-
-
-def _is_group(f: Field) -> bool:
-    return f.kids is not None and len(f.kids) >= 3 and _all(f.kids[2], _is_office)
-
-
-def _is_group_list(f: Field) -> bool:
-    return _all(f, _is_group)
-
-
-def _is_election(f: Field) -> bool:
-    return f.kids is not None and any(_is_group_list(k) for k in f.kids)
-
-
-def _is_election_list(f: Field) -> bool:
-    return _all(f, _is_election)
-
-
-def _shaped(f: Field, usual: int, test: Callable[[Field], bool], name: str) -> Field:
-    kids = f.kids or []
-    for k in kids[usual:usual + 1] + kids:
-        if test(k):
-            return k
-    raise Malformed(f"{name}: none of {len(kids)} fields has the expected shape")
-
-
-def report_rows(data: bytes) -> list[tuple]:
-    """Rows (without file name and error) of one ballot report."""
-    envelope = fields(data)
-    if not envelope or not envelope[0].kids:
-        raise Malformed("not a ballot report: empty envelope")
-    sealed = envelope[0].kids[-1]
-    inner = fields(sealed.body) if sealed.kids is None else []
-    if not inner:
-        raise Malformed("not a ballot report: no report in the envelope")
-    report = inner[0]
-    run = report.kid(0, "header").kid(1, "run").bare("run")
-    phase_field = report.kid(1, "phase")
-    phase = -1 if phase_field.kids is not None else phase_field.signed("phase")
-    ident = report.kid(3, "section")
-    town = ident.kid(0, "municipality and zone")
-    code = town.kid(0, "municipality").natural("municipality")
-    if code > 99999:
-        raise Malformed(f"municipality out of range: {code}")
-    head = (f"{code:05d}", town.kid(1, "zone").natural("zone"), ident.kid(1, "place").natural("place"),
-            ident.kid(2, "section").natural("section"), run, K.REPORT_PHASES.get(phase, "desconhecida"))
-    rows = []
-    for election in _shaped(report, 8, _is_election_list, "elections").kids:
-        number = election.kid(0, "election").signed("election")
-        for g, group in enumerate(_shaped(election, 4, _is_group_list, "groups").kids):
-            turnout = group.kid(1, "turnout").natural("turnout")
-            for o, office in enumerate(group.kid(2, "offices").kids or []):
-                what = office.kid(0, "office").bare("office")
-                for vote in office.kid(2, "votables").kids or []:
-                    kind = vote.kid(0, "vote type").bare("vote type")
-                    count = vote.kid(1, "votes").natural("votes")
-                    who = vote.kid(2, "votable").kids
-                    party, ballot = (who[0].signed("party"), who[1].signed("number")) \
-                        if who is not None and len(who) == 2 else (None, None)
-                    rows.append((*head, number, g, o, what, turnout, str(kind), count, party, ballot))
-    if not rows:
-        raise Malformed("no votes")
-    return rows
-
-
-def record_rows(data: bytes) -> list[tuple]:
-    """Rows (election, office, ordinal, type, typed digits) of one vote record."""
-    root = fields(data)
-    if not root:
-        raise Malformed("empty file")
-    record = root[0].kid(2, "record")
-    rows = []
-    for election in record.kid(3, "elections").kids or []:
-        number = election.kid(0, "election").signed("election")
-        if len(election.kids) < 2:
-            raise Malformed("election without votes")
-        for office in election.kids[-1].kids or []:     # the vote list closes both layouts
-            what = office.kid(0, "office").bare("office")
-            for i, vote in enumerate(office.kid(2, "votes").kids or [], 1):
-                kind = vote.kid(0, "vote type").signed("vote type")
-                typed = vote.kids[1].body.decode("ascii") if len(vote.kids) > 1 else None
-                rows.append((number, what, i, str(kind), typed))
-    return rows
-
-
-def _decoder(parse: Callable[[bytes], list[tuple]], schema: StructType):
-    names = schema.names
-    empty = [None] * (len(names) - 2)
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for path, content in zip(batch["arquivo"], batch["content"]):
-                try:
-                    out += [(path, *row, None) for row in parse(bytes(content))]
-                except (Malformed, ValueError, IndexError, RecursionError) as e:
-                    out.append((path, *empty, f"{type(e).__name__}: {e}"))
-            frame = pd.DataFrame(out, columns=names)
-            for f in schema:
-                if f.dataType.typeName() in ("long", "integer"):
-                    frame[f.name] = frame[f.name].astype("Int64")
-            yield frame
-
-    return decode
-
-
-def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(arquivo, content) of the files below a folder."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).load(path)
-            .select(F.col("path").alias("arquivo"), "content"))
-
-
-def decode_reports(files: DataFrame) -> DataFrame:
-    """One row per vote line of each report, or one row with `erro`."""
-    rows = files.select("arquivo", "content").mapInPandas(_decoder(report_rows, BALLOT_ROWS), BALLOT_ROWS)
-    return rows.withColumn("tipo", F.when(F.col("erro").isNull(),
-                                          code_name(F.col("tipo"), K.REPORT_VOTE_TYPES)))
+def report_lines(lines: DataFrame) -> DataFrame:
+    """Lines of ballot reports (columns of BALLOT_ROWS) with phase and vote type by name."""
+    phases = F.create_map(*[F.lit(x) for item in K.REPORT_PHASES.items() for x in item])
+    phase = F.coalesce(F.try_element_at(phases, F.col("fase").cast("int")), F.lit("desconhecida"))
+    read = F.col("erro").isNull()
+    return (lines.withColumn("fase", F.when(read, phase))
+            .withColumn("tipo", F.when(read, code_name(F.col("tipo"), K.REPORT_VOTE_TYPES)))
+            .select(*[F.col(f.name).cast(f.dataType) for f in BALLOT_ROWS]))
 
 
-def decode_records(files: DataFrame) -> DataFrame:
-    rows = files.select("arquivo", "content").mapInPandas(_decoder(record_rows, RECORD_ROWS), RECORD_ROWS)
-    return rows.withColumn("tipo", F.when(F.col("erro").isNull(),
-                                          code_name(F.col("tipo"), K.RECORD_VOTE_TYPES)))
+def record_lines(lines: DataFrame) -> DataFrame:
+    """Lines of vote records (columns of RECORD_ROWS) with the vote type by name."""
+    named = F.when(F.col("erro").isNull(), code_name(F.col("tipo"), K.RECORD_VOTE_TYPES))
+    return lines.withColumn("tipo", named).select(*[F.col(f.name).cast(f.dataType) for f in RECORD_ROWS])
 
 
 def record_summary(records: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from meshtally import schemas
 from meshtally.operators.guards import CheckFailed, enforce
 from meshtally.plans import convert as C
-from meshtally.registry import encode as E
 from meshtally.sources import archives, ballots, documents, official, tables
 
 HEAD = ";".join(schemas.RAW_PLACES.names) + ";EXTRA\n"
@@ -140,77 +139,69 @@ def test_official_totals_as_the_box_recorded(spark):
 
 # ---------------------------------------------------------------- ballots
 
-def decode(spark, **files):
-    df = spark.createDataFrame([(k, bytearray(v)) for k, v in files.items()], "arquivo string, content binary")
-    return ballots.decode_reports(df)
+def reports(spark, *lines):
+    """Report lines from (file, phase, office, turnout, vote type, votes, number) or (file, error)."""
+    rows = []
+    for name, *rest in lines:
+        if len(rest) == 1:
+            rows.append((name, *[None] * 15, rest[0]))
+        else:
+            phase, office, turnout, kind, votes, number = rest
+            rows.append((name, "00077", 3, 21, 8, 1, str(phase), 900, 0, 0, office, turnout, str(kind), votes, number, number, None))
+    return ballots.report_lines(spark.createDataFrame(rows, schemas.BALLOT_ROWS))
 
 
-GOOD = [(619, [(10, [(1, [E.votable(1, 6, 13, 13), E.votable(2, 3), E.votable(3, 1)])])]),
-        (620, [(10, [(6, [E.votable(1, 7, 13, 1313), E.votable(4, 3, 13)])])])]
-
-
-def test_report_is_decoded_and_moved_lists_are_found(spark):
-    rows = decode(spark, usual=E.report(elections=GOOD), moved=E.report(elections=GOOD, head=9, before_groups=5)).collect()
-    for name in ("usual", "moved"):
-        got = {(r.eleicao, r.cargo, r.tipo, r.quantidade, r.partido, r.numero) for r in rows if r.arquivo == name}
-        assert got == {(619, 1, "nominal", 6, 13, 13), (619, 1, "branco", 3, None, None), (619, 1, "nulo", 1, None, None),
-                       (620, 6, "nominal", 7, 13, 1313), (620, 6, "legenda", 3, 13, 13)}
-        r = next(r for r in rows if r.arquivo == name)
-        assert (r.municipio, r.zona, r.local, r.secao, r.pleito, r.fase) == ("00310", 17, 1074, 1, 452, "oficial")
-
-
-def test_broken_files_become_rejects(spark):
-    good = E.report(elections=GOOD)
-    rows = decode(spark, cut=good[:-5], empty=b"", text=b"not a report", none=E.report(results=E.seq(E.num(1))),
-                  negative=E.report(elections=[(1, [(10, [(1, [E.votable(1, -2, 13)])])])]), big=E.report(town=123456, elections=GOOD)).collect()
-    assert len(rows) == 6 and all(r.erro and r.cargo is None for r in rows)
+def test_report_lines_are_named(spark):
+    rows = reports(spark, ("a", 2, 1, 30, 1, 20, 71), ("a", 2, 1, 30, 2, 10, None), ("b", 1, 1, 5, 4, 5, 71), ("c", 8, 1, 2, 9, 2, None), ("d", "cut short"))
+    got = {(r.arquivo, r.fase, r.tipo, r.erro) for r in rows.collect()}
+    assert got == {("a", "oficial", "nominal", None), ("a", "oficial", "branco", None), ("b", "simulado", "legenda", None),
+                   ("c", "desconhecida", "desconhecido_9", None), ("d", None, None, "cut short")}
+    assert rows.schema.names == schemas.BALLOT_ROWS.names
 
 
 def test_rejection_policy(spark):
-    files = {f"g{i:03}": E.report(section=i, elections=[(619, [(10, [(11, [E.votable(1, 10, 44, 44)])])])]) for i in range(300)}
-    rows = decode(spark, **files, z=b"x").cache()
+    many = [(f"u{i:03}", 2, 11, 9, 1, 9, 62) for i in range(260)]
+    rows = reports(spark, *many, ("w", "unreadable")).cache()
     bad = C.rejections(rows)
-    enforce(C.rejection_rate(rows, bad))                      # 1 of 301 is under the limit
-    got = C.ballot_counts(C.counted_rows(rows, bad, [11])).collect()
-    assert sum(r.qt_votos for r in got) == 3000
-    worse = decode(spark, **{f"b{i}": b"x" for i in range(10)})
+    enforce(C.rejection_rate(rows, bad))                      # 1 of 261 is under the limit
+    assert sum(r.qt_votos for r in C.ballot_counts(C.counted_rows(rows, bad, [11])).collect()) == 260 * 9
+    worse = reports(spark, *[(f"w{i}", "unreadable") for i in range(4)])
     with pytest.raises(CheckFailed):
         enforce(C.rejection_rate(worse, C.rejections(worse)))
-    odd = decode(spark, train=E.report(phase=1, elections=GOOD), uneven=E.report(elections=[(619, [(99, [(1, [E.votable(1, 10, 13)])])])]),
-                 senate=E.report(elections=[(620, [(10, [(5, [E.votable(1, 20, 13, 131)])])])]),
-                 strange=E.report(elections=[(619, [(4, [(1, [E.votable(9, 4)])])])]))
-    assert {r.arquivo: r.classe for r in C.rejections(odd).collect()} == {"train": "fase", "uneven": "conta", "strange": "conta"}
+    odd = reports(spark, ("trial", 1, 1, 9, 1, 9, 62), ("uneven", 2, 1, 31, 1, 30, 62), ("two seats", 2, 5, 15, 1, 30, 621),
+                  ("new type", 2, 1, 6, 9, 6, None), ("no number", 2, 1, 6, 1, 6, None), ("cut", "cut short"))
+    assert {r.arquivo: r.classe for r in C.rejections(odd).collect()} == {
+        "trial": "fase", "uneven": "conta", "new type": "conta", "no number": "conta", "cut": "estrutura"}
 
 
-def test_vote_record_rows(spark):
-    files = {"a": E.record([(619, [(1, [(2, "13"), (3, None), (4, "99")])])]), "s": E.record([(619, [(1, [(2, "13")])])], supplementary=True), "x": b"\x30\x05"}
-    df = spark.createDataFrame([(k, bytearray(v)) for k, v in files.items()], "arquivo string, content binary")
-    rows = ballots.decode_records(df).orderBy("arquivo", "ordem").collect()
-    assert [(r.arquivo, r.ordem, r.tipo, r.digitacao) for r in rows if not r.erro] == [
-        ("a", 1, "nominal", "13"), ("a", 2, "branco", None), ("a", 3, "nulo", "99"), ("s", 1, "nominal", "13")]
-    assert [r.arquivo for r in rows if r.erro] == ["x"]
+def test_vote_record_lines(spark):
+    lines = [("a", 900, 1, 1, "2", "62", None), ("a", 900, 1, 2, "3", None, None), ("b", 900, 1, 1, "2", "71", None), ("c", None, None, None, None, None, "cut short")]
+    rows = ballots.record_lines(spark.createDataFrame(lines, schemas.RECORD_ROWS))
+    assert {(r.arquivo, r.ordem, r.tipo) for r in rows.collect()} == {("a", 1, "nominal"), ("a", 2, "branco"), ("b", 1, "nominal"), ("c", None, None)}
+    assert {(r.tipo, r.votos) for r in ballots.record_summary(rows).collect()} == {("nominal", 2), ("branco", 1)}
 
 
 def register(spark):
     cols = "SG_UF DS_CARGO SQ_CANDIDATO NR_CANDIDATO SG_UE NM_URNA_CANDIDATO NR_PARTIDO SG_PARTIDO DS_SITUACAO_CANDIDATURA DS_SIT_TOT_TURNO".split()
-    rows = [("RR", "Prefeito", "1", "44", "03018", "NICOLETTI", "44", "UNIAO", "APTO", "#NULO"),
-            ("RR", "Prefeito", "2", "44", "03018", "CATARINA", "44", "UNIAO", "APTO", "Não eleito"),
-            ("RR", "Prefeito", "3", "44", "03019", "OUTRA", "44", "UNIAO", "APTO", "Não eleito"),
-            ("RR", "Prefeito", "4", "15", "03018", "INAPTA", "15", "MDB", "INAPTO", "#NULO"),
-            ("RR", "Prefeito", "5", "15", "03018", "APTA", "15", "MDB", "APTO", "#NULO")]
+    rows = [("XX", "Prefeito", "81", "62", "00077", "PRIMEIRA", "62", "P62", "APTO", "#NULO"),
+            ("XX", "Prefeito", "82", "62", "00077", "SEGUNDA", "62", "P62", "INAPTO", "Eleito"),
+            ("XX", "Prefeito", "70", "62", "00078", "VIZINHA", "62", "P62", "APTO", "#NE"),
+            ("XX", "Prefeito", "91", "71", "00077", "RETIRADA", "71", "P71", "INAPTO", None),
+            ("XX", "Prefeito", "90", "71", "00077", "FIRME", "71", "P71", "APTO", None),
+            ("XX", "Prefeito", "95", "53", "00077", "ANTIGA", "53", "P53", "APTO", None),
+            ("XX", "Prefeito", "96", "53", "00077", "RECENTE", "53", "P53", "APTO", None)]
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
 
 
 def test_conversion_to_vote_rows(spark):
     best = {(r.SG_UE, r.NR_CANDIDATO): r.NM_URNA_CANDIDATO for r in C.preferred_candidacies(register(spark)).collect()}
-    assert best == {("03018", "44"): "CATARINA", ("03019", "44"): "OUTRA", ("03018", "15"): "APTA"}
-    counts = spark.createDataFrame([("03018", 1, 1015, 11, "nominal", 44, 44, 100), ("03018", 1, 1015, 11, "branco", None, None, 3),
-                                    ("03018", 1, 1015, 11, "nulo", None, None, 2), ("03018", 1, 1015, 11, "legenda", 44, 44, 5)],
+    assert best == {("00077", "62"): "SEGUNDA", ("00078", "62"): "VIZINHA", ("00077", "71"): "FIRME", ("00077", "53"): "RECENTE"}
+    counts = spark.createDataFrame([("00077", 3, 21, 11, "nominal", 62, 62, 40), ("00077", 3, 21, 11, "branco", None, None, 6),
+                                    ("00077", 3, 21, 11, "cargo_sem_candidato", None, None, 4), ("00077", 3, 21, 11, "legenda", 71, 71, 9)],
                                    "municipio string, zona int, local int, cargo int, tipo string, partido int, numero int, qt_votos bigint")
-    df = C.vote_rows(counts, "rr", 2024, "1", register(spark))
+    df = C.vote_rows(counts, "xx", 2028, "2", register(spark))
     assert df.columns == schemas.VOTE_COLUMNS
-    got = {r.tipo_voto: r for r in df.collect()}
-    assert got["nominal"].id_local_votacao == "RR_03018_1_1015" and got["nominal"].nm_votavel == "CATARINA"
-    assert (got["branco"].nr_votavel, got["branco"].sq_candidato, got["branco"].sg_partido) == ("95", "-1", None)
-    assert (got["nulo"].nr_votavel, got["nulo"].nm_votavel) == ("96", "VOTO NULO")
-    assert (got["legenda"].sq_candidato, got["legenda"].nm_votavel, got["legenda"].sg_partido) == ("-3", "UNIAO", "UNIAO")
+    got = {r.tipo_voto: (r.id_local_votacao, r.sq_candidato, r.nr_votavel, r.nm_votavel, r.sg_partido, r.qt_votos) for r in df.collect()}
+    place = "XX_00077_3_21"
+    assert got == {"nominal": (place, "82", "62", "SEGUNDA", "P62", 40), "branco": (place, "-1", "95", "VOTO EM BRANCO", None, 6),
+                   "cargo_sem_candidato": (place, "-1", "96", "VOTO NULO", None, 4), "legenda": (place, "-3", "71", "P71", "P71", 9)}
