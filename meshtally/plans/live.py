@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,24 +60,26 @@ def live_votes(rows: DataFrame, mapped: DataFrame) -> DataFrame:
     return rows.join(at, ["municipio", "zona", "local", "secao"])
 
 
-def live_results(rows: DataFrame) -> DataFrame:
-    """Votes per region, office and votable. `rows` come from `live_votes`.
+def live_results(rows: DataFrame, contest: Sequence[str] = ("cargo",)) -> DataFrame:
+    """Votes per region, contest and votable. `rows` come from `live_votes`.
+
+    `contest` must hold the round too where the rows have more than one.
 
     A vote for an office without candidates is null, and a list vote goes by party,
     as in the batch chain.
     """
     kind = F.when(F.col("tipo") == "cargo_sem_candidato", "nulo").otherwise(F.col("tipo"))
     number = F.when(kind == "legenda", F.col("partido")).when(kind == "nominal", F.col("numero"))
-    return rows.groupBy("id_regiao", "cargo", kind.alias("tipo"), number.alias("numero")).agg(
+    return rows.groupBy("id_regiao", *contest, kind.alias("tipo"), number.alias("numero")).agg(
         F.sum("quantidade").alias("votos"))
 
 
-def live_shares(results: DataFrame) -> DataFrame:
+def live_shares(results: DataFrame, contest: Sequence[str] = ("cargo",)) -> DataFrame:
     """Shares over valid votes for votables, over turnout for blank and null."""
     valid = F.col("tipo").isin("nominal", "legenda")
-    sums = results.groupBy("id_regiao", "cargo").agg(
+    sums = results.groupBy("id_regiao", *contest).agg(
         F.sum(F.when(valid, F.col("votos"))).alias("validos"), F.sum("votos").alias("comparecimento"))
-    both = results.join(sums, ["id_regiao", "cargo"])
+    both = results.join(sums, ["id_regiao", *contest])
     return both.withColumn("pct", numbers.percent(
         F.col("votos"), F.when(valid, F.col("validos")).otherwise(F.col("comparecimento"))))
 

@@ -89,7 +89,11 @@ def voter_maps(rows: DataFrame) -> DataFrame:
 
 def region_documents(regions: DataFrame, mapping: DataFrame, votes: DataFrame,
                      voters: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """One document per region, in its municipality's folder."""
+    """One document per region, in its municipality's folder.
+
+    A region with more than a thousand other names goes on in further rows (`parte` 1, 2, ...),
+    which hold names alone.
+    """
     ids, _ = public_keys(regions, mapping)
     doc = (regions.join(ids.select("id_regiao", "id_publico"), "id_regiao")
            .join(region_results(votes), "id_regiao", "left")
@@ -97,15 +101,17 @@ def region_documents(regions: DataFrame, mapping: DataFrame, votes: DataFrame,
     if names is not None:
         parts = chunked_lists(names, ["id_regiao"], ["nome"], F.col("nome"),
                               F.substring("nome", 1, 2), out="outros_locais")
-        doc = doc.join(parts.where("part = 0").drop("part"), "id_regiao", "left")
+        doc = doc.join(parts, "id_regiao", "left")
     else:
-        doc = doc.withColumn("outros_locais", F.array().cast("array<string>"))
+        doc = doc.withColumn("outros_locais", F.array().cast("array<string>")).withColumn("part", F.lit(0))
+    doc = doc.withColumn("parte", F.coalesce("part", F.lit(0)).cast("bigint"))
     return doc.select(
-        "cd_municipio_ibge", "id_regiao", F.col("id_publico").alias("id"),
+        "cd_municipio_ibge", "id_regiao", F.col("id_publico").alias("id"), "parte",
         F.col("nm_local_votacao").alias("local"), F.col("ds_endereco").alias("endereco"),
         F.round("latitude_final", 6).alias("lat"), F.round("longitude_final", 6).alias("lon"),
         F.coalesce("outros_locais", F.array().cast("array<string>")).alias("outros_locais"),
-        "resultados", "nao_nominal", "total_votos", "eleitorado", "abstencao")
+        *[F.when(F.col("parte") == 0, F.col(c)).alias(c) for c in
+          ("resultados", "nao_nominal", "total_votos", "eleitorado", "abstencao")])
 
 
 def share_summary(regions: DataFrame, mapping: DataFrame, votes: DataFrame) -> DataFrame:

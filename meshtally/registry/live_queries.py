@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from meshtally import constants as K
 from meshtally.operators import votes as V
 from meshtally.plans import convert as C
 from meshtally.plans import live as L
 from meshtally.plans import reconcile as REC
 from meshtally.plans import validate as VAL
 from meshtally.plans import publish as PUB
-from meshtally.registry import encode as E
 from meshtally.registry.common import MESH, SECTION, pct_sql, query, tidy
 from meshtally.registry.index_queries import stored_index
 from meshtally.registry.mesh_queries import mesh, sections
@@ -33,8 +34,29 @@ def scratch(s, name: str) -> str:
 
 # ---------------------------------------------------------------- ballots
 
+def unread(s):
+    """One row for each report or record of which nothing can be read (`quebra`)."""
+    return s.ballot.where("quebra = 1").select("arquivo", F.lit("cut short").alias("erro")).distinct()
+
+
 def decoded(s):
-    return settle(B.decode_reports(E.report_files(s.ballot)))
+    """Lines of the `ballot` relation as reports; `desvio` declares one voter too many for each office."""
+    office = Window.partitionBy("arquivo", "cargo")  # the lines of one report
+    lines = s.ballot.where("quebra = 0").select(
+        "arquivo", F.lpad(F.col("municipio").cast("string"), 5, "0").alias("municipio"), "zona", "local", "secao",
+        F.lit(1).alias("pleito"), F.col("fase").cast("string").alias("fase"), F.lit(619).alias("eleicao"), F.lit(0).alias("grupo"),
+        F.lit(0).alias("ordem"), "cargo", (F.sum("quantidade").over(office) + F.col("desvio")).alias("comparecimento"),
+        F.col("tipo").cast("string").alias("tipo"), "quantidade", "partido", "numero", F.lit(None).cast("string").alias("erro"))
+    return settle(B.report_lines(lines.unionByName(unread(s), allowMissingColumns=True)))
+
+
+def recorded(s):
+    """The same lines as vote records, which number the vote types differently."""
+    lines = s.ballot.where("quebra = 0").select(
+        "arquivo", F.lit(619).alias("eleicao"), "cargo", F.col("linha").alias("ordem"),
+        F.expr("CAST(ELT(tipo, 2, 3, 4, 1) AS STRING)").alias("tipo"), F.col("numero").cast("string").alias("digitacao"),
+        F.lit(None).cast("string").alias("erro"))
+    return B.record_lines(lines.unionByName(unread(s), allowMissingColumns=True))
 
 
 _GOOD = "fase = 2 AND quebra = 0 AND desvio = 0"
@@ -115,7 +137,14 @@ OFFICIAL_TOTAL = """SELECT sg_uf, comparecimento, validos + CASE WHEN sg_uf = 'S
 MY_TOTAL = STATE_TYPE.replace("FROM {vote} WHERE cargo = 'PRESIDENTE' AND turno = '1'", "FROM {mine}")
 _UNPIVOT = "SELECT sg_uf, t AS total, v AS valor, tv FROM (SELECT *, comparecimento AS tv FROM {%s}) UNPIVOT (v FOR t IN (comparecimento, validos, brancos, nulos))"
 OFFICIAL = dict(state_type=STATE_TYPE, official_total=OFFICIAL_TOTAL, named=NAMED, mine=MINE, my_total=MY_TOTAL,
-                a=_UNPIVOT % "my_total", b=_UNPIVOT % "official_total")
+                a=_UNPIVOT % "my_total", b=_UNPIVOT % "official_total", compared="""
+    SELECT a.sg_uf, a.total, b.valor AS oficial, a.valor AS nosso, a.valor - b.valor AS diferenca, b.tv - a.tv AS falta,
+                  CASE WHEN a.valor = b.valor THEN ' ' WHEN b.tv > a.tv AND a.valor - b.valor BETWEEN a.tv - b.tv AND 0 THEN '~' ELSE 'x' END AS marca
+           FROM {a} a JOIN {b} b ON a.sg_uf = b.sg_uf AND a.total = b.total""", compared_names="""
+    SELECT sg_uf, tipo_voto, nr_votavel, COALESCE(o, 0) AS oficial, COALESCE(n, 0) AS nosso, COALESCE(n, 0) - COALESCE(o, 0) AS diferenca,
+                  CASE WHEN ABS(COALESCE(n, 0) - COALESCE(o, 0)) <= GREATEST(10.0, COALESCE(o, 0) * 0.0001) THEN ' ' ELSE 'x' END AS marca
+           FROM (SELECT sg_uf, tipo_voto, nr_votavel, votos AS o FROM {named} UNION ALL SELECT DISTINCT sg_uf, 'legenda', '1', 7 FROM {named} WHERE partido = 'P1') x
+           FULL JOIN (SELECT sg_uf, tipo_voto, nr_votavel, CAST(SUM(qt_votos) AS BIGINT) AS n FROM {mine} WHERE tipo_voto = 'nominal' GROUP BY 1,2,3) y USING (sg_uf, tipo_voto, nr_votavel)""")
 
 
 # ---------------------------------------------------------------- sections
@@ -156,17 +185,19 @@ def section_rows(s):
     return s.sql("""SELECT LPAD(CD_MUNICIPIO, 5, '0') AS municipio, CAST(NR_ZONA AS INT) AS zona, CAST(NR_LOCAL_VOTACAO AS INT) AS local, CAST(NR_SECAO AS INT) AS secao,
                            CASE WHEN DS_CARGO = 'Presidente' THEN 1 ELSE 6 END AS cargo,
                            CASE NR_VOTAVEL WHEN '95' THEN 'branco' WHEN '96' THEN 'nulo' WHEN '97' THEN 'cargo_sem_candidato' WHEN '17' THEN 'legenda' WHEN '18' THEN 'legenda' ELSE 'nominal' END AS tipo,
-                           COALESCE(TRY_CAST(QT_VOTOS AS BIGINT), 0) AS quantidade, CAST(NR_VOTAVEL AS BIGINT) AS partido, CAST(NR_VOTAVEL AS BIGINT) AS numero
-                    FROM {vote_raw} WHERE ANO_ELEICAO = '2026'""")
+                           COALESCE(TRY_CAST(QT_VOTOS AS BIGINT), 0) AS quantidade, CAST(NR_VOTAVEL AS BIGINT) AS partido, CAST(NR_VOTAVEL AS BIGINT) AS numero,
+                           TRIM(NR_TURNO) AS turno
+                    FROM {vote_raw} WHERE ANO_ELEICAO = '2026' AND TRIM(CD_TIPO_ELEICAO) = '2'""")
 
 
+CONTEST = ["turno", "cargo"]
 LIVE = dict(**SECTION_MAP, live="""
-    SELECT id_regiao, CASE WHEN DS_CARGO = 'Presidente' THEN 1 ELSE 6 END AS cargo,
+    SELECT id_regiao, TRIM(NR_TURNO) AS turno, CASE WHEN DS_CARGO = 'Presidente' THEN 1 ELSE 6 END AS cargo,
            CASE NR_VOTAVEL WHEN '95' THEN 'branco' WHEN '96' THEN 'nulo' WHEN '97' THEN 'nulo' WHEN '17' THEN 'legenda' WHEN '18' THEN 'legenda' ELSE 'nominal' END AS tipo,
            CASE WHEN NR_VOTAVEL IN ('95', '96', '97') THEN NULL ELSE CAST(NR_VOTAVEL AS BIGINT) END AS numero, COALESCE(TRY_CAST(QT_VOTOS AS BIGINT), 0) AS q,
            m.cd_municipio_tse AS municipio, m.nr_zona AS zona, m.nr_secao AS secao
     FROM {vote_raw} v JOIN {section_map} m ON LPAD(v.CD_MUNICIPIO, 5, '0') = m.cd_municipio_tse AND CAST(v.NR_ZONA AS INT) = m.nr_zona AND CAST(v.NR_SECAO AS INT) = m.nr_secao
-         AND CAST(v.NR_LOCAL_VOTACAO AS INT) = m.nr_local WHERE ANO_ELEICAO = '2026'""")
+         AND CAST(v.NR_LOCAL_VOTACAO AS INT) = m.nr_local WHERE ANO_ELEICAO = '2026' AND TRIM(CD_TIPO_ELEICAO) = '2'""")
 
 
 # ---------------------------------------------------------------- streams
@@ -283,7 +314,7 @@ QUERIES = {
                  UNION ALL SELECT COUNT(*), COUNT(*) FILTER (ruim), '0.5', 0.5 FROM (SELECT * FROM {files} ORDER BY arquivo LIMIT 200) HAVING COUNT(*) >= 200)
            WHERE n > 0 AND bad / n > l""", files="SELECT arquivo, bool_or(quebra = 1 OR fase <> 2 OR desvio = 1) AS ruim FROM {ballot} GROUP BY 1"),
     "vote_records": query(
-        lambda s: tidy(B.record_summary(B.decode_records(E.record_files(s.ballot)))),
+        lambda s: tidy(B.record_summary(recorded(s))),
         f"SELECT 619 :: BIGINT AS eleicao, CAST(cargo AS BIGINT) AS cargo, {_TYPE} AS tipo, COUNT(*) AS votos FROM {{ballot}} WHERE quebra = 0 GROUP BY 2, 3"),
     "ballot_conversion": query(
         lambda s: tidy(C.vote_rows(counts(s), "xx", 2026, "1", s.candidacy)),
@@ -318,17 +349,19 @@ QUERIES = {
         "SELECT sg_uf, 100::BIGINT AS secoes, 99::BIGINT AS totalizadas, 99.5::DOUBLE AS pct FROM {state_type}", state_type=STATE_TYPE),
     "reconcile_totals": query(
         lambda s: tidy(reconciled(s)[1].select("sg_uf", "total", "oficial", "nosso", "diferenca", "marca")),
-        """SELECT a.sg_uf, a.total, b.valor AS oficial, a.valor AS nosso, a.valor - b.valor AS diferenca,
-                  CASE WHEN a.valor = b.valor THEN ' ' WHEN b.tv > a.tv AND a.valor - b.valor BETWEEN a.tv - b.tv AND 0 THEN '~' ELSE 'x' END AS marca
-           FROM {a} a JOIN {b} b ON a.sg_uf = b.sg_uf AND a.total = b.total""", **OFFICIAL),
+        "SELECT sg_uf, total, oficial, nosso, diferenca, marca FROM {compared}", **OFFICIAL),
     "reconcile_votables": query(
         lambda s: tidy(reconciled(s)[2].select("sg_uf", "tipo_voto", "nr_votavel", "oficial", "nosso", "diferenca", "marca")),
-        """SELECT sg_uf, tipo_voto, nr_votavel, COALESCE(o, 0) AS oficial, COALESCE(n, 0) AS nosso, COALESCE(n, 0) - COALESCE(o, 0) AS diferenca,
-                  CASE WHEN ABS(COALESCE(n, 0) - COALESCE(o, 0)) <= GREATEST(10.0, COALESCE(o, 0) * 0.0001) THEN ' ' ELSE 'x' END AS marca
-           FROM (SELECT sg_uf, tipo_voto, nr_votavel, votos AS o FROM {named} UNION ALL SELECT DISTINCT sg_uf, 'legenda', '1', 7 FROM {named} WHERE partido = 'P1') x
-           FULL JOIN (SELECT sg_uf, tipo_voto, nr_votavel, CAST(SUM(qt_votos) AS BIGINT) AS n FROM {mine} WHERE tipo_voto = 'nominal' GROUP BY 1,2,3) y USING (sg_uf, tipo_voto, nr_votavel)""",
-        **OFFICIAL),
-    "reconcile_problems": query(lambda s: reconciled(s)[0]),
+        "SELECT * FROM {compared_names}", **OFFICIAL),
+    "reconcile_problems": query(
+        lambda s: reconciled(s)[0],
+        f"""SELECT 'reconcile' AS "check", 'official' AS context, sg_uf || ': ' || detail AS detail FROM (
+              SELECT sg_uf, total || ' differs by ' || diferenca AS detail FROM {{compared}} WHERE marca = 'x'
+              UNION ALL SELECT sg_uf, 'short of ' || falta || ' votes' FROM {{compared}}
+                        WHERE total = 'comparecimento' AND falta > 0 AND falta / GREATEST(oficial, 1) > {K.MISSING_LIMIT}
+              UNION ALL SELECT sg_uf, 'more votes than the official count' FROM {{compared}} WHERE total = 'comparecimento' AND falta < 0)
+            UNION ALL SELECT 'reconcile', 'official', sg_uf || ', number ' || nr_votavel || ' differs by ' || diferenca
+                      FROM {{compared_names}} WHERE marca = 'x'""", **OFFICIAL),
     "section_config": query(
         lambda s: O.sections(config_documents(s), announced_only=True),
         """SELECT DISTINCT sg_uf AS uf, cd_municipio_tse AS municipio, nm_municipio AS municipio_nome, LPAD(CAST(nr_zona AS STRING), 4, '0') AS zona,
@@ -344,11 +377,11 @@ QUERIES = {
         """SELECT COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 <> 0) AS mapeadas, COUNT(*) FILTER (id_regiao % 4 = 0) AS fora_da_malha,
                   COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 = 0) AS agregadas FROM {section} JOIN {mapping} USING (id_local_votacao)""", **MESH, section=SECTION),
     "live_results": query(
-        lambda s: tidy(L.live_shares(L.live_results(L.live_votes(section_rows(s), settle(mapped(s)))))),
-        f"""SELECT id_regiao, CAST(cargo AS BIGINT) AS cargo, tipo, numero, votos, validos, comparecimento,
+        lambda s: tidy(L.live_shares(L.live_results(L.live_votes(section_rows(s), settle(mapped(s))), CONTEST), CONTEST)),
+        f"""SELECT id_regiao, turno, CAST(cargo AS BIGINT) AS cargo, tipo, numero, votos, validos, comparecimento,
                    CASE WHEN tipo IN ('nominal', 'legenda') THEN {pct_sql('votos', 'validos')} ELSE {pct_sql('votos', 'comparecimento')} END AS pct
             FROM (SELECT *, CAST(SUM(votos) FILTER (tipo IN ('nominal', 'legenda')) OVER w AS BIGINT) AS validos, CAST(SUM(votos) OVER w AS BIGINT) AS comparecimento FROM
-                  (SELECT id_regiao, cargo, tipo, numero, CAST(SUM(q) AS BIGINT) AS votos FROM {{live}} GROUP BY 1,2,3,4) WINDOW w AS (PARTITION BY id_regiao, cargo))""", **LIVE),
+                  (SELECT id_regiao, turno, cargo, tipo, numero, CAST(SUM(q) AS BIGINT) AS votos FROM {{live}} GROUP BY 1,2,3,4,5) WINDOW w AS (PARTITION BY id_regiao, turno, cargo))""", **LIVE),
     "live_progress": query(
         lambda s: (lambda m: tidy(L.live_progress(L.live_votes(section_rows(s), m), m)))(settle(mapped(s))),
         """SELECT id_regiao, esperadas, COALESCE(urnas, 0) AS urnas, CASE WHEN COALESCE(urnas, 0) = 0 THEN 'sem' WHEN urnas >= esperadas THEN 'completo' ELSE 'parcial' END AS situacao

@@ -96,7 +96,7 @@ def _live_abstention(s):
     """Round-2 voters are missing in 2026, so round 1 stands in."""
     enrolled = voters(s).join(mesh(s)[1], "id_local_votacao").where("not (ano_eleicao = 2026 and turno = '2')")
     enrolled = enrolled.groupBy("id_regiao", "ano_eleicao", "turno").agg(F.sum("qt_eleitores").alias("qt_eleitores"))
-    turnout = region_votes(s).groupBy("id_regiao", "ano_eleicao", "turno").agg(F.sum("qt_votos").alias("comparecimento"))
+    turnout = region_votes(s).where("cargo = 'PRESIDENTE'").groupBy("id_regiao", "ano_eleicao", "turno").agg(F.sum("qt_votos").alias("comparecimento"))
     return tidy(L.live_abstention(enrolled, turnout))
 
 
@@ -207,7 +207,7 @@ QUERIES = {
         _live_abstention,
         f"""SELECT t.id_regiao, CAST(t.ano_eleicao AS BIGINT) AS ano_eleicao, t.turno, t.comparecimento, e.qt AS qt_eleitores,
                    CASE WHEN e.qt >= t.comparecimento THEN e.qt - t.comparecimento END AS abstencao
-            FROM (SELECT id_regiao, ano_eleicao, turno, CAST(SUM(qt_votos) AS BIGINT) AS comparecimento FROM {{region_vote}} GROUP BY 1,2,3) t
+            FROM (SELECT id_regiao, ano_eleicao, turno, CAST(SUM(qt_votos) AS BIGINT) AS comparecimento FROM {{region_vote}} WHERE cargo = 'PRESIDENTE' GROUP BY 1,2,3) t
             LEFT JOIN (SELECT id_regiao, ano_eleicao, tt AS turno, COALESCE(MAX(qt_eleitores) FILTER (turno = tt AND NOT (ano_eleicao = 2026 AND turno = '2')),
                               MAX(qt_eleitores) FILTER (turno = '1')) AS qt FROM {{region_voter}} CROSS JOIN (VALUES ('1'), ('2')) v(tt) GROUP BY 1,2,3) e
             USING (id_regiao, ano_eleicao, turno)""", **RV, section=SECTION, voter=VOTER, region_voter=REGION_VOTER),
