@@ -88,10 +88,10 @@ def voter_maps(rows: DataFrame) -> DataFrame:
 
 
 def region_documents(regions: DataFrame, mapping: DataFrame, votes: DataFrame,
-                     voters: DataFrame, names: DataFrame | None = None) -> DataFrame:
+                     voters: DataFrame, names: DataFrame | None = None, size: int = 1000) -> DataFrame:
     """One document per region, in its municipality's folder.
 
-    A region with more than a thousand other names goes on in further rows (`parte` 1, 2, ...),
+    A region with more than `size` other names goes on in further rows (`parte` 1, 2, ...),
     which hold names alone.
     """
     ids, _ = public_keys(regions, mapping)
@@ -100,7 +100,7 @@ def region_documents(regions: DataFrame, mapping: DataFrame, votes: DataFrame,
            .join(voter_maps(region_voters(voters, mapping, votes)), "id_regiao", "left"))
     if names is not None:
         parts = chunked_lists(names, ["id_regiao"], ["nome"], F.col("nome"),
-                              F.substring("nome", 1, 2), out="outros_locais")
+                              F.substring("nome", 1, 2), size, "outros_locais")
         doc = doc.join(parts, "id_regiao", "left")
     else:
         doc = doc.withColumn("outros_locais", F.array().cast("array<string>")).withColumn("part", F.lit(0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from meshtally.operators import addresses as A
 from meshtally.operators import runs as R
 from meshtally.operators.ordered import exact_percentiles, ordinal
+from meshtally.plans import guarded as GRD
 from meshtally.plans import mesh as M
 from meshtally.plans import publish as PUB
 from meshtally.plans import reports as REP
@@ -134,6 +135,7 @@ QUERIES = {
     "index_runs": query(lambda s: tidy(SI.build_runs(SI.usable_rows(s.counts))), "SELECT * FROM {run}", **IDX),
     "index_streets": query(lambda s: tidy(index(s).streets),
                            "SELECT cd_municipio_ibge, logradouro, id_regiao_dominante, n_regioes, ROUND(fracao,4) AS fracao FROM {street}", **IDX),
+    "guarded_index_runs": query(lambda s: tidy(GRD.index(s.counts).runs), "SELECT * FROM {run}", **IDX),
     "index_street_regions": query(lambda s: tidy(index(s).street_regions), """
         SELECT cd_municipio_ibge, logradouro, id_regiao, ROUND(fracao,4) AS fracao, peso FROM {by_street} WHERE n_regioes > 1""", **IDX),
     "index_street_localities": query(lambda s: tidy(index(s).street_localities), """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from meshtally.operators import addresses as A
 from meshtally.operators import places as P
 from meshtally.operators.nearest import nearest_in_group
+from meshtally.plans import guarded as GRD
 from meshtally.plans import mesh as M
 from meshtally.registry.common import MAPPING, MESH, REGION_DIM, REGION_VOTE, SECTION, VOTER, poly_sql, query, tidy
 from meshtally.operators import votes as V
@@ -148,6 +149,7 @@ QUERIES = {
                cd_municipio_ibge, nm_municipio, n_locais_votacao, origem_coordenada, nm_local_votacao, ds_endereco
         FROM {region_dim}""", **MESH),
     "place_to_region": query(lambda s: tidy(M.build_regions(s.located)[1]), "SELECT * FROM {mapping}", **MESH),
+    "guarded_place_to_region": query(lambda s: tidy(GRD.regions(s.located)[1]), "SELECT * FROM {mapping}", **MESH),
     "other_place_names": query(
         lambda s: tidy(M.other_names(s.located, M.build_regions(s.located)[1])),
         """SELECT DISTINCT id_regiao, nm_local_votacao_consolidado AS nome FROM {located} JOIN {mapping} USING (id_local_votacao)

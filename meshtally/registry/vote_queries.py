@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from meshtally.functions import text
 from meshtally.functions import votes as FV
 from meshtally.operators import shares, votes as V
+from meshtally.plans import guarded as GRD
 from meshtally.plans import live as L
+from meshtally.plans import mesh as M
 from meshtally.plans import publish as PUB
 from meshtally.registry.common import (CLEAN_VOTE, MESH, REGION_VOTE, SECTION, VOTER, pct_sql, query, tidy)
 from meshtally.registry.mesh_queries import mesh, voters
@@ -144,6 +146,14 @@ QUERIES = {
     "votes_per_region": query(
         lambda s: tidy(V.votes_per_region(s.vote, mesh(s)[1])),
         f"SELECT id_regiao, sg_uf, {_Y}, turno, cargo, sq_candidato, nr_votavel, nm_votavel, sg_partido, tipo_voto, qt_votos FROM {{region_vote}}", **RV),
+    "guarded_region_votes": query(
+        lambda s: tidy(GRD.region_votes(s.vote, mesh(s)[1]).groupBy("id_regiao", "ano_eleicao", "turno", "cargo").agg(F.sum("qt_votos").alias("qt_votos"))),
+        f"SELECT id_regiao, {_Y}, turno, cargo, CAST(SUM(qt_votos) AS BIGINT) AS qt_votos FROM {{region_vote}} GROUP BY 1, ano_eleicao, 3, 4", **RV),
+    "guarded_party_votes": query(
+        lambda s: tidy(GRD.party(V.votes_per_place(clean(s)), s.register).groupBy("sg_partido", "tipo_voto").agg(F.sum("qt_votos").alias("qt_votos"))),
+        """SELECT CASE WHEN tipo_voto = 'legenda' THEN l.sg ELSE c.sg END AS sg_partido, tipo_voto, CAST(SUM(qt_votos) AS BIGINT) AS qt_votos FROM {clean_vote}
+           LEFT JOIN (SELECT SQ_CANDIDATO AS sq_candidato, MIN(SG_PARTIDO) AS sg FROM {register} GROUP BY 1) c USING (sq_candidato)
+           LEFT JOIN (SELECT NR_PARTIDO AS nr_votavel, MIN(SG_PARTIDO) AS sg FROM {register} GROUP BY 1) l USING (nr_votavel) GROUP BY 1, 2""", clean_vote=CLEAN_VOTE),
     "reallocated_votes": query(
         lambda s: tidy(_moved(s)),
         f"""SELECT id_regiao - (id_regiao + 1) % 2 AS id_regiao, sg_uf, {_Y}, turno, cargo, sq_candidato, nr_votavel, nm_votavel, sg_partido,
@@ -272,6 +282,12 @@ QUERIES = {
     "region_documents": query(
         lambda s: PUB.region_documents(*mesh(s), region_votes(s), voters(s)).select(
             "cd_municipio_ibge", "id_regiao", "id", F.to_json("resultados").alias("resultados"), F.to_json("eleitorado").alias("eleitorado"))),
+    "region_document_names": query(
+        lambda s: (lambda m: tidy(PUB.region_documents(*m, region_votes(s), voters(s), M.other_names(s.located, m[1]), size=1)
+                                  .select("id_regiao", "parte", F.explode("outros_locais").alias("nome"))))(mesh(s)),
+        """SELECT id_regiao, row_number() OVER (PARTITION BY id_regiao ORDER BY nome) - 1 AS parte, nome FROM (
+             SELECT DISTINCT id_regiao, nm_local_votacao_consolidado AS nome FROM {located} JOIN {mapping} USING (id_local_votacao)
+             QUALIFY nm_local_votacao_consolidado <> MIN(nm_local_votacao_consolidado) OVER (PARTITION BY id_regiao))""", **MESH),
     "aggregate_documents": query(
         lambda s: PUB.aggregate_documents(placed(s), ["sg_uf"]).select(
             "sg_uf", "ano_eleicao", "turno", "validos", "total", F.to_json("candidatos").alias("candidatos"))),
