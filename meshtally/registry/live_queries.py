@@ -19,7 +19,7 @@ from meshtally.registry.common import MESH, SECTION, pct_sql, query, tidy
 from meshtally.registry.index_queries import stored_index
 from meshtally.registry.mesh_queries import mesh, sections
 from meshtally.schemas import OFFICIAL_RESULT
-from meshtally.session import settle, shared_dir
+from meshtally.session import run_dir, settle
 from meshtally.sources import ballots as B
 from meshtally.sources import documents as D
 from meshtally.sources import official as O
@@ -28,8 +28,8 @@ from meshtally.streaming import ballots as ST
 
 
 def scratch(s, name: str) -> str:
-    """A fresh folder below the shared one."""
-    return os.path.join(shared_dir(s.spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh folder of this run."""
+    return os.path.join(run_dir(s.spark), f"{name}-{uuid.uuid4().hex}")
 
 
 # ---------------------------------------------------------------- ballots

@@ -43,12 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL["dir"]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This run's folder below the shared one; it goes when the driver ends."""
+    path = os.path.join(shared_dir(spark), f"run-{spark.sparkContext.applicationId}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)  # only what exists can be marked
+    files.deleteOnExit(folder)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Store a frame in the shared folder and continue from the stored table.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and the
-    next plan starts from a table of known size with prunable columns.
+    next plan starts from a table of known size with prunable columns. The table lasts as
+    long as the driver.
     """
-    path = os.path.join(shared_dir(df.sparkSession), f"settled-{uuid.uuid4().hex}")
+    path = os.path.join(run_dir(df.sparkSession), f"settled-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
