@@ -33,7 +33,9 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     run = f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     folder = jvm.org.apache.hadoop.fs.Path(run)
-    folder.getFileSystem(conf).deleteOnExit(folder)
+    files = folder.getFileSystem(conf)
+    files.mkdirs(folder)  # only what exists can be marked for removal
+    files.deleteOnExit(folder)
     path = os.path.join(run, uuid.uuid4().hex)
     df.write.option("compression", "zstd").parquet(path, partitionBy=list(partition_by) or None)
     return spark.read.schema(df.schema).parquet(path)
