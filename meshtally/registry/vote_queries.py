@@ -289,6 +289,12 @@ QUERIES = {
              SELECT DISTINCT id_regiao, nm_local_votacao_consolidado AS nome FROM {located} JOIN {mapping} USING (id_local_votacao)
              QUALIFY nm_local_votacao_consolidado <> MIN(nm_local_votacao_consolidado) OVER (PARTITION BY id_regiao))""", **MESH),
     "aggregate_documents": query(
-        lambda s: PUB.aggregate_documents(placed(s), ["sg_uf"]).select(
-            "sg_uf", "ano_eleicao", "turno", "validos", "total", F.to_json("candidatos").alias("candidatos"))),
+        lambda s: tidy(PUB.aggregate_documents(placed(s), ["sg_uf"]).select(
+            "sg_uf", "ano_eleicao", "turno", "validos", "total", F.posexplode_outer("candidatos").alias("posicao", "c"))
+            .select("sg_uf", "ano_eleicao", "turno", "validos", "total", "posicao", "c.*")),
+        f"""SELECT sg_uf, {_Y}, turno, validos, total, row_number() OVER (PARTITION BY sg_uf, ano_eleicao, turno ORDER BY votos DESC, nm_votavel) - 1 AS posicao,
+                   CASE WHEN nm_votavel LIKE 'CANDIDATO %' THEN 'Candidato ' || nm_votavel[11:] ELSE nm_votavel END AS nome, sg_partido AS partido, votos,
+                   {pct_sql('votos', 'validos')} AS pct
+            FROM {{cand}} JOIN (SELECT sg_uf, ano_eleicao, turno, CAST(SUM(qt_votos) AS BIGINT) AS total FROM {{pres}} GROUP BY 1, 2, 3) USING (sg_uf, ano_eleicao, turno)""",
+        pres="SELECT * FROM {vote} WHERE cargo = 'PRESIDENTE'", cand=cand_sql("sg_uf", "pres", "'nominal'")),
 }
