@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meshtally import constants as K
 from meshtally.functions import numbers, text
+from meshtally.operators.ordered import chunked_lists
 from meshtally.operators.shares import top_n
 
 SECTION = ["municipio", "zona", "secao"]
@@ -23,17 +24,18 @@ def valid_transmission(sent: DataFrame, keys: list[str], order: str = "ordem") -
 
 
 def section_map(sections: DataFrame, mapping: DataFrame, regions: DataFrame,
-                principal: DataFrame | None = None) -> DataFrame:
+                principal: DataFrame | None = None, contest: Sequence[str] = ()) -> DataFrame:
     """(municipality, region, zone, place, section) rows of sections with a ballot box.
 
     `principal` (cd_municipio_tse, nr_zona, nr_secao) leaves aggregated sections out.
+    `contest` names the columns (year, round) that keep the maps of several elections apart.
     """
     rows = sections.join(mapping, "id_local_votacao").join(
         regions.select("id_regiao", "cd_municipio_ibge"), "id_regiao")
     if principal is not None:
         rows = rows.join(principal.distinct(), ["cd_municipio_tse", "nr_zona", "nr_secao"], "left_semi")
     return rows.select("cd_municipio_ibge", F.lower("sg_uf").alias("uf"), "cd_municipio_tse",
-                       "id_regiao", "nr_zona", "nr_local", "nr_secao").distinct()
+                       "id_regiao", "nr_zona", "nr_local", "nr_secao", *contest).distinct()
 
 
 def section_map_counters(sections: DataFrame, mapping: DataFrame, principal: DataFrame) -> DataFrame:
@@ -47,17 +49,19 @@ def section_map_counters(sections: DataFrame, mapping: DataFrame, principal: Dat
                   F.count_if(known & F.col("_p").isNull()).alias("agregadas"))
 
 
-def section_lists(mapped: DataFrame) -> DataFrame:
-    """Per region, its sorted [zone, place, section] triples (a region has few sections)."""
-    return mapped.groupBy("cd_municipio_ibge", "id_regiao").agg(F.array_sort(F.collect_list(
-        F.array("nr_zona", "nr_local", "nr_secao"))).alias("secoes"))
+def section_lists(mapped: DataFrame, contest: Sequence[str] = (), size: int = 1000) -> DataFrame:
+    """Per region, its sorted [zone, place, section] triples, in parts of at most `size`."""
+    rows = mapped.select("cd_municipio_ibge", "id_regiao", *contest, "nr_zona", "nr_local", "nr_secao").distinct()
+    return chunked_lists(rows, ["cd_municipio_ibge", "id_regiao", *contest], ["nr_zona", "nr_local", "nr_secao"],
+                         F.array("nr_zona", "nr_local", "nr_secao"), F.struct("nr_zona", "nr_local"), size,
+                         "secoes").withColumnRenamed("part", "parte")
 
 
-def live_votes(rows: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Ballot rows placed in a region: the declared place must belong to it."""
+def live_votes(rows: DataFrame, mapped: DataFrame, contest: Sequence[str] = ()) -> DataFrame:
+    """Ballot rows placed in a region: the declared place must belong to it, in the same `contest`."""
     at = mapped.select(F.col("cd_municipio_tse").alias("municipio"), F.col("nr_zona").alias("zona"),
-                       F.col("nr_local").alias("local"), F.col("nr_secao").alias("secao"), "id_regiao")
-    return rows.join(at, ["municipio", "zona", "local", "secao"])
+                       F.col("nr_local").alias("local"), F.col("nr_secao").alias("secao"), "id_regiao", *contest)
+    return rows.join(at, ["municipio", "zona", "local", "secao", *contest])
 
 
 def live_results(rows: DataFrame, contest: Sequence[str] = ("cargo",)) -> DataFrame:
@@ -84,12 +88,12 @@ def live_shares(results: DataFrame, contest: Sequence[str] = ("cargo",)) -> Data
         F.col("votos"), F.when(valid, F.col("validos")).otherwise(F.col("comparecimento"))))
 
 
-def live_progress(rows: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Ballot boxes counted against expected per region: none, partial, complete."""
-    used = rows.select("id_regiao", *SECTION).distinct().groupBy("id_regiao").agg(
-        F.count("*").alias("urnas"))
-    expected = mapped.groupBy("id_regiao").agg(F.count("*").alias("esperadas"))
-    both = expected.join(used, "id_regiao", "left").fillna(0, ["urnas"])
+def live_progress(rows: DataFrame, mapped: DataFrame, contest: Sequence[str] = ()) -> DataFrame:
+    """Ballot boxes counted against expected per region and `contest`: none, partial, complete."""
+    keys = ["id_regiao", *contest]
+    used = rows.select(*keys, *SECTION).distinct().groupBy(*keys).agg(F.count("*").alias("urnas"))
+    expected = mapped.groupBy(*keys).agg(F.count("*").alias("esperadas"))
+    both = expected.join(used, keys, "left").fillna(0, ["urnas"])
     return both.withColumn("situacao", F.when(F.col("urnas") == 0, "sem")
                            .when(F.col("urnas") >= F.col("esperadas"), "completo").otherwise("parcial"))
 

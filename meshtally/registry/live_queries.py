@@ -16,7 +16,7 @@ from meshtally.plans import reconcile as REC
 from meshtally.plans import validate as VAL
 from meshtally.plans import publish as PUB
 from meshtally.registry.common import MESH, SECTION, pct_sql, query, tidy
-from meshtally.registry.index_queries import stored_index
+from meshtally.registry.index_queries import IDX, stored_index
 from meshtally.registry.mesh_queries import mesh, sections
 from meshtally.schemas import OFFICIAL_RESULT
 from meshtally.session import run_dir, settle
@@ -167,37 +167,41 @@ def principal(s):
         F.col("municipio").alias("cd_municipio_tse"), F.col("zona").cast("int").alias("nr_zona"), F.col("secao").cast("int").alias("nr_secao"))
 
 
+ELECTION = ["ano_eleicao", "turno"]
+
+
 def mapped(s):
     regions, mapping = mesh(s)
-    return L.section_map(sections(s).where("ano_eleicao = 2026 and turno = '1'"), mapping, regions, principal(s))
+    return L.section_map(sections(s), mapping, regions, principal(s), ELECTION)
 
 
 SECTION_MAP = dict(
     **MESH, section=SECTION,
     section_map="""SELECT DISTINCT r.cd_municipio_ibge, LOWER(s.sg_uf) AS uf, s.cd_municipio_tse, m.id_regiao, CAST(nr_zona AS BIGINT) AS nr_zona,
-                          CAST(nr_local AS BIGINT) AS nr_local, CAST(nr_secao AS BIGINT) AS nr_secao
+                          CAST(nr_local AS BIGINT) AS nr_local, CAST(nr_secao AS BIGINT) AS nr_secao, CAST(ano_eleicao AS BIGINT) AS ano_eleicao, turno
                    FROM {section} s JOIN {mapping} m USING (id_local_votacao) JOIN {region_dim} r USING (id_regiao)
-                   WHERE ano_eleicao = 2026 AND turno = '1' AND nr_secao % 10 <> 0""")
+                   WHERE nr_secao % 10 <> 0""")
 
 
 def section_rows(s):
-    """Vote lines of the sections on the map: one per raw vote row of the reference year."""
+    """Vote lines of the sections on the map: one per raw vote row of an ordinary election."""
     return s.sql("""SELECT LPAD(CD_MUNICIPIO, 5, '0') AS municipio, CAST(NR_ZONA AS INT) AS zona, CAST(NR_LOCAL_VOTACAO AS INT) AS local, CAST(NR_SECAO AS INT) AS secao,
                            CASE WHEN DS_CARGO = 'Presidente' THEN 1 ELSE 6 END AS cargo,
                            CASE NR_VOTAVEL WHEN '95' THEN 'branco' WHEN '96' THEN 'nulo' WHEN '97' THEN 'cargo_sem_candidato' WHEN '17' THEN 'legenda' WHEN '18' THEN 'legenda' ELSE 'nominal' END AS tipo,
                            COALESCE(TRY_CAST(QT_VOTOS AS BIGINT), 0) AS quantidade, CAST(NR_VOTAVEL AS BIGINT) AS partido, CAST(NR_VOTAVEL AS BIGINT) AS numero,
-                           TRIM(NR_TURNO) AS turno
-                    FROM {vote_raw} WHERE ANO_ELEICAO = '2026' AND TRIM(CD_TIPO_ELEICAO) = '2'""")
+                           CAST(ANO_ELEICAO AS INT) AS ano_eleicao, TRIM(NR_TURNO) AS turno
+                    FROM {vote_raw} WHERE TRIM(CD_TIPO_ELEICAO) = '2'""")
 
 
-CONTEST = ["turno", "cargo"]
+CONTEST = [*ELECTION, "cargo"]
 LIVE = dict(**SECTION_MAP, live="""
-    SELECT id_regiao, TRIM(NR_TURNO) AS turno, CASE WHEN DS_CARGO = 'Presidente' THEN 1 ELSE 6 END AS cargo,
+    SELECT id_regiao, m.ano_eleicao, m.turno, CASE WHEN DS_CARGO = 'Presidente' THEN 1 ELSE 6 END AS cargo,
            CASE NR_VOTAVEL WHEN '95' THEN 'branco' WHEN '96' THEN 'nulo' WHEN '97' THEN 'nulo' WHEN '17' THEN 'legenda' WHEN '18' THEN 'legenda' ELSE 'nominal' END AS tipo,
            CASE WHEN NR_VOTAVEL IN ('95', '96', '97') THEN NULL ELSE CAST(NR_VOTAVEL AS BIGINT) END AS numero, COALESCE(TRY_CAST(QT_VOTOS AS BIGINT), 0) AS q,
            m.cd_municipio_tse AS municipio, m.nr_zona AS zona, m.nr_secao AS secao
     FROM {vote_raw} v JOIN {section_map} m ON LPAD(v.CD_MUNICIPIO, 5, '0') = m.cd_municipio_tse AND CAST(v.NR_ZONA AS INT) = m.nr_zona AND CAST(v.NR_SECAO AS INT) = m.nr_secao
-         AND CAST(v.NR_LOCAL_VOTACAO AS INT) = m.nr_local WHERE ANO_ELEICAO = '2026' AND TRIM(CD_TIPO_ELEICAO) = '2'""")
+         AND CAST(v.NR_LOCAL_VOTACAO AS INT) = m.nr_local AND CAST(v.ANO_ELEICAO AS INT) = m.ano_eleicao AND TRIM(v.NR_TURNO) = m.turno
+    WHERE TRIM(CD_TIPO_ELEICAO) = '2'""")
 
 
 # ---------------------------------------------------------------- streams
@@ -368,25 +372,29 @@ QUERIES = {
                   CAST(nr_secao AS STRING) AS secao, '04/10/2026' AS data_aux, '17:01' AS hora_aux FROM {section} WHERE nr_secao % 10 <> 0 AND nr_secao % 3 > 0""", section=SECTION),
     "section_map": query(lambda s: tidy(mapped(s)), "SELECT * FROM {section_map}", **SECTION_MAP),
     "section_lists": query(
-        lambda s: tidy(L.section_lists(mapped(s)).select("cd_municipio_ibge", "id_regiao", F.size("secoes").alias("n"),
-                                                         F.array_join(F.transform(F.col("secoes")[0], lambda x: x.cast("string")), "-").alias("primeira"))),
-        """SELECT cd_municipio_ibge, id_regiao, COUNT(*) AS n, (array_agg(CONCAT(nr_zona, '-', nr_local, '-', nr_secao) ORDER BY nr_zona, nr_local, nr_secao))[1] AS primeira
-           FROM {section_map} GROUP BY 1, 2""", **SECTION_MAP),
+        lambda s: tidy(L.section_lists(mapped(s), ELECTION, size=50).select(
+            "cd_municipio_ibge", "id_regiao", *ELECTION, "parte", F.array_join(F.transform("secoes", lambda x: F.array_join(x.cast("array<string>"), "-")), " ").alias("secoes"))),
+        """SELECT cd_municipio_ibge, id_regiao, ano_eleicao, turno, parte, string_agg(CONCAT(nr_zona, '-', nr_local, '-', nr_secao), ' ' ORDER BY i) AS secoes
+           FROM (SELECT *, i // 50 AS parte FROM (
+                 SELECT *, row_number() OVER (PARTITION BY cd_municipio_ibge, id_regiao, ano_eleicao, turno ORDER BY nr_zona, nr_local, nr_secao) - 1 AS i FROM {section_map}))
+           GROUP BY 1, 2, 3, 4, 5""", **SECTION_MAP),
     "section_map_counters": query(
         lambda s: tidy(L.section_map_counters(sections(s), mesh(s)[1].where("id_regiao % 4 <> 0"), principal(s))),
         """SELECT COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 <> 0) AS mapeadas, COUNT(*) FILTER (id_regiao % 4 = 0) AS fora_da_malha,
                   COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 = 0) AS agregadas FROM {section} JOIN {mapping} USING (id_local_votacao)""", **MESH, section=SECTION),
     "live_results": query(
-        lambda s: tidy(L.live_shares(L.live_results(L.live_votes(section_rows(s), settle(mapped(s))), CONTEST), CONTEST)),
-        f"""SELECT id_regiao, turno, CAST(cargo AS BIGINT) AS cargo, tipo, numero, votos, validos, comparecimento,
+        lambda s: tidy(L.live_shares(L.live_results(L.live_votes(section_rows(s), settle(mapped(s)), ELECTION), CONTEST), CONTEST)),
+        f"""SELECT id_regiao, ano_eleicao, turno, CAST(cargo AS BIGINT) AS cargo, tipo, numero, votos, validos, comparecimento,
                    CASE WHEN tipo IN ('nominal', 'legenda') THEN {pct_sql('votos', 'validos')} ELSE {pct_sql('votos', 'comparecimento')} END AS pct
             FROM (SELECT *, CAST(SUM(votos) FILTER (tipo IN ('nominal', 'legenda')) OVER w AS BIGINT) AS validos, CAST(SUM(votos) OVER w AS BIGINT) AS comparecimento FROM
-                  (SELECT id_regiao, turno, cargo, tipo, numero, CAST(SUM(q) AS BIGINT) AS votos FROM {{live}} GROUP BY 1,2,3,4,5) WINDOW w AS (PARTITION BY id_regiao, turno, cargo))""", **LIVE),
+                  (SELECT id_regiao, ano_eleicao, turno, cargo, tipo, numero, CAST(SUM(q) AS BIGINT) AS votos FROM {{live}} GROUP BY 1,2,3,4,5,6)
+                  WINDOW w AS (PARTITION BY id_regiao, ano_eleicao, turno, cargo))""", **LIVE),
     "live_progress": query(
-        lambda s: (lambda m: tidy(L.live_progress(L.live_votes(section_rows(s), m), m)))(settle(mapped(s))),
-        """SELECT id_regiao, esperadas, COALESCE(urnas, 0) AS urnas, CASE WHEN COALESCE(urnas, 0) = 0 THEN 'sem' WHEN urnas >= esperadas THEN 'completo' ELSE 'parcial' END AS situacao
-           FROM (SELECT id_regiao, COUNT(*) AS esperadas FROM {section_map} GROUP BY 1)
-           LEFT JOIN (SELECT id_regiao, COUNT(DISTINCT (municipio, zona, secao)) AS urnas FROM {live} GROUP BY 1) USING (id_regiao)""", **LIVE),
+        lambda s: (lambda m: tidy(L.live_progress(L.live_votes(section_rows(s), m, ELECTION), m, ELECTION)))(settle(mapped(s))),
+        """SELECT id_regiao, ano_eleicao, turno, esperadas, COALESCE(urnas, 0) AS urnas, CASE WHEN COALESCE(urnas, 0) = 0 THEN 'sem' WHEN urnas >= esperadas THEN 'completo' ELSE 'parcial' END AS situacao
+           FROM (SELECT id_regiao, ano_eleicao, turno, COUNT(*) AS esperadas FROM {section_map} GROUP BY 1, 2, 3)
+           LEFT JOIN (SELECT id_regiao, ano_eleicao, turno, COUNT(DISTINCT (municipio, zona, secao)) AS urnas FROM {live} GROUP BY 1, 2, 3)
+                USING (id_regiao, ano_eleicao, turno)""", **LIVE),
     "valid_transmission": query(
         lambda s: tidy(L.valid_transmission(s.transmission, ["secao"])), "SELECT secao, ordem, situacao, ROUND(valor, 4) AS valor FROM {valid}", valid=VALID_SECTION),
     "stream_valid_transmission": query(
@@ -423,6 +431,20 @@ QUERIES = {
         _slices, """SELECT CAST(ano_eleicao AS BIGINT) AS ano_eleicao, turno, sg_uf, CAST(SUM(qt_votos) AS BIGINT) + CASE WHEN ano_eleicao = 2026 AND turno = '1' THEN 1 ELSE 0 END AS qt_votos
                     FROM {vote} GROUP BY 1, 2, 3, ano_eleicao"""),
     "sample_per_nation": query(
-        lambda s: T.sample_per_group(s.sql("SELECT c_nationkey, c_custkey, c_acctbal FROM {customer}"), ["c_nationkey"], ["c_custkey"], 20)),
-    "street_document_rules": query(_rules),
+        lambda s: T.sample_per_group(s.sql("SELECT c_nationkey, c_custkey, c_acctbal FROM {customer}"), ["c_nationkey"], ["c_custkey"], 20),
+        """SELECT c_nationkey, c_custkey, c_acctbal FROM customer
+           QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY md5('42|' || c_custkey) DESC, c_custkey) <= 20"""),
+    "street_document_rules": query(
+        _rules,
+        """SELECT "check", context, COUNT(*) AS problemas FROM (
+             SELECT DISTINCT 'unknown region' AS "check", 'street' AS context, cd_municipio_ibge, logradouro AS nome, '' AS bairro, id_regiao FROM (
+               SELECT cd_municipio_ibge, logradouro, id_regiao_dominante AS id_regiao FROM {street}
+               UNION ALL SELECT cd_municipio_ibge, logradouro, id_regiao FROM {run}
+               UNION ALL SELECT cd_municipio_ibge, logradouro, id_regiao FROM {by_street} WHERE n_regioes > 1
+               UNION ALL SELECT cd_municipio_ibge, logradouro, id_regiao FROM {by_local}) WHERE id_regiao % 25 = 3
+             UNION ALL SELECT 'fractions', 'street', cd_municipio_ibge, logradouro, '', NULL FROM {by_street} WHERE n_regioes > 1
+               GROUP BY cd_municipio_ibge, logradouro HAVING ABS(SUM(ROUND(fracao, 3)) - 1) > GREATEST(%(slack)s, COUNT(*) * %(each)s)
+             UNION ALL SELECT 'fractions', 'street locality', cd_municipio_ibge, logradouro, bairro, NULL FROM {by_local}
+               GROUP BY cd_municipio_ibge, logradouro, bairro HAVING ABS(SUM(ROUND(fracao, 3)) - 1) > GREATEST(%(slack)s, COUNT(*) * %(each)s))
+           GROUP BY 1, 2""".replace("%(slack)s", str(K.SHARE_SLACK)).replace("%(each)s", str(K.SHARE_SLACK_PER_ITEM)), **IDX),
 }

@@ -158,7 +158,18 @@ QUERIES = {
     "worst_divergences": query(
         lambda s: tidy(divergence(s).where("distancia_m > 5000").orderBy(F.desc("distancia_m"), "id_local_votacao").limit(50).select("id_local_votacao", "distancia_m"), 3),
         "SELECT id_local_votacao, ROUND(distancia_m,3) AS distancia_m FROM {measured} WHERE distancia_m > 5000 ORDER BY distancia_m DESC, id_local_votacao LIMIT 50", **DIVERGENCE),
-    "divergence_report": query(lambda s: R.divergence_report(settle(divergence(s))).select(F.to_json(F.struct("contagem", "percentis", "suspeito", "piores")).alias("json"))),
+    "divergence_report": query(
+        lambda s: tidy(R.divergence_report(settle(divergence(s))).select(
+            "contagem.*", "percentis.*", F.array_join(F.transform("suspeito", lambda x: F.concat_ws("=", x["suspeito"], x["locais"].cast("string"))), " ").alias("suspeitos"),
+            F.array_join(F.array_sort(F.transform("piores", lambda x: x["id_local_votacao"])), " ").alias("piores")), 3),
+        f"""SELECT COUNT(*) AS locais_comparados, COUNT(*) FILTER (distancia_m > 5000) AS divergentes,
+                   {', '.join(f"ROUND(quantile_cont(distancia_m, {p / 100}), 3) AS p{p}" for p in (50, 75, 90, 95, 99))},
+                   (SELECT COALESCE(string_agg(suspeito || '=' || n, ' ' ORDER BY suspeito), '') FROM (
+                      SELECT CASE WHEN ao_centro_tse > ao_centro_nosso * 3 THEN 'tse' WHEN ao_centro_nosso > ao_centro_tse * 3 THEN 'nosso' ELSE 'indefinido' END AS suspeito,
+                             COUNT(*) AS n FROM {{measured}} WHERE distancia_m > 5000 GROUP BY 1)) AS suspeitos,
+                   (SELECT COALESCE(string_agg(id_local_votacao, ' ' ORDER BY id_local_votacao), '') FROM (
+                      SELECT id_local_votacao FROM {{measured}} WHERE distancia_m > 5000 ORDER BY distancia_m DESC, id_local_votacao LIMIT 50)) AS piores
+            FROM {{measured}}""", **DIVERGENCE),
     "distance_levels": query(
         lambda s: tidy(R.summarise_distances(distances(s).join(_regions(s).select("id_regiao", "sg_uf"), "id_regiao")), 3),
         """SELECT sg_uf, CAST(SUM(n_enderecos) AS BIGINT) AS enderecos, ROUND(SUM(soma_dist)/SUM(n_enderecos),3) AS distancia_media_m,

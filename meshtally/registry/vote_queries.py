@@ -280,8 +280,24 @@ QUERIES = {
         lambda s: tidy(V.round_counters(s.vote)),
         f"SELECT {_Y}, turno, COUNT(*) AS linhas, CAST(SUM(qt_votos) AS BIGINT) AS votos FROM {{vote}} GROUP BY 1, 2"),
     "region_documents": query(
-        lambda s: PUB.region_documents(*mesh(s), region_votes(s), voters(s)).select(
-            "cd_municipio_ibge", "id_regiao", "id", F.to_json("resultados").alias("resultados"), F.to_json("eleitorado").alias("eleitorado"))),
+        lambda s: tidy(PUB.region_documents(*mesh(s), region_votes(s), voters(s))
+                       .select("cd_municipio_ibge", "id_regiao", "local", "total_votos", "nao_nominal", "eleitorado", F.explode("resultados").alias("cargo", "anos"))
+                       .select("*", F.explode("anos").alias("ano", "turnos")).select("*", F.explode("turnos").alias("turno", "candidatos"))
+                       .select("cd_municipio_ibge", "id_regiao", "local", "cargo", "ano", "turno", F.col("total_votos")[F.col("cargo")][F.col("ano")][F.col("turno")].alias("total"),
+                               F.col("nao_nominal")[F.col("cargo")][F.col("ano")][F.col("turno")]["branco"]["votos"].alias("brancos"),
+                               F.col("eleitorado")[F.col("ano")][F.col("turno")].alias("eleitores"), F.posexplode("candidatos").alias("posicao", "c"))
+                       .select("*", "c.*").drop("c")),
+        f"""SELECT cd_municipio_ibge, id_regiao, nm_local_votacao AS local, CASE WHEN cargo = 'PRESIDENTE' THEN 'presidente' ELSE 'deputado_federal' END AS cargo,
+                   CAST(ano_eleicao AS STRING) AS ano, turno, total, brancos, qt_eleitores AS eleitores, r - 1 AS posicao,
+                   CASE WHEN nm_votavel LIKE 'CANDIDATO %' THEN 'Candidato ' || nm_votavel[11:] ELSE nm_votavel END AS nome, sg_partido AS partido, votos,
+                   {pct_sql('votos', 'validos')} AS pct
+            FROM (SELECT *, row_number() OVER (PARTITION BY id_regiao, cargo, ano_eleicao, turno ORDER BY votos DESC, nm_votavel) AS r FROM {{cand}})
+            JOIN {{region_dim}} USING (id_regiao)
+            JOIN (SELECT id_regiao, cargo, ano_eleicao, turno, CAST(SUM(qt_votos) AS BIGINT) AS total, CAST(COALESCE(SUM(qt_votos) FILTER (tipo_voto = 'branco'), 0) AS BIGINT) AS brancos
+                  FROM {{region_vote}} GROUP BY 1, 2, 3, 4) USING (id_regiao, cargo, ano_eleicao, turno)
+            LEFT JOIN (SELECT id_regiao, ano_eleicao, turno, CAST(SUM(qt_eleitores) AS BIGINT) AS qt_eleitores FROM {{voter}} JOIN {{mapping}} USING (id_local_votacao)
+                       GROUP BY 1, 2, 3) USING (id_regiao, ano_eleicao, turno)
+            WHERE cargo = 'PRESIDENTE' OR r <= 3""", **RV, section=SECTION, voter=VOTER, cand=cand_sql("id_regiao", "region_vote")),
     "region_document_names": query(
         lambda s: (lambda m: tidy(PUB.region_documents(*m, region_votes(s), voters(s), M.other_names(s.located, m[1]), size=1)
                                   .select("id_regiao", "parte", F.explode("outros_locais").alias("nome"))))(mesh(s)),

@@ -71,9 +71,9 @@ def write_exceptions(df: DataFrame, path: str, order: Sequence[str]) -> None:
 
 def sample_per_group(df: DataFrame, group: Sequence[str], identity: Sequence[str], n: int,
                      seed: int = 42) -> DataFrame:
-    """Reproducible sample of n distinct rows per group, by the order of a seeded hash."""
+    """Reproducible sample of n distinct rows per group, by the order of a seeded digest."""
     from meshtally.operators.shares import top_n
     once = df.dropDuplicates(list(identity))
-    tagged = once.withColumn("_h", F.xxhash64(F.lit(seed), *identity)).withColumn(
-        "_id", F.concat_ws("|", *[F.col(c).cast("string") for c in identity]))
+    tagged = once.withColumn("_id", F.concat_ws("|", *[F.col(c).cast("string") for c in identity])).withColumn(
+        "_h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_id"))))
     return top_n(tagged, group, "_h", "_id", n, out="_r").drop("_h", "_id", "_r")

@@ -49,3 +49,17 @@ def test_a_slice_of_other_types_is_refused(spark, tmp_path):
     with pytest.raises(CheckFailed):
         replace_slice(spark.createDataFrame([(2026, "1", "5")], "ano_eleicao int, turno string, qt_votos string"), path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_sections_of_two_rounds_stay_apart(spark):
+    mapped = spark.createDataFrame([("c", "ro", "m", 1, 1, 1, s, t) for s in range(5) for t in ("1", "2")],
+                                   "cd_municipio_ibge string, uf string, cd_municipio_tse string, id_regiao int, nr_zona int, "
+                                   "nr_local int, nr_secao int, turno string")
+    parts = live.section_lists(mapped, ["turno"], size=2).collect()
+    assert sorted((r.turno, r.parte, [x[2] for x in r.secoes]) for r in parts) == [
+        (t, p, s) for t in ("1", "2") for p, s in enumerate([[0, 1], [2, 3], [4]])]
+    rows = spark.createDataFrame([("m", 1, 1, 0, "1"), ("m", 1, 1, 1, "1"), ("m", 1, 1, 0, "2")],
+                                 "municipio string, zona int, local int, secao int, turno string")
+    placed = live.live_votes(rows, mapped, ["turno"])
+    got = {r.turno: (r.esperadas, r.urnas, r.situacao) for r in live.live_progress(placed, mapped, ["turno"]).collect()}
+    assert got == {"1": (5, 2, "parcial"), "2": (5, 1, "parcial")}
