@@ -28,7 +28,7 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, whole=True).drop("score")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

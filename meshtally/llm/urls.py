@@ -91,20 +91,23 @@ def threshold(scores: DataFrame) -> float:
     return round((a.mean + b.mean) / 2 if not wide else (a.mean * b.spread + b.mean * a.spread) / wide, 9)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", page_id: str = "page_id") -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", page_id: str = "page_id",
+          whole: bool = False) -> DataFrame:
     """page_id, host, path, rule, verdict and score of each row of pages.
 
     rules: (allow or block, host/path). A rule fits its host and all subdomains where the
     path starts with the rule's; the longest wins. Without a fitting rule the score decides
     and `rule` is null; `score` is null where a rule decides. A null or schemeless url has
-    an empty host and path and is scored as the empty address. Repeated urls are scored
-    once and judged alike. Without rule-judged examples of both sides the threshold is 0.
-    An empty table gives no row. Other columns are not read.
+    an empty host and path. With `whole` the models learn from and score each url as it is,
+    null as empty; without it only host and path, so a schemeless url counts as empty.
+    Repeated urls are scored once and judged alike. Without rule-judged examples of both
+    sides the threshold is 0. An empty table gives no row. Other columns are not read.
     """
     host, path = host_and_path(F.col(f"`{url}`"))
-    rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"), path.alias("path"))
+    address = F.coalesce(F.col(f"`{url}`"), F.lit("")) if whole else F.concat(host, path)
+    rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"), path.alias("path"), address.alias("address"))
     rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    rows = rows.select("page_id", "host", "path", F.concat("host", "path").alias("address"), "_rule.*")
+    rows = rows.select("page_id", "host", "path", "address", "_rule.*")
     distinct = stored(rows.groupBy("address").agg(F.first("verdict").alias("verdict")))
     scores = stored(scored(distinct, stored(model(distinct))))
     least = threshold(scores)

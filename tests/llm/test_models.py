@@ -83,6 +83,16 @@ def test_urls_equal_a_plain_version(spark):
     assert urls.judge(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_the_url_query_scores_whole_urls(spark, tmp_path):
+    rows = [(i, f"http://a.com/p{i}?good=yes") for i in range(20)] + [(100 + i, f"http://a.net/es/p{i}?junk=x#zz") for i in range(20)]
+    rows += [(200, "http://b.org/p?good=yes"), (201, "http://b.org/p?junk=x#zz"), (202, "good=yes"), (203, "junk=x#zz"), (204, None), (205, None)]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in QUERIES["op3_urls"](spark, str(tmp_path)).collect()}
+    assert [got[i].verdict for i in (200, 201, 202, 203)] == ["allow", "block", "allow", "block"]
+    assert (got[201].host, got[201].path, got[201].rule) == ("b.org", "/p", None) and got[119].rule == "net/es/"
+    assert got[204].verdict == got[205].verdict
+
+
 def test_quality_on_held_out_rows(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = QUERIES["op4_quality"](spark, SF).collect()
