@@ -139,16 +139,20 @@ def coded(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
 
 
 def found(index: DataFrame, quantiser: Quantiser, cosine: float) -> DataFrame:
-    """(node, links, other): links counts the vectors linked within a block; node and other connect the linked ones."""
+    """(node, links, other): links counts the vectors linked within a block; node and other connect the linked ones.
+
+    A pair counts for the asker, and for the member too where the member doesn't ask the asker's list.
+    """
     shared = index.sparkSession.sparkContext.broadcast(quantiser)
-    asks = index.select(F.col("node").alias("asker"), F.col("unit").alias("ask"), F.explode("probes").alias("list"))
+    asks = index.select(F.col("node").alias("asker"), F.col("weight").alias("heft"), F.col("unit").alias("ask"),
+                        F.col("list").alias("home"), F.explode("probes").alias("list"))
     blocks = {"m": index.groupBy("list").count(), "q": asks.groupBy("list").count()}
     sizes = None
     for side, count in blocks.items():
         count = count.select("list", F.ceil(F.col("count") / BLOCK).alias(f"{side}_blocks"))
         sizes = count if sizes is None else sizes.join(count, "list")
     sizes = F.broadcast(sizes)  # MOST_LISTS rows
-    members = (index.select("node", "weight", "unit", "codes", "error", "list").join(sizes, "list")
+    members = (index.select("node", "weight", "unit", "codes", "error", "probes", "list").join(sizes, "list")
                .withColumn("m", F.pmod(F.xxhash64("node", F.lit(1)), "m_blocks")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1))))
     asks = (asks.join(sizes, "list")
             .withColumn("q", F.pmod(F.xxhash64("asker", F.lit(1)), "q_blocks")).withColumn("m", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1))))
@@ -167,6 +171,15 @@ def found(index: DataFrame, quantiser: Quantiser, cosine: float) -> DataFrame:
                                     for k in range(0, len(i), 65536)] or [np.zeros(0)])
             i, j = i[exact >= cosine], j[exact >= cosine]
             links = np.bincount(i, held.column("weight").to_numpy()[j], len(x)).astype(np.int64)
+            # A member that doesn't probe the asker's list won't find the pair itself.
+            homes, home = np.unique(queries.column("home").to_numpy(), return_inverse=True)
+            probed = held.column("probes").combine_chunks()
+            owner, wanted = np.repeat(np.arange(len(y)), probed.value_lengths().to_numpy()), probed.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(homes, wanted), len(homes) - 1)
+            asks_back = np.zeros((len(y), len(homes)), bool)
+            asks_back[owner[homes[at] == wanted], at[homes[at] == wanted]] = True
+            alone = ~asks_back[j, home[i]]
+            back = np.bincount(j[alone], queries.column("heft").to_numpy()[i[alone]], len(y)).astype(np.int64)
             # Connect each block's linked vectors by stars: labels fall until they agree.
             label_q, label_m = ids.copy(), others.copy()
             while len(i):
@@ -176,13 +189,13 @@ def found(index: DataFrame, quantiser: Quantiser, cosine: float) -> DataFrame:
                 if (old_q == label_q).all() and (old_m == label_m).all():
                     break
             a, b = np.unique(i), np.unique(j)
-            out = (np.concatenate([ids[a], others[b]]), np.concatenate([links[a], np.zeros(len(b), np.int64)]),
+            out = (np.concatenate([ids[a], others[b]]), np.concatenate([links[a], back[b]]),
                    np.concatenate([label_q[a], label_m[b]]))
         return pa.table([pa.array(c, pa.int64()) for c in out], ["node", "links", "other"])
 
     keys = ("list", "q", "m")
-    return (asks.select(*keys, "asker", "ask").groupBy(*keys)
-            .cogroup(members.select(*keys, "node", "weight", "unit", "codes", "error").groupBy(*keys))
+    return (asks.select(*keys, "asker", "heft", "home", "ask").groupBy(*keys)
+            .cogroup(members.select(*keys, "node", "weight", "unit", "codes", "error", "probes").groupBy(*keys))
             .applyInArrow(run, "node bigint, links bigint, other bigint"))
 
 

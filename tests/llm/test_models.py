@@ -260,6 +260,23 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_vectors(table.limit(0)).count() == 0
 
 
+def test_a_link_found_from_one_side_counts_for_both(spark):
+    angles = [-0.1, 0.0, 0.2, 0.25]
+    rows = [(i, 2 if i == 3 else 1, np.array([np.cos(a), np.sin(a)]).tobytes()) for i, a in enumerate(angles)]
+    nodes = spark.createDataFrame([(i, w, bytearray(u)) for i, w, u in rows], "node bigint, weight bigint, unit binary")
+    x = vectors.stack([u for _, _, u in rows])
+    q = vectors.Quantiser(x, 1)
+    q.coarse = np.array([[1.0, -0.1], [1.0, 0.25]])  # the first two vectors in list 0, the others in list 1
+    q.coarse /= np.linalg.norm(q.coarse, axis=1)[:, None]
+    q.between = np.sqrt(vectors.squared(q.coarse, q.coarse))
+    coded = vectors.coded(nodes, q)
+    assert dict(coded.select("node", "list").collect()) == {0: 0, 1: 0, 2: 1, 3: 1}
+    coded = coded.withColumn("probes", F.expr("IF(list = 0, array(0L, 1L), array(1L))"))
+    got = dict(vectors.found(coded, q, 0.95).groupBy("node").agg(F.sum("links")).collect())
+    want = {i: sum(w for j, w, _ in rows if j != i and x[i] @ x[j] >= 0.95) for i in range(4)}
+    assert got == want and want[2] == 4 and want[3] == 2
+
+
 def test_pipeline_keeps_its_contract(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
