@@ -204,27 +204,27 @@ def near_vectors(table: DataFrame, cosine: float = 0.95, vector: str = "embeddin
 
     Vectors with a cosine of `cosine` or more, in double precision, are linked if the index
     brings them together; none below it are. Vectors that are null, empty, zero or hold null
-    or non-finite components, or whose vec_id is null, link with nothing, and neither do
-    vectors of another dimension than most have. vec_id names one vector; rows
-    that repeat it count as further vectors. Other columns are not read.
+    or non-finite components, or whose vec_id is null, link with nothing. Vectors of
+    different dimensions are not linked; each dimension has an index of its own. vec_id
+    names one vector; rows that repeat it count as further vectors. Other columns are not read.
     """
     rows = stored(unit_vectors(table, vector, vec_id))
     good = rows.where("vec_id IS NOT NULL AND unit IS NOT NULL")
-    widths = good.groupBy("width").count().orderBy(F.desc("count"), "width").first()
-    width = widths.width if widths else 0
-    good = good.where(F.col("width") == width)
-    nodes = stored(good.groupBy("class").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"),
-                                             F.first("unit").alias("unit")))
-    n = nodes.count()
-    if n:
-        quantiser = fitted(nodes, n)
-        links = stored(found(stored(coded(nodes, quantiser)), quantiser, cosine))
+    nodes = stored(good.groupBy("class", "width").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"),
+                                                      F.first("unit").alias("unit")))
+    links = None
+    for width, n in nodes.groupBy("width").count().where("count > 1").orderBy("width").collect():  # one row a dimension
+        mine = nodes.where(F.col("width") == width)
+        quantiser = fitted(mine, n)
+        part = stored(found(stored(coded(mine, quantiser)), quantiser, cosine)).withColumn("width", F.lit(width).cast("bigint"))
+        links = part if links is None else links.unionByName(part)
+    if links is not None:
         labels = components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
-        counts = links.groupBy("node").agg(F.sum("links").alias("links"))
-        nodes = nodes.join(counts, "node", "left").join(labels, "node", "left")
+        counts = links.groupBy("node", "width").agg(F.sum("links").alias("links"))
+        nodes = nodes.join(counts, ["node", "width"], "left").join(labels, "node", "left")
     else:
         nodes = nodes.withColumns({"links": F.lit(0), "label": F.col("node")})
-    known = stored(nodes.select("class", F.lit(width).cast("bigint").alias("width"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    known = stored(nodes.select("class", "width", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                                 F.coalesce("label", "node").alias("label")))
     mine = rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("class")).alias("class"), "width")
     component = F.coalesce("label", "vec_id")

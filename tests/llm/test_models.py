@@ -277,6 +277,13 @@ def test_a_link_found_from_one_side_counts_for_both(spark):
     assert got == want and want[2] == 4 and want[3] == 2
 
 
+def test_vectors_of_every_width_are_linked(spark):
+    rows = [(i, [float(i), 1.0, 0.0]) for i in range(1, 4)] + [(10, [1.0, 1.0]), (11, [2.0, 2.0]), (12, [1.0, 1.01]), (13, [-1.0, 1.0]), (20, [5.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(table).collect()}
+    assert got == {1: (0, 1), 2: (1, 2), 3: (1, 2), 10: (2, 10), 11: (2, 10), 12: (2, 10), 13: (0, 13), 20: (0, 20)}
+
+
 def test_pipeline_keeps_its_contract(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
