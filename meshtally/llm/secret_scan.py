@@ -30,7 +30,8 @@ KINDS = {k: i for i, k in enumerate(BASE + CONFIRMED)}
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 # A key's outer record (tag 0x30 and a length) or an SSH key file's magic, as base64 and as hex begin.
-BASE64_KEY = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-I]|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/]{20,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+BASE64_KEY = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-I]|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/]{20,}")
+BASE64_RUN = re.compile(r"[A-Za-z0-9+/]+(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:30[0-8][0-9A-Fa-f]|6f70656e7373682d6b65792d7631)[0-9A-Fa-f]{28,}", re.IGNORECASE)
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -101,23 +102,39 @@ def ssh_key_length(data: bytes) -> int:
     return at
 
 
+def base64_run(text: str, start: int) -> str:
+    """The base64 run at a place, line breaks included; of a record no more than its outer length can take."""
+    if text.startswith("M", start):
+        outer = record(base64.b64decode(text[start:start + 8]), 0)
+        most = 0 if outer is None else -(-outer[2] * 4 // 3) + 3
+        return BASE64_RUN.match(text, start, start + 3 * most).group() if most else ""
+    return BASE64_RUN.match(text, start).group()
+
+
 def key_spans(text: str) -> Iterator[tuple[str, int, int]]:
-    """Keys in base64 (line breaks allowed) or hex, each only as far as its outer length goes."""
-    for pattern, per, decode in ((BASE64_KEY, (3, 4), lambda s: base64.b64decode(s + "=" * (-len(s) % 4))),
-                                 (HEX_KEY, (1, 2), bytes.fromhex)):
-        for m in pattern.finditer(text):
-            found = m.group()
+    """Keys in base64 (line breaks allowed) or hex, each only as far as its outer length goes.
+
+    The search goes on from a key's end, or else from the position after the failed start.
+    """
+    for pattern, run, per, decode in (
+            (BASE64_KEY, base64_run, (3, 4), lambda s: base64.b64decode(s + "=" * (-len(s) % 4))),
+            (HEX_KEY, None, (1, 2), bytes.fromhex)):
+        m = pattern.search(text)
+        while m:
+            found = run(text, m.start()) if run else m.group()
             plain = re.sub(r"[\r\n=]", "", found)
             data = decode(plain[:len(plain) - len(plain) % per[1] if per[1] == 2 or len(plain) % 4 == 1 else len(plain)])
+            end = 0
             for kind, length in (("private_key", private_key_length(data)), ("ssh_key", ssh_key_length(data))):
                 if length:
-                    need, end = -(-length * per[1] // per[0]), 0
+                    need = -(-length * per[1] // per[0])
                     while need:
                         need -= found[end] not in "\r\n"
                         end += 1
                     while end < len(found) and found[end] == "=":
                         end += 1
                     yield kind, m.start(), m.start() + end
+            m = pattern.search(text, m.start() + max(end, 1))
 
 
 def part_of_token(part: str) -> object:
