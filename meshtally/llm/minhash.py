@@ -26,6 +26,7 @@ BANDS, ROWS = 72, 8
 BINS = BANDS * ROWS
 TRIES = 16
 BLOCK = 1024  # members of a bucket that are compared with as many others at a time
+BLOCK_SHINGLES = 1 << 20  # shingles of those members together
 WIDTH = 4096  # shingles summed at a time
 WORDS_KEPT = 300_000  # word hashes remembered by a task
 
@@ -147,12 +148,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def undecided(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (band, node, comp) of the buckets that links leave in more than one component."""
+    """Members (band, node, comp) of the buckets that links leave in more than one component.
+
+    members: (band, node, n). A bucket gets as many blocks as its members or their n shingles need.
+    """
     comps = components(links)
-    at = members.join(comps, "node", "left").select("band", "node", F.coalesce("label", "node").alias("comp"))
-    split = stored(at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-                   .where("lo < hi").select("band", F.ceil(F.col("size") / BLOCK).alias("blocks")))
-    return stored(at.join(split, "band"))
+    at = members.join(comps, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("comp"))
+    split = stored(at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.sum("n").alias("n"))
+                   .where("lo < hi").select("band", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("n") / BLOCK_SHINGLES)).alias("blocks")))
+    return stored(at.drop("n").join(split, "band"))
 
 
 def across(nodes: list[int], comps: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -183,8 +187,8 @@ def across(nodes: list[int], comps: np.ndarray, blocks: np.ndarray, sets: list[n
 def compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components within buckets, block against block.
 
-    A bucket of any size is split into blocks, and each pair of blocks is one comparison of
-    bounded size. Pairs are formed inside it as sums over shingles, never as rows.
+    A bucket of any size is split into blocks by its members' count and shingles, and each
+    pair of blocks is one comparison of bounded size. Pairs are formed inside it as sums over shingles, never as rows.
     """
     own = F.pmod(F.xxhash64("node", F.lit(8)), "blocks")
     rows = (rest.withColumn("own", own)
@@ -228,7 +232,7 @@ def links_between(docs: DataFrame, nodes: DataFrame, words: int, percent: int, t
     """
     # Two different sets this much alike have 100 / (100 - percent) shingles together at least.
     least = -(-100 // max(1, 100 - percent)) - 1
-    banded = nodes.where(F.col("n") >= least).select(F.explode("bands").alias("band"), "node")
+    banded = nodes.where(F.col("n") >= least).select(F.explode("bands").alias("band"), "node", "n")
     shared = stored(banded.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("centre"))
                     .where("size > 1").drop("size"))
     members = stored(banded.join(shared, "band"))

@@ -203,6 +203,15 @@ def test_blocks_compare_what_one_comparison_would(spark, monkeypatch):
     assert got == {(a, comps[b]) for a in nodes for b in nodes if comps[a] < comps[b] and alike(sets[a], sets[b])}
 
 
+def test_blocks_of_a_bucket_follow_its_shingles(spark):
+    most = minhash.BLOCK_SHINGLES
+    rows = [(1, d, 10) for d in range(8)] + [(2, d, most // 2) for d in range(8)] + [(3, 1, 5), (3, 2, 5)]
+    members = spark.createDataFrame(rows, "band bigint, node bigint, n bigint")
+    links = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    got = minhash.undecided(members, links).select("band", "blocks").distinct().collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 4)]
+
+
 def test_scores_equal_brute_force(spark):
     rng = random.Random(10)
     vocabulary = ["The", "the", "cat", "É", "sat\x1con"] + [f"w{i}" for i in range(30)]
