@@ -36,10 +36,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one of the smallest doc_id."""
-    found = minhash.near_duplicates(docs)
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates stays, one of the smallest doc_id.
+
+    Rows without doc_id are linked by an id made of their text, above most others so that
+    a named document stays first. Rows with neither doc_id nor words all stay.
+    """
+    made = F.when(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"),
+                  F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), made))
+    found = minhash.near_duplicates(rows, doc_id="_id").where("doc_id IS NOT NULL")
+    ids = stored(found.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+                 .where("NOT kept OR n > 1"))
+    out = rows.join(ids.select("_id"), "_id", "left_anti").select(*docs.columns)
+    repeated = ids.where("kept").select("_id")
+    if repeated.isEmpty():
+        return out
+    return out.unionByName(rows.join(repeated, "_id", "left_semi").dropDuplicates(["_id"]).select(*docs.columns))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -319,3 +319,17 @@ def test_pipeline_keeps_its_contract(spark):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf)
     assert empty.count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+    rng = random.Random(12)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (1, a), (1, a), (2, a), (None, a), (None, a.upper()), (None, a + " more"), (3, b), (3, b), (4, c),
+            (None, d), (None, d), (None, d.upper()), (None, e), (None, ""), (None, None), (None, " "), (5, ""), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    got = Counter((r.doc_id, r.text.lower() if r.text else r.text) for r in out.collect())
+    assert out.columns == docs.columns
+    assert got == Counter([(1, a), (3, b), (4, c), (None, d), (None, e), (None, ""), (None, None), (None, " "), (5, ""), (6, None)])
