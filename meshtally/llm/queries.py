@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meshtally.llm import bpe, conversation, fingerprint, lines, minhash, packing, quality, scoring, secret_scan, urls, vectors
+from meshtally.llm import bpe, conversation, fingerprint, license_scan, lines, minhash, packing, quality, scoring, secret_scan, urls, vectors
 from meshtally.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -63,9 +63,14 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.report(table(spark, sf_dir, "conversations"))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_packing, op3_urls, op4_quality, op5_fingerprints, op6_line_dedup, op7_secrets,
-                            op8_minhash, op9_scoring, op10_vectors, op12_conversations)}
+                            op8_minhash, op9_scoring, op10_vectors, op12_conversations,
+                            op13_licenses)}
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LINES_SQL = f"""
