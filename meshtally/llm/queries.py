@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meshtally.llm import bpe, conversation, fingerprint, license_scan, lines, minhash, packing, quality, scoring, secret_scan, urls, vectors
+from meshtally.llm import (bpe, conversation, fingerprint, license_scan, lines, minhash, packing, quality, scoring, secret_scan,
+                           urls, vectors, whitening)
 from meshtally.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +60,10 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.report(table(spark, sf_dir, "conversations"))
 
@@ -69,7 +74,7 @@ def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_packing, op3_urls, op4_quality, op5_fingerprints, op6_line_dedup, op7_secrets,
-                            op8_minhash, op9_scoring, op10_vectors, op12_conversations,
+                            op8_minhash, op9_scoring, op10_vectors, op11_whitening, op12_conversations,
                             op13_licenses)}
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
