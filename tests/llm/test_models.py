@@ -212,39 +212,47 @@ def test_blocks_of_a_bucket_follow_its_shingles(spark):
     assert sorted(map(tuple, got)) == [(1, 1), (2, 4)]
 
 
-def test_scores_equal_brute_force(spark):
+@pytest.mark.parametrize("block_size", [500, scoring.BLOCK])
+def test_scores_equal_brute_force(spark, block_size):
     rng = random.Random(10)
-    vocabulary = ["The", "the", "cat", "É", "sat\x1con"] + [f"w{i}" for i in range(30)]
+    vocabulary = ["The", "the", "cat", "É", "sat\x1con"] + [f"w{i}" for i in range(12)]
     rows = [(d, " ".join(rng.choice(vocabulary) + rng.choice(["", "", "\n"]) for _ in range(rng.randint(0, 40)))) for d in range(150)]
-    rows += [(500, None), (501, "unheard of"), (None, "the cat"), (502, "the cat " * 30000)]
-    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id bigint, text string, block string").repartition(3)
+    rows += [(500, None), (501, "unheard of"), (None, "the cat"), (502, "the cat " * 30000), (503, "the cat É w1 " * 9)]
+    rows += [(None, "over and over")] * 40 + [(7, rows[7][1])]  # repeated rows, some without id
+    docs = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "doc_id bigint, text string, block string, tokens string").repartition(3)
     lower = lambda t: [w for w in (t or "").encode().lower().decode().replace("\n", " ").split(" ") if w]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
-    one, two, texts = Counter(), Counter(), 0
+    counts, texts = Counter(), 0
     for d, t in rows:
         if not held(d):
-            words = [*lower(t), "</>"]
-            one.update(words)
-            two.update(zip(["<>", *words], words))
+            words = ["<>", *lower(t), "</>"]
+            for k in (1, 2, 3):
+                counts.update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
             texts += 1
+    one = {w[0]: n for w, n in counts.items() if len(w) == 1 and w[0] != "<>"}
     total, kinds = sum(one.values()), len(one)
-    chance = lambda w: (one[w] + 1) / (total + kinds + 1)
 
-    def after(h, w):
-        c = texts if h == "<>" else one[h]
-        return (two[h, w] + scoring.PRIOR * chance(w)) / (c + scoring.PRIOR)
+    def chance(*gram):
+        """Of the last word after the others."""
+        if len(gram) == 1:
+            return (one.get(gram[0], 0) + 1) / (total + kinds + 1)
+        return (counts[gram] + scoring.PRIOR * chance(*gram[1:])) / (counts[gram[:-1]] + scoring.PRIOR)
 
-    got = {r.doc_id: r for r in scoring.scores(docs).collect()}
-    assert len(got) == len(rows)
+    got = sorted(scoring.scores(docs, block_size=block_size).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.score))
+    want = []
     for d, t in rows:
-        words, r = [*lower(t), "</>"], got[d]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(d), len(words), sum(one[w] > 0 for w in words), total)
-        assert r.base_score == pytest.approx(sum(math.log10(chance(w)) for w in words), rel=1e-9)
-        assert r.score == pytest.approx(sum(math.log10(after(h, w)) for h, w in zip(["<>", *words], words)), rel=1e-9)
-    for h in ("cat", "<>", "unheard"):
-        assert sum(after(h, w) for w in one) + (scoring.PRIOR / ((texts if h == "<>" else one[h]) + scoring.PRIOR)) / (
-            total + kinds + 1) == pytest.approx(1)
+        words = ["<>", *lower(t), "</>"]
+        want.append((d, held(d), len(words) - 1, sum(one.get(w, 0) > 0 for w in words[1:]), total,
+                     sum(math.log10(chance(w)) for w in words[1:]),
+                     sum(math.log10(chance(*words[max(0, i - 2):i + 1])) for i in range(1, len(words)))))
+    want.sort(key=lambda r: (r[0] is None, r[0] or 0, r[6]))
+    assert len(got) == len(want)
+    for r, w in zip(got, want):
+        assert tuple(r)[:5] == w[:5] and r.base_score == pytest.approx(w[5], rel=1e-9) and r.score == pytest.approx(w[6], rel=1e-9)
+    for h in (("cat",), ("<>",), ("the", "cat"), ("unheard", "the")):  # one unseen word more makes each state's sum 1
+        assert sum(chance(*h, w) for w in [*one, "never seen"]) == pytest.approx(1)
     assert scoring.scores(docs.limit(0)).count() == 0
+    assert {r.n_known for r in scoring.scores(docs.where("doc_id = 501"), modulus=1 << 40).collect()} == {3}
 
 
 def test_vectors_equal_brute_force(spark):
