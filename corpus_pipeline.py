@@ -19,9 +19,14 @@ from meshtally.llm.queries import BYTE_BPE
 LEAST_QUALITY = 0.7
 
 
+def columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def with_text(docs: DataFrame, text: Column) -> DataFrame:
     """docs with another text, and the length that belongs to it."""
-    return docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    changed = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return docs.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,26 +37,39 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that three documents or more hold stay in the last of them only."""
-    return with_text(lines.dedup_lines(docs), F.col("_kept_lines.text")).select(*docs.columns)
+    into = "kept_lines"
+    while into in (c.lower() for c in docs.columns):
+        into += "_"
+    found = lines.dedup_lines(docs, into=into)
+    return with_text(found, F.col(f"{into}.text")).select(*columns(docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates stays, one of the smallest doc_id.
+    """One row of each group of near duplicates (five words, 0.8) stays, one of the smallest doc_id.
 
-    Rows without doc_id are linked by an id made of their text, above most others so that
-    a named document stays first. Rows with neither doc_id nor words all stay.
+    A doc_id that names one text is the row's id. Rows without doc_id, and rows of a doc_id
+    that names several texts, are linked by an id made of their text, above most others so
+    that a named document stays first; those of them without words all stay. Of rows that
+    repeat both id and text the least in column order stays.
     """
-    made = F.when(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"),
-                  F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), made))
-    found = minhash.near_duplicates(rows, doc_id="_id").where("doc_id IS NOT NULL")
-    ids = stored(found.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    rows = docs.select(F.struct(*columns(docs)).alias("doc"), F.col("doc_id").cast("bigint").alias("own"), "text",
+                       F.xxhash64("text").alias("hash"))
+    # Stored, so that Spark sees that there are few or none.
+    several = stored(rows.where("own IS NOT NULL").groupBy("own").agg(F.min("hash").alias("least"), F.max("hash").alias("most"))
+                     .where("least <> most").select("own", F.lit(True).alias("several")))
+    made = F.when(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.col("hash").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+    named = F.col("own").isNotNull() & F.col("several").isNull()
+    rows = rows.join(several, "own", "left").select("doc", "text", F.when(named, F.col("own")).otherwise(made).alias("id"))
+    found = minhash.near_duplicates(rows, doc_id="id").where("doc_id IS NOT NULL")
+    ids = stored(found.groupBy(F.col("doc_id").alias("id")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
                  .where("NOT kept OR n > 1"))
-    out = rows.join(ids.select("_id"), "_id", "left_anti").select(*docs.columns)
-    repeated = ids.where("kept").select("_id")
+    out = rows.join(ids.select("id"), "id", "left_anti").select("doc.*")
+    repeated = ids.where("kept").select("id")
     if repeated.isEmpty():
         return out
-    return out.unionByName(rows.join(repeated, "_id", "left_semi").dropDuplicates(["_id"]).select(*docs.columns))
+    order = F.struct(*(F.col(f"doc.`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"))
+    again = rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.min_by("doc", order).alias("doc"))
+    return out.unionByName(again.select("doc.*"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
