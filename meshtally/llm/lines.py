@@ -163,11 +163,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     without doc_id counts for no document and keeps its lines; rows that share a doc_id are
     one document. All other columns stay as they are, but for one named like `into`.
     """
-    lost = drops(docs, text, doc_id, least, documents).select(F.col("doc_id").alias("_lost_by"),
-                                                              F.col("keys").alias("_lost_keys"))
-    names = [F.col(f"`{c}`") for c in docs.columns if c != into]
-    return (docs.join(lost, F.col(f"`{doc_id}`") == F.col("_lost_by"), "left")
-            .select(*names, kept(F.col(f"`{text}`"), F.col("_lost_keys")).alias(into)))
+    lost = drops(docs, text, doc_id, least, documents).toDF("lost_by", "keys")
+    names = [F.col(f"`{c}`") for c in docs.columns if c.lower() != into.lower()]
+    # The caller's columns in one, so that none can be taken for a column of this step.
+    rows = docs.select(F.struct(*names).alias("doc"), F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("bigint").alias("id"))
+    return rows.join(lost, F.expr("id = lost_by"), "left").select("doc.*", kept(F.col("text"), F.col("keys")).alias(into))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -341,3 +341,30 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     got = Counter((r.doc_id, r.text.lower() if r.text else r.text) for r in out.collect())
     assert out.columns == docs.columns
     assert got == Counter([(1, a), (3, b), (4, c), (None, d), (None, e), (None, ""), (None, None), (None, " "), (5, ""), (6, None)])
+
+
+def test_stages_keep_unlike_texts_of_one_id_and_clashing_columns(spark):
+    import corpus_pipeline
+    texts = [" ".join(f"{a}{i}" for i in range(30)) for a in "pqrst"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[3]), (3, texts[3]), (4, texts[0]), (None, texts[4]), (None, texts[4]),
+            (None, texts[1]), (5, ""), (5, None), (6, "one two"), (6, "two one"), (None, "")]
+    clash = ["_id", "id", "own", "hash", "doc", "several", "_lost_by", "lost_by", "_lost_keys", "keys", "_kept_lines", "kept_lines", "node",
+             "label", "set_hash", "kept", "a.b"]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t or ""), *[k * 10 + c for c in range(len(clash))]) for k, (d, t) in enumerate(rows)],
+                                  "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                  + ", ".join(f"`{c}` bigint" for c in clash)).repartition(3)
+    out = corpus_pipeline.near_duplicate_stage(spark, frame, SF)
+    assert out.columns == frame.columns
+    got = sorted(r["_id"] // 10 for r in out.collect())
+    # 0 goes into 5 (named, exact copy), 4 repeats 3, 7 repeats 6, 8 is a copy of 1; texts without words stay.
+    assert [k for k in got if k not in (1, 8)] == [2, 3, 5, 6, 9, 10, 11, 12, 13] and len({1, 8} & set(got)) == 1 and len(got) == 10
+    assert all(r["_id"] % 10 == 0 and r["a.b"] == r["_id"] + 16 for r in out.collect())
+
+    line = "This line stands in three documents."
+    docs = frame.withColumn("text", F.concat_ws("\n", F.lit(line), "text")).where("doc_id IS NOT NULL")
+    kept = corpus_pipeline.line_stage(spark, docs, SF)
+    assert kept.columns == frame.columns and kept.count() == docs.count()
+    for r in kept.collect():
+        assert (line in r.text) == (r.doc_id == 6) and r.n_chars == len(r.text) and r["_lost_keys"] == r["_id"] + 8
+    safe = corpus_pipeline.secret_stage(spark, frame, SF)
+    assert safe.columns == frame.columns and safe.count() == frame.count()
