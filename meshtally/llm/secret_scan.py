@@ -9,9 +9,10 @@ key file, or a signed token's JSON header and claims.
 from __future__ import annotations
 
 import base64
+import bisect
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,8 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 # A key's outer record (tag 0x30 and a length) or an SSH key file's magic, as base64 and as hex begin.
 BASE64_KEY = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-I]|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/]{20,}")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/]+(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+HEX_RUN = re.compile(r"[0-9A-Fa-f]+")
+LINE_BREAK = re.compile(r"[\r\n]")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:30[0-8][0-9A-Fa-f]|6f70656e7373682d6b65792d7631)[0-9A-Fa-f]{28,}", re.IGNORECASE)
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -39,7 +42,7 @@ INTEGER, OCTETS, OBJECT_ID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 DEEPEST = 16
 
 
-def record(data: bytes, at: int) -> tuple[int, int, int] | None:
+def record(data: bytes | Decoded, at: int) -> tuple[int, int, int] | None:
     """Tag, start and end of the content of the record at a place; None if its length is malformed."""
     if at + 2 > len(data):
         return None
@@ -52,7 +55,7 @@ def record(data: bytes, at: int) -> tuple[int, int, int] | None:
     return data[at], start, start + size
 
 
-def records(data: bytes, start: int, end: int, depth: int = 0) -> list[tuple[int, int, int]] | None:
+def records(data: bytes | Decoded, start: int, end: int, depth: int = 0) -> list[tuple[int, int, int]] | None:
     """The records that fill a stretch exactly, all nested ones well formed too; else None."""
     out = []
     while start < end:
@@ -66,11 +69,15 @@ def records(data: bytes, start: int, end: int, depth: int = 0) -> list[tuple[int
     return out
 
 
-def private_key_length(data: bytes) -> int:
+def private_key_length(data: bytes | Decoded) -> int:
     """Bytes of the private key record that the data begin with; 0 if they don't."""
     outer = record(data, 0)
     if outer is None or outer[0] != SEQUENCE or outer[2] > len(data) or outer[2] < 24:
         return 0
+    inner = record(data, outer[1])
+    if inner is None or inner[1] >= inner[2] or inner[2] > outer[2] or (
+            (inner[0], inner[2] - inner[1]) != (INTEGER, 1) if data[inner[1]] <= 3 else (inner[0], data[inner[1]]) != (SEQUENCE, OBJECT_ID)):
+        return 0  # neither a version nor an algorithm comes first: most false starts end here
     parts = records(data, outer[1], outer[2])
     if not parts:
         return 0
@@ -87,9 +94,9 @@ def private_key_length(data: bytes) -> int:
     return outer[2] if plain or curve or wrapped or sealed else 0
 
 
-def ssh_key_length(data: bytes) -> int:
+def ssh_key_length(data: bytes | Decoded) -> int:
     """Bytes of the SSH key file that the data begin with; 0 if its fields don't fit."""
-    if not data.startswith(SSH_MAGIC):
+    if data[:len(SSH_MAGIC)] != SSH_MAGIC:
         return 0
     at = len(SSH_MAGIC)
     for field in ("cipher", "kdf", "options", "count", "public", "private"):
@@ -102,39 +109,87 @@ def ssh_key_length(data: bytes) -> int:
     return at
 
 
-def base64_run(text: str, start: int) -> str:
-    """The base64 run at a place, line breaks included; of a record no more than its outer length can take."""
-    if text.startswith("M", start):
-        outer = record(base64.b64decode(text[start:start + 8]), 0)
-        most = 0 if outer is None else -(-outer[2] * 4 // 3) + 3
-        return BASE64_RUN.match(text, start, start + 3 * most).group() if most else ""
-    return BASE64_RUN.match(text, start).group()
+class Decoded:
+    """The bytes that a run of digits stands for, decoded only where they are looked at."""
+
+    WINDOW = 96  # bytes decoded at once; whole groups of digits in base64 and hex
+
+    def __init__(self, digits: str, first: int, decode: Callable[[str], bytes], per: tuple[int, int]):
+        self.digits, self.first, self.decode, self.per = digits, first, decode, per
+        self.size = (len(digits) - first) * per[0] // per[1]
+        self.at, self.window = -1, b""
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, place: int | slice) -> int | bytes:
+        if isinstance(place, slice):
+            start, stop, _ = place.indices(self.size)
+            if start < stop and start // self.WINDOW == (stop - 1) // self.WINDOW:
+                self[start]  # its window
+                return self.window[start % self.WINDOW:(stop - 1) % self.WINDOW + 1]
+            return bytes(self[i] for i in range(start, stop))
+        at = place // self.WINDOW
+        if at != self.at:
+            step = self.WINDOW * self.per[1] // self.per[0]
+            begin = self.first + at * step
+            self.at, self.window = at, self.decode(self.digits[begin:begin + step])
+        return self.window[place - at * self.WINDOW]
+
+
+def from_base64(digits: str) -> bytes:
+    digits = digits[:len(digits) - (len(digits) % 4 == 1)]
+    return base64.b64decode(digits + "=" * (-len(digits) % 4))
+
+
+def from_hex(digits: str) -> bytes:
+    return bytes.fromhex(digits[:len(digits) - len(digits) % 2])
+
+
+class Run:
+    """A run of digits, line breaks taken out: its digits, and where the breaks were."""
+
+    def __init__(self, text: str, start: int, pattern: re.Pattern):
+        m = pattern.match(text, start)
+        self.start, self.end, self.padding = start, m.end(), m.group().count("=", -2)
+        self.breaks = [i.start() for i in LINE_BREAK.finditer(text, start, self.end)]
+        self.digits = text[start:self.end - self.padding].replace("\r", "").replace("\n", "")
+
+    def digit(self, place: int) -> int:
+        """Number of the digit at a place of the text."""
+        return place - self.start - bisect.bisect_left(self.breaks, place)
+
+    def place(self, digit: int) -> int:
+        """Place in the text just behind a number of digits."""
+        # Breaks before digit k have fewer than k digits before them.
+        lost = bisect.bisect_left(range(len(self.breaks)), digit, key=lambda k: self.breaks[k] - self.start - k)
+        return self.start + digit + lost
 
 
 def key_spans(text: str) -> Iterator[tuple[str, int, int]]:
     """Keys in base64 (line breaks allowed) or hex, each only as far as its outer length goes.
 
     The search goes on from a key's end, or else from the position after the failed start.
+    A run of lines is taken apart once, whatever the number of starts in it, and a start's
+    structure is walked along its length fields: bytes between them are not decoded, and
+    a start whose outer length is longer than what follows is given up at once.
     """
-    for pattern, run, per, decode in (
-            (BASE64_KEY, base64_run, (3, 4), lambda s: base64.b64decode(s + "=" * (-len(s) % 4))),
-            (HEX_KEY, None, (1, 2), bytes.fromhex)):
+    for pattern, whole, per, decode in ((BASE64_KEY, BASE64_RUN, (3, 4), from_base64), (HEX_KEY, HEX_RUN, (1, 2), from_hex)):
+        run = None
         m = pattern.search(text)
         while m:
-            found = run(text, m.start()) if run else m.group()
-            plain = re.sub(r"[\r\n=]", "", found)
-            data = decode(plain[:len(plain) - len(plain) % per[1] if per[1] == 2 or len(plain) % 4 == 1 else len(plain)])
-            end = 0
-            for kind, length in (("private_key", private_key_length(data)), ("ssh_key", ssh_key_length(data))):
-                if length:
-                    need = -(-length * per[1] // per[0])
-                    while need:
-                        need -= found[end] not in "\r\n"
-                        end += 1
-                    while end < len(found) and found[end] == "=":
-                        end += 1
-                    yield kind, m.start(), m.start() + end
-            m = pattern.search(text, m.start() + max(end, 1))
+            if run is None or m.start() >= run.end:
+                run = Run(text, m.start(), whole)
+            first = run.digit(m.start())
+            data = Decoded(run.digits, first, decode, per)
+            end = m.start()
+            kind, length = ("private_key", private_key_length(data)) if data[0] == SEQUENCE else ("ssh_key", ssh_key_length(data))
+            if length:
+                end = run.place(first + -(-length * per[1] // per[0]))
+                while end < run.end and text[end] == "=":
+                    end += 1
+                yield kind, m.start(), end
+            m = pattern.search(text, max(end, m.start() + 1))
 
 
 def part_of_token(part: str) -> object:
