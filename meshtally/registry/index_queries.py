@@ -9,6 +9,7 @@ from meshtally.operators import runs as R
 from meshtally.operators.ordered import exact_percentiles, ordinal
 from meshtally.plans import guarded as GRD
 from meshtally.plans import mesh as M
+from meshtally.plans import prepared as PRE
 from meshtally.plans import publish as PUB
 from meshtally.plans import reports as REP
 from meshtally.plans import resolve as RES
@@ -101,6 +102,16 @@ def stored_index(s):
     return SI.StreetIndex(settle(i.runs), settle(i.streets), i.street_regions, settle(i.street_localities), i.localities)
 
 
+def prepared(s):
+    """The index stored for lookups, opened as another session would."""
+    return PRE.open_index(s.spark, PRE.store_index(stored_index(s)))
+
+
+def _prepared_runs(s):
+    return tidy(prepared(s).trechos.select("cd_municipio_ibge", "logradouro", F.posexplode("itens").alias("i", "t"), "pedaco").select(
+        "cd_municipio_ibge", "logradouro", "t.*", (F.col("pedaco") * PRE.PIECE + F.col("i")).alias("lugar")))
+
+
 def _accuracy(s):
     """Index built from half of the assignment rule, judged on all requests."""
     sample = s.sql("""SELECT o_orderkey AS id, CAST(n_regionkey AS STRING) AS sg_uf, CONCAT('11', LPAD(CAST(c_nationkey AS STRING), 5, '0')) AS cd_municipio_ibge,
@@ -131,6 +142,11 @@ def _flat(lists):
 _EVENT_RUN = """SELECT user_id, ts, event_id, event_type FROM (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
                 WHERE p IS NULL OR p <> event_type"""
 
+_RESOLVED = """SELECT r.id, r.cd_municipio, r.rua, r.numero, r.bairro, a.logradouro, a.id_regiao, a.confianca, a.n_opcoes, a.n_regioes, a.bairro_ignorado,
+                  a.conflito_numero_bairro, a.bairro_usado
+           FROM {request} r LEFT JOIN {answer} a ON a.cd_municipio = r.cd_municipio AND a.rua = r.rua
+                AND a.numero = CASE WHEN r.numero > 0 THEN r.numero ELSE 0 END AND a.bairro = COALESCE(r.bairro, '')"""
+
 QUERIES = {
     "index_runs": query(lambda s: tidy(SI.build_runs(SI.usable_rows(s.counts))), "SELECT * FROM {run}", **IDX),
     "index_streets": query(lambda s: tidy(index(s).streets),
@@ -150,12 +166,13 @@ QUERIES = {
         SELECT CAST(SUM(n) AS BIGINT) AS enderecos, CAST(SUM(n) FILTER (numero = 0) AS BIGINT) AS sem_numero,
                CAST(SUM(n) FILTER (k > 1 AND numero IS NOT NULL) AS BIGINT) AS em_chave_ambigua
         FROM (SELECT numero, SUM(n_enderecos) AS n, COUNT(DISTINCT id_regiao) AS k FROM {counts} GROUP BY cd_municipio_ibge, logradouro, numero)"""),
-    "resolve_addresses": query(
-        lambda s: tidy(RES.resolve(s.request, stored_index(s))),
-        """SELECT r.id, r.cd_municipio, r.rua, r.numero, r.bairro, a.logradouro, a.id_regiao, a.confianca, a.n_opcoes, a.n_regioes, a.bairro_ignorado,
-                  a.conflito_numero_bairro, a.bairro_usado
-           FROM {request} r LEFT JOIN {answer} a ON a.cd_municipio = r.cd_municipio AND a.rua = r.rua
-                AND a.numero = CASE WHEN r.numero > 0 THEN r.numero ELSE 0 END AND a.bairro = COALESCE(r.bairro, '')""", **RESOLVE),
+    "resolve_addresses": query(lambda s: tidy(RES.resolve(s.request, stored_index(s))), _RESOLVED, **RESOLVE),
+    "resolve_prepared": query(lambda s: tidy(PRE.resolve_prepared(s.request, prepared(s))), _RESOLVED, **RESOLVE),
+    # As a large batch asks: every key is shuffled to the buckets of the tables.
+    "resolve_prepared_in_bulk": query(lambda s: tidy(PRE.resolve_prepared(s.request, prepared(s), small_batch=0, few_towns=0)), _RESOLVED, **RESOLVE),
+    "prepared_runs": query(_prepared_runs, """
+        SELECT r.cd_municipio_ibge, r.logradouro, numero_inicial, r.id_regiao, pos AS posicao, pos AS lugar FROM {runpos} r
+        JOIN {street} s ON s.cd_municipio_ibge = r.cd_municipio_ibge AND s.logradouro = r.logradouro AND s.n_regioes > 1""", **RESOLVE),
     "resolve_options": query(
         lambda s: (lambda i: tidy(RES.options(RES.resolve(s.request, i), i).select(
             "cd_municipio_ibge", "logradouro", "bairro", "id_regiao", "fracao", "ordem")))(stored_index(s)),
