@@ -8,8 +8,11 @@ targets are few become leaves; the others are cut in four. Cell distances are
 whole numbers, so pruning cannot lose a neighbour to rounding. The work depends
 on the number of targets and of occupied coarse cells, not on queries x targets.
 
-Each query row then meets exactly one leaf, so its side is neither aggregated
-nor multiplied: with a leaf table of checked size it is not even shuffled.
+The leaves form a linear quadtree: each is an interval of Morton keys of its group, and
+the sorted starts are the bottom of a search tree with nodes of bounded size. A query row
+walks down to its leaf by its own key, one small node at a time, so its side is neither
+aggregated nor multiplied; with tables of checked size it is not even shuffled. The query
+side is computed once and stored; its extent and its occupied cells are read from there.
 """
 
 from __future__ import annotations
@@ -20,12 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from meshtally.operators.ordered import ordinal
 from meshtally.session import settle
 
 DEPTH = 30             # finest grid: the square's side / 2^30
 OCCUPANCY_DEPTH = 12   # query cells are counted no finer than this
 FIRST_LEVEL = 2        # the descent starts at 4 x 4 cells
 LEAF_TARGETS = 128    # a query cell with at most this many candidates is a leaf
+NODE = 64              # starts in a node of the search tree
 BROADCAST_CANDIDATES = 1_000_000   # about 40 MB of leaf table; beyond it, a shuffled join
 
 
@@ -39,6 +44,20 @@ def _at(c: str, level: int) -> Column:
     return F.shiftright(F.col(c), DEPTH - level)
 
 
+# The masks that spread 32 bits over the even bits of 64.
+_SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333),
+           (1, 0x5555555555555555))
+
+
+def morton(x: Column, y: Column) -> Column:
+    """Key of a cell along the Z curve: the bits of both numbers in turn."""
+    def spread(c: Column) -> Column:
+        for bits, mask in _SPREAD:
+            c = c.bitwiseOR(F.shiftleft(c, bits)).bitwiseAND(F.lit(mask))
+        return c
+    return spread(x).bitwiseOR(F.shiftleft(spread(y), 1))
+
+
 def _children(c: str) -> Column:
     return F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1))
 
@@ -75,40 +94,70 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
         return found.select(*[F.col(c) for c in queries.columns], F.col("_best.id").alias(target_id),
                             F.sqrt("_best.d2").alias(distance))
 
+    placed = settle(queries.select("*", qx.alias("_qx"), qy.alias("_qy")))
+    qx, qy = F.col("_qx"), F.col("_qy")
     spread = goal.agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty")).unionAll(
-        queries.agg(F.min(qx), F.max(qx), F.min(qy), F.max(qy)))
+        placed.agg(F.min(qx), F.max(qx), F.min(qy), F.max(qy)))
     box = spread.toDF("a", "b", "c", "d").agg(F.min("a"), F.max("b"), F.min("c"), F.max("d")).first()
     side = max(box[1] - box[0], box[3] - box[2], 1e-9) * (1 + 1e-9)
-    goal = goal.select("*", _cell(F.col("_tx"), box[0], side).alias("_cx"),
-                       _cell(F.col("_ty"), box[2], side).alias("_cy"))
+    cells = (_cell(F.col("_tx"), box[0], side), _cell(F.col("_ty"), box[2], side))
+    goal = goal.select("*", cells[0].alias("_cx"), cells[1].alias("_cy"))
     # Points by number of the dyadic cell.
-    placed = queries.select("*", _cell(qx, box[0], side).alias("_cx"),
-                            _cell(qy, box[2], side).alias("_cy"))
-    occupied = settle(placed.where(qx.isNotNull() & qy.isNotNull())
-                      .select(*g, _at("_cx", OCCUPANCY_DEPTH).alias("_ox"),
-                              _at("_cy", OCCUPANCY_DEPTH).alias("_oy")).distinct())
-
+    qcells = (_cell(qx, box[0], side), _cell(qy, box[2], side))
+    usable = qx.isNotNull() & qy.isNotNull()
+    occupied = settle(placed.where(usable).select(
+        *g, qcells[0].alias("_cx"), qcells[1].alias("_cy")).select(
+        *g, _at("_cx", OCCUPANCY_DEPTH).alias("_ox"), _at("_cy", OCCUPANCY_DEPTH).alias("_oy")).distinct())
     if occupied.isEmpty():
         return none
-    leaves, levels = _build_leaves(goal, occupied, g, leaf_targets)
-    size = leaves.agg(F.sum(F.size("_cand")), F.count("*")).first()
-    table = F.broadcast(leaves) if (size[0] or 0) + size[1] <= broadcast_limit else leaves
-
-    keyed = placed.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("_level"))
-    keyed = keyed.select("*", F.expr(f"shiftright(_cx, {DEPTH} - _level)").alias("_lx"),
-                         F.expr(f"shiftright(_cy, {DEPTH} - _level)").alias("_ly"))
-    hit = (keyed.join(table, [*g, "_level", "_lx", "_ly"], "left")
-           .withColumn("_best", _closest(qx, qy)))
-    # A row finds its one leaf at one level. Rows with none keep a single null copy.
-    reachable = goal.select(*g).distinct().withColumn("_has", F.lit(True))
-    reachable = F.broadcast(reachable) if sizes[1] <= broadcast_limit else reachable
-    hit = hit.join(reachable, g, "left")
-    usable = F.coalesce(F.col("_has"), F.lit(False)) & qx.isNotNull() & qy.isNotNull()
-    alone = ~usable & (F.col("_level") == levels[0])
-    return (hit.where(F.col("_best").isNotNull() & usable | alone)
-            .select(*[F.col(c) for c in queries.columns],
-                    F.when(usable, F.col("_best.id")).alias(target_id),
-                    F.when(usable, F.sqrt("_best.d2")).alias(distance)))
+    leaves = _numbered_leaves(_build_leaves(goal, occupied, g, leaf_targets), g)
+
+    hit = placed.withColumn("_key", F.when(usable, morton(*qcells)))
+    for node in _search_tree(leaves, g):
+        # From node to node: the last start that is not beyond the row's key.
+        step = F.size(F.filter("_starts", lambda s: s <= F.col("_key"))) - 1
+        table = F.broadcast(node) if _numbers(node, "_starts") <= 3 * broadcast_limit else node
+        on = [*g, "_nr"] if "_nr" in hit.columns else g
+        hit = (hit.join(table if "_nr" in hit.columns else table.drop("_nr"), on, "left")
+               .withColumn("_nr", (F.coalesce(F.col("_nr") if "_nr" in hit.columns else F.lit(0), F.lit(0)) * NODE + step).cast("bigint"))
+               .drop("_starts"))
+    lists = leaves.select(*g, "_nr", "_cand")
+    table = F.broadcast(lists) if _numbers(lists, "_cand") <= broadcast_limit else lists
+    hit = hit.join(table, [*g, "_nr"], "left").withColumn("_best", _closest(qx, qy))
+    return hit.select(*[F.col(c) for c in queries.columns], F.col("_best.id").alias(target_id), F.sqrt("_best.d2").alias(distance))
+
+
+def _numbers(table: DataFrame, lists: str) -> int:
+    """Rows and list items of a stored table."""
+    size = table.agg(F.sum(F.size(lists)), F.count("*")).first()
+    return (size[0] or 0) + size[1]
+
+
+def _numbered_leaves(leaves: DataFrame, g: list[str]) -> DataFrame:
+    """Leaves of each group by ascending key, numbered from 0: group, _start, _nr, candidates.
+
+    A leaf of a level is the interval of all keys whose leading bits are its cell's.
+    """
+    start = F.expr(f"shiftleft(_cell_key, CAST(2 * ({DEPTH} - _level) AS INT))")
+    rows = leaves.withColumn("_cell_key", morton(F.col("_lx"), F.col("_ly"))).select(*g, start.alias("_start"), "_cand")
+    rows = settle(rows)
+    numbered = ordinal(rows.select(*g, "_start"), g, ["_start"], F.shiftright("_start", 2 * (DEPTH - 8)), out="_nr")
+    return settle(numbered.join(rows, [*g, "_start"]))
+
+
+def _search_tree(leaves: DataFrame, g: list[str]) -> list[DataFrame]:
+    """Nodes of at most NODE ascending starts, from the root of each group down: group, _nr, _starts.
+
+    Child k of node _nr is node _nr * NODE + k of the next table, and a leaf below the last.
+    """
+    levels, below = [], leaves.select(*g, "_nr", "_start")
+    while True:
+        nodes = settle(below.groupBy(*g, F.floor(F.col("_nr") / NODE).cast("bigint").alias("_nr"))
+                       .agg(F.array_sort(F.collect_list("_start")).alias("_starts")))
+        levels.insert(0, nodes)
+        if not nodes.agg(F.max("_nr")).first()[0]:
+            return levels
+        below = nodes.select(*g, "_nr", F.col("_starts")[0].alias("_start"))
 
 
 def _closest(qx: Column, qy: Column) -> Column:
@@ -133,8 +182,8 @@ def _pruned(pairs: DataFrame, cell: WindowSpec) -> DataFrame:
             .withColumn("_all", F.sum("_n").over(cell)))
 
 
-def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targets: int):
-    """(leaf table, levels in use): (group, level, cell) -> candidate targets."""
+def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targets: int) -> DataFrame:
+    """Leaf table: (group, level, cell) -> candidate targets."""
     target = F.struct(F.col("_tx").alias("x"), F.col("_ty").alias("y"), F.col("_tid").alias("id"))
     sizes = goal.groupBy(*g).agg(F.count("*").alias("_n"))
     small, big = (sizes.where(c).select(*g) for c in
@@ -144,7 +193,6 @@ def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targe
     done = [goal.join(small, g, "left_semi").groupBy(*g, F.lit(0).alias("_level"), zero.alias("_lx"),
                                                      zero.alias("_ly"))
             .agg(F.collect_list(target).alias("_cand"))]
-    levels = [0]
     cell = Window.partitionBy(*g, "_qx", "_qy")
     goal = goal.join(big, g, "left_semi")
 
@@ -165,7 +213,6 @@ def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targe
         leaf = pairs if last else pairs.where(F.col("_all") <= leaf_targets)
         n = pairs.agg(F.count_if(F.col("_all") <= leaf_targets), F.count("*")).first()
         if n[0] or last:
-            levels.append(level)
             members = goal.select(*g, _at("_cx", level).alias("_px"), _at("_cy", level).alias("_py"),
                                   target.alias("_t"))
             done.append(leaf.join(members, [*g, "_px", "_py"])
@@ -184,7 +231,7 @@ def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targe
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return settle(out), levels
+    return out
 
 
 def snap_to_existing(new: DataFrame, base: DataFrame, group: Sequence[str], lat: str, lon: str,

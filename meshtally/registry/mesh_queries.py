@@ -208,6 +208,23 @@ QUERIES = {
              FROM customer JOIN nation cn ON c_nationkey=cn.n_nationkey
              LEFT JOIN (supplier JOIN nation sn ON s_nationkey=sn.n_nationkey) ON cn.n_regionkey=sn.n_regionkey
              QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY d2, s_suppkey)=1)"""),
+    # Some hundreds of targets in a group, and thousands at larger scale: the grid and its search tree.
+    "nearest_customer_per_order": query(
+        lambda s: tidy(nearest_in_group(
+            s.sql("""SELECT o_orderkey, n_regionkey, CAST(o_orderkey * 613 % 10007 AS DOUBLE) / 10 AS x, CAST(o_orderkey * 1013 % 10009 AS DOUBLE) / 10 - 200 AS y
+                     FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""),
+            s.sql("""SELECT c_custkey, n_regionkey, CAST(c_custkey * 7919 % 10007 AS DOUBLE) / 10 AS x,
+                            CAST(c_custkey * 104729 % CASE WHEN c_custkey % 3 = 0 THEN 97 ELSE 8009 END AS DOUBLE) / 10 AS y
+                     FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_nationkey <> 7"""),
+            ["n_regionkey"], ("x", "y"), ("x", "y"), "c_custkey").select("o_orderkey", "c_custkey", "distancia")),
+        """WITH q AS (SELECT o_orderkey, n_regionkey, CAST(o_orderkey * 613 % 10007 AS DOUBLE) / 10 AS x, CAST(o_orderkey * 1013 % 10009 AS DOUBLE) / 10 - 200 AS y
+                      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+                t AS (SELECT c_custkey, n_regionkey, CAST(c_custkey * 7919 % 10007 AS DOUBLE) / 10 AS x,
+                             CAST(c_custkey * 104729 % CASE WHEN c_custkey % 3 = 0 THEN 97 ELSE 8009 END AS DOUBLE) / 10 AS y
+                      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey <> 7)
+           SELECT o_orderkey, b.c AS c_custkey, ROUND(sqrt(b.d), 4) AS distancia
+           FROM (SELECT o_orderkey, min({'d': (q.x - t.x) * (q.x - t.x) + (q.y - t.y) * (q.y - t.y), 'c': c_custkey}) AS b
+                 FROM q LEFT JOIN t USING (n_regionkey) GROUP BY 1)"""),
     "public_keys": query(
         lambda s: tidy(M.public_keys(*mesh(s))[0]),
         """SELECT id_regiao, cd_municipio_ibge, (array_agg(CONCAT(nr_zona,'-',nr_local) ORDER BY nr_zona, nr_local))[1] AS id_publico

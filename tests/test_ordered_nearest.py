@@ -121,8 +121,16 @@ def test_chunked_lists(series):
     assert parts == {k: [x[1] for x in v] for k, v in by_key(rows).items()}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_nearest_equals_brute_force(spark, limit):
+def test_morton_keys_are_intervals_of_cells(spark):
+    rows = spark.sql("SELECT x, y FROM (SELECT explode(sequence(0L, 15L)) AS x) CROSS JOIN (SELECT explode(sequence(0L, 15L)) AS y)")
+    keys = {(r.x, r.y): r.k for r in rows.select("x", "y", nearest.morton(F.col("x"), F.col("y")).alias("k")).collect()}
+    assert sorted(keys.values()) == list(range(256))
+    assert all(keys[x, y] >> 2 * b == keys[x >> b, y >> b] for x, y in keys for b in range(5))
+
+
+@pytest.mark.parametrize("limit,node", [(1_000_000, 64), (0, 3)])
+def test_nearest_equals_brute_force(spark, limit, node, monkeypatch):
+    monkeypatch.setattr(nearest, "NODE", node)
     rnd = random.Random(11)
     targets, queries = [], []
     for g in range(3):
