@@ -147,6 +147,95 @@ OFFICIAL = dict(state_type=STATE_TYPE, official_total=OFFICIAL_TOTAL, named=NAME
            FULL JOIN (SELECT sg_uf, tipo_voto, nr_votavel, CAST(SUM(qt_votos) AS BIGINT) AS n FROM {mine} WHERE tipo_voto = 'nominal' GROUP BY 1,2,3) y USING (sg_uf, tipo_voto, nr_votavel)""")
 
 
+# ---------------------------------------------------------------- three levels
+
+def level_votes(s):
+    return s.vote.withColumn("cd_municipio", F.split("id_local_votacao", "_")[1])
+
+
+def level_documents(s):
+    """One nested result document per contest and territory of each level; one municipality isn't published."""
+    kinds = {t: F.when(c, F.col("qt_votos")).otherwise(0) for t, c in [
+        ("tv", F.lit(True)), ("vnom", F.col("tipo_voto") == "nominal"), ("vl", F.col("tipo_voto") == "legenda"),
+        ("vb", F.col("tipo_voto") == "branco"), ("tvn", F.col("tipo_voto") == "nulo")]}
+    votes = level_votes(s)
+    sums = REC.by_level(votes.select(*REC.CONTEST, *REC.TERRITORY, *[c.alias(t) for t, c in kinds.items()]), [], list(kinds))
+    cand = REC.by_level(votes.where("tipo_voto IN ('nominal', 'legenda')"), ["tipo_voto", "sg_partido", "nr_votavel", "nm_votavel"], ["qt_votos"])
+    # As many as candidates stand.
+    party = cand.groupBy(*REC.LEVELS, "sg_partido").agg(
+        F.max(F.when(F.col("tipo_voto") == "legenda", F.col("nr_votavel"))).alias("lista"),
+        F.sum(F.when(F.col("tipo_voto") == "legenda", F.col("qt_votos"))).cast("string").alias("tvtl"),
+        F.collect_list(F.when(F.col("tipo_voto") == "nominal", F.struct(
+            F.col("nr_votavel").alias("n"), F.col("nm_votavel").alias("nmu"), F.col("qt_votos").cast("string").alias("vap")))).alias("cand"))
+    lists = party.groupBy(*REC.LEVELS).agg(F.collect_list(F.struct(
+        F.coalesce("lista", F.substring("sg_partido", 2, 2)).alias("n"), F.col("sg_partido").alias("sg"), "tvtl", "cand")).alias("par"))
+    text = {c: F.col(c).cast("string") for c in kinds}
+    v = F.struct(text["tv"].alias("tv"), (F.col("vnom") + F.col("vl")).cast("string").alias("vvc"), F.lit(None).cast("string").alias("vv"),
+                 text["vnom"].alias("vnom"), text["vl"].alias("vl"), F.lit("0").alias("van"), F.lit("0").alias("vansj"), text["vb"].alias("vb"),
+                 text["tvn"].alias("tvn"), text["tvn"].alias("vn"), F.lit("0").alias("vnt"))
+    return sums.join(lists, REC.LEVELS).where("NOT (cd_municipio = '00003' AND ano_eleicao = 2026)").select(
+        *REC.LEVELS, v.alias("v"), F.struct(text["tv"].alias("c")).alias("e"),
+        F.struct(F.lit("100").alias("ts"), F.lit("100").alias("st"), F.lit("100,0").alias("pst")).alias("s"),
+        F.array(F.struct(F.array(F.struct("par")).alias("agr"))).alias("carg"))
+
+
+_LEVEL_MINE = """
+    SELECT *, split_part(id_local_votacao, '_', 2) AS cd_municipio FROM {vote}
+    WHERE NOT (sg_uf = 'BA' AND id_local_votacao LIKE '%5' AND ano_eleicao = 2018) AND NOT (id_local_votacao LIKE '%_00012_%' AND ano_eleicao = 2022 AND turno = '2')
+    UNION ALL SELECT *, split_part(id_local_votacao, '_', 2) AS cd_municipio FROM {vote} WHERE sg_uf = 'AM' AND nr_votavel = '1005' AND cargo = 'PRESIDENTE'"""
+
+
+def reconciled_levels(s):
+    """A state lost ballot boxes, another gained votes, a municipality is missing on our side and one on the official side."""
+    docs = settle(level_documents(s))
+    return REC.reconcile_levels(s.sql(_LEVEL_MINE), O.result_totals(docs, REC.LEVELS), O.result_votables(docs, REC.LEVELS))
+
+
+_C = "ano_eleicao, turno, cargo"
+_L = "nivel, ano_eleicao, turno, cargo, sg_uf, cd_municipio"
+
+
+def _level_sql(src: str, keys: str, values: str) -> str:
+    k = f"{_C}{keys}"
+    return f"""SELECT 2 - GROUPING(sg_uf) - GROUPING(cd_municipio) AS nivel, {k}, COALESCE(sg_uf, '') AS sg_uf, COALESCE(cd_municipio, '') AS cd_municipio, {values}
+               FROM {{{src}}} GROUP BY GROUPING SETS (({k}), ({k}, sg_uf), ({k}, sg_uf, cd_municipio))"""
+
+
+_FOUR = "CAST(SUM(qt_votos) AS BIGINT) AS comparecimento, " + ", ".join(
+    f"CAST(COALESCE(SUM(qt_votos) FILTER (tipo_voto IN ({k})), 0) AS BIGINT) AS {t}" for t, k in (("validos", "'nominal', 'legenda'"), ("brancos", "'branco'"), ("nulos", "'nulo'")))
+_FLAT = f"SELECT {_L}, t AS total, v AS valor, tv FROM (SELECT *, comparecimento AS tv FROM {{%s}}) UNPIVOT (v FOR t IN (comparecimento, validos, brancos, nulos))"
+_UNPUBLISHED = "WHERE NOT (cd_municipio = '00003' AND ano_eleicao = 2026)"
+_AT = """CASE nivel WHEN 0 THEN 'BR' WHEN 1 THEN sg_uf ELSE sg_uf || '/' || cd_municipio END || ' ' || ano_eleicao || '/' || turno || '/' || cargo"""
+LEVEL = dict(
+    l_all="SELECT *, split_part(id_local_votacao, '_', 2) AS cd_municipio FROM {vote}", l_mine=_LEVEL_MINE,
+    l_off=f"SELECT * FROM ({_level_sql('l_all', '', _FOUR)}) {_UNPUBLISHED}", l_our=_level_sql("l_mine", "", _FOUR), l_a=_FLAT % "l_our", l_b=_FLAT % "l_off",
+    l_cmp=f"""SELECT {_L}, total, b.valor AS oficial, COALESCE(a.valor, 0) AS nosso, COALESCE(a.valor, 0) - b.valor AS diferenca, b.tv - COALESCE(a.tv, 0) AS falta,
+                     CASE WHEN b.valor IS NULL THEN '?' WHEN a.valor IS NULL THEN 'x' WHEN a.valor = b.valor THEN ' '
+                          WHEN b.tv > a.tv AND a.valor - b.valor BETWEEN a.tv - b.tv AND 0 THEN '~' ELSE 'x' END AS marca
+              FROM {{l_a}} a FULL JOIN {{l_b}} b USING ({_L}, total)""",
+    l_low=f"""SELECT nivel - 1 AS nivel, {_C}, CASE WHEN nivel = 2 THEN sg_uf ELSE '' END AS sg_uf, '' AS cd_municipio, SUM(falta) AS falta_abaixo
+              FROM {{l_cmp}} WHERE total = 'comparecimento' AND nivel > 0 AND oficial IS NOT NULL GROUP BY 1, 2, 3, 4, 5""",
+    l_tot=f"""SELECT c.*, CAST(falta_abaixo AS BIGINT) AS falta_abaixo, COALESCE(falta > 0 AND falta = falta_abaixo, false) AS explicada
+              FROM {{l_cmp}} c LEFT JOIN {{l_low}} USING ({_L})""",
+    l_name=f"""SELECT {_L}, tipo_voto, nr_votavel, COALESCE(o, 0) AS oficial, COALESCE(n, 0) AS nosso, COALESCE(n, 0) - COALESCE(o, 0) AS diferenca,
+                      CASE WHEN ABS(COALESCE(n, 0) - COALESCE(o, 0)) <= GREATEST(10.0, COALESCE(o, 0) * 0.0001) THEN ' ' ELSE 'x' END AS marca
+               FROM (SELECT * FROM ({_level_sql('l_all', ', tipo_voto, nr_votavel', "CAST(SUM(qt_votos) FILTER (tipo_voto IN ('nominal', 'legenda')) AS BIGINT) AS o")}) {_UNPUBLISHED} AND o IS NOT NULL) x
+               FULL JOIN (SELECT * FROM ({_level_sql('l_mine', ', tipo_voto, nr_votavel', "CAST(SUM(qt_votos) FILTER (tipo_voto IN ('nominal', 'legenda')) AS BIGINT) AS n")}) WHERE n IS NOT NULL) y
+               USING ({_L}, tipo_voto, nr_votavel)""",
+    l_sum=f"""SELECT nivel - 1 AS nivel, {_C}, CASE WHEN nivel = 2 THEN sg_uf ELSE '' END AS sg_uf, '' AS cd_municipio, total, SUM(valor) AS s
+              FROM {{l_b}} WHERE nivel > 0 GROUP BY 1, 2, 3, 4, 5, 7""")
+_LEVEL_PROBLEMS = f"""
+    SELECT 'levels agree' AS "check", 'official' AS context, {_AT} || ': ' || total || ' ' || CAST(valor AS BIGINT) || ' x ' || CAST(s AS BIGINT) AS detail
+    FROM {{l_b}} JOIN {{l_sum}} USING ({_L}, total) WHERE valor <> s
+    UNION ALL SELECT 'reconcile', 'official', {_AT} || d FROM (
+      SELECT {_L}, ': nothing to compare with' AS d FROM {{l_tot}} WHERE total = 'comparecimento' AND oficial IS NULL
+      UNION ALL SELECT {_L}, ': ' || total || ' differs by ' || CAST(diferenca AS BIGINT) FROM {{l_tot}} WHERE marca = 'x' AND NOT explicada
+      UNION ALL SELECT {_L}, ': short of ' || CAST(falta AS BIGINT) || ' votes' FROM {{l_tot}}
+                WHERE total = 'comparecimento' AND falta > 0 AND NOT explicada AND falta / GREATEST(oficial, 1) > {K.MISSING_LIMIT}
+      UNION ALL SELECT {_L}, ': more votes than the official count' FROM {{l_tot}} WHERE total = 'comparecimento' AND falta < 0
+      UNION ALL SELECT {_L}, ', number ' || nr_votavel || ' differs by ' || CAST(diferenca AS BIGINT) FROM {{l_name}} WHERE marca = 'x')"""
+
+
 # ---------------------------------------------------------------- sections
 
 def config_documents(s):
@@ -366,6 +455,13 @@ QUERIES = {
               UNION ALL SELECT sg_uf, 'more votes than the official count' FROM {{compared}} WHERE total = 'comparecimento' AND falta < 0)
             UNION ALL SELECT 'reconcile', 'official', sg_uf || ', number ' || nr_votavel || ' differs by ' || diferenca
                       FROM {{compared_names}} WHERE marca = 'x'""", **OFFICIAL),
+    "reconcile_levels": query(
+        lambda s: tidy(reconciled_levels(s)[1].select(*REC.LEVELS, "total", "oficial", "nosso", "diferenca", "falta", "falta_abaixo", "explicada", "marca")),
+        f"SELECT {_L}, total, oficial, nosso, diferenca, falta, falta_abaixo, explicada, marca FROM {{l_tot}}", **LEVEL),
+    "reconcile_level_votables": query(
+        lambda s: tidy(reconciled_levels(s)[2].select(*REC.LEVELS, "tipo_voto", "nr_votavel", "oficial", "nosso", "diferenca", "marca")),
+        "SELECT * FROM {l_name}", **LEVEL),
+    "reconcile_level_problems": query(lambda s: reconciled_levels(s)[0], _LEVEL_PROBLEMS, **LEVEL),
     "section_config": query(
         lambda s: O.sections(config_documents(s), announced_only=True),
         """SELECT DISTINCT sg_uf AS uf, cd_municipio_tse AS municipio, nm_municipio AS municipio_nome, LPAD(CAST(nr_zona AS STRING), 4, '0') AS zona,
