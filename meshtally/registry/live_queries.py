@@ -328,19 +328,44 @@ def stream_map(s):
                            CAST(CASE WHEN user_id % 10 = 9 THEN 99 ELSE user_id % 7 END AS INT) AS nr_local, CAST(user_id AS INT) AS nr_secao FROM {events}""").where("id_regiao < 5")
 
 
-def live_stream(s, table: str):
+def live_stream(s, table: str, mapped=None, limits=None, published=None, files: int = 3):
     folder = scratch(s, "live")
-    m = settle(stream_map(s).withColumn("cd_municipio_ibge", F.lit("1")))
-    limits = s.spark.createDataFrame([], "cd_municipio_ibge string, nome string, limite bigint")
-    stream = ST.corrections(staged(s, reports(s), 3))
-    ST.run_pass(stream, scratch(s, "check"), ST.live_step(folder, m, limits))
+    m = settle(stream_map(s).withColumn("cd_municipio_ibge", F.lit("1")) if mapped is None else mapped)
+    limits = s.spark.createDataFrame([], "cd_municipio_ibge string, nome string, limite bigint") if limits is None else limits
+    stream = ST.corrections(staged(s, reports(s), files))
+    ST.run_pass(stream, scratch(s, "check"), ST.live_step(folder, m, limits, published=published, year=2026))
     return ST.latest(s.spark, folder, table)
 
 
+def with_silent(s):
+    """The stream's map with sections that never report."""
+    m = stream_map(s).withColumn("cd_municipio_ibge", F.lit("1"))
+    return m.unionByName(m.where("nr_secao % 25 = 3").withColumn("nr_secao", (F.col("nr_secao") + 1_000_000).cast("int")))
+
+
+def _stream_guarded(s):
+    """No name may have more votes in a region than a fifth of all; regions beyond are withheld."""
+    limits = s.sql("""SELECT '1' AS cd_municipio_ibge, '13' AS nome, CAST(SUM(CAST(FLOOR(valor * 10) AS BIGINT)) AS BIGINT) AS q
+                      FROM (SELECT secao, MAX_BY(valor, (IF(situacao = 'Totalizado', 1, 0), ordem)) AS valor FROM {transmission} GROUP BY secao) WHERE secao % 10 <> 9""")
+    limits = settle(limits.select("cd_municipio_ibge", "nome", F.floor(F.col("q") / 5).alias("limite")))
+    return tidy(live_stream(s, "resultados", limits=limits, files=2).select("id_regiao", "tipo", "numero", "votos", "nome"))
+
+
+def _stream_served(s):
+    """Published contests of all regions, of the live election's contest in one; live ones elsewhere."""
+    published = s.sql("""SELECT DISTINCT user_id % 5 AS id_regiao, 'presidente' AS cargo, 2022 AS ano_eleicao, '1' AS turno, 'ANTES' AS nome, 9L AS votos FROM {events}
+                         UNION ALL SELECT DISTINCT 2L, 'presidente', 2026, '1', 'JA', 3L FROM {events}""")
+    return tidy(live_stream(s, "servido", published=settle(published), files=2))
+
+
 VALID_SECTION = """SELECT secao, situacao, ordem, valor, secao % 5 AS id_regiao FROM {transmission}
     QUALIFY row_number() OVER (PARTITION BY secao ORDER BY situacao = 'Totalizado' DESC, ordem DESC) = 1"""
 
 
+_SUMS = """SELECT id_regiao, CAST(SUM(CAST(FLOOR(valor * 10) AS BIGINT)) AS BIGINT) AS n, CAST(SUM(ordem % 5) AS BIGINT) AS b FROM {valid}
+           WHERE secao % 10 <> 9 GROUP BY 1"""
+
+
 def _stream_once(s):
     rows = s.events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     return sink(s, ST.once_per_section(staged(s, rows), ["user_id"], "ts", "4000 days"), "append").select("user_id")
@@ -505,10 +530,30 @@ QUERIES = {
         lambda s: tidy(live_stream(s, "resultados").where("votos <> 0").select("id_regiao", "tipo", "votos", "pct")),
         f"""SELECT id_regiao, tipo, votos, {pct_sql('votos', 'base')} AS pct FROM (SELECT id_regiao, 'nominal' AS tipo, n AS votos, n AS base FROM {{sums}}
             UNION ALL SELECT id_regiao, 'branco', b, n + b FROM {{sums}}) WHERE votos <> 0""", valid=VALID_SECTION,
-        sums="SELECT id_regiao, CAST(SUM(CAST(FLOOR(valor * 10) AS BIGINT)) AS BIGINT) AS n, CAST(SUM(ordem % 5) AS BIGINT) AS b FROM {valid} WHERE secao % 10 <> 9 GROUP BY 1"),
+        sums=_SUMS),
     "stream_pending": query(
         lambda s: tidy(live_stream(s, "pendentes").select("secao", "motivo")),
         "SELECT secao, 'não totalizada' AS motivo FROM {valid} WHERE situacao <> 'Totalizado'", valid=VALID_SECTION),
+    "stream_progress": query(
+        lambda s: tidy(live_stream(s, "progresso", with_silent(s), files=2)),
+        """SELECT id_regiao, esperadas, COALESCE(urnas, 0) AS urnas, CASE WHEN COALESCE(urnas, 0) = 0 THEN 'sem' WHEN urnas >= esperadas THEN 'completo' ELSE 'parcial' END AS situacao
+           FROM (SELECT id_regiao, COUNT(*) + COUNT(*) FILTER (secao % 25 = 3) AS esperadas FROM {section_known} GROUP BY 1)
+           LEFT JOIN (SELECT id_regiao, COUNT(*) AS urnas FROM {valid} WHERE secao % 10 <> 9 GROUP BY 1) USING (id_regiao)""", valid=VALID_SECTION,
+        section_known="SELECT DISTINCT user_id AS secao, user_id % 5 AS id_regiao FROM {events}"),
+    "stream_pending_reasons": query(
+        lambda s: tidy(live_stream(s, "pendentes", with_silent(s), files=2).select("municipio", "zona", "secao", "motivo")),
+        """SELECT '00310' AS municipio, 1::BIGINT AS zona, secao, 'não totalizada' AS motivo FROM {valid} WHERE situacao <> 'Totalizado'
+           UNION ALL SELECT DISTINCT '00310', 1::BIGINT, user_id + 1000000, 'sem boletim' FROM {events} WHERE user_id % 25 = 3""", valid=VALID_SECTION),
+    "stream_guarded_results": query(
+        _stream_guarded,
+        """SELECT id_regiao, tipo, numero, votos, nome FROM (
+             SELECT id_regiao, 'nominal' AS tipo, 13::BIGINT AS numero, n AS votos, '13' AS nome, n FROM {sums} UNION ALL SELECT id_regiao, 'branco', NULL, b, NULL, n FROM {sums})
+           WHERE votos <> 0 AND n <= (SELECT SUM(n) // 5 FROM {sums})""", valid=VALID_SECTION, sums=_SUMS),
+    "stream_served": query(
+        _stream_served,
+        """SELECT DISTINCT user_id % 5 AS id_regiao, 'presidente' AS cargo, 2022::BIGINT AS ano_eleicao, '1' AS turno, 'ANTES' AS nome, 9::BIGINT AS votos, false AS parcial FROM {events}
+           UNION ALL SELECT 2, 'presidente', 2026, '1', 'JA', 3, false
+           UNION ALL SELECT id_regiao, 'presidente', 2026, '1', '13', n, true FROM {sums} WHERE n > 0 AND id_regiao <> 2""", valid=VALID_SECTION, sums=_SUMS),
     "event_properties": query(
         lambda s: tidy(s.events.select("event_type", F.from_json("props", "k bigint", {"mode": "FAILFAST", "allowNonNumericNumbers": "false"}).alias("p"))
                        .groupBy("event_type").agg(F.sum("p.k").alias("soma"), F.max("p.k").alias("maximo"))),

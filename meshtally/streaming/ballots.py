@@ -2,24 +2,26 @@
 
 A section may transmit again. Keyed state keeps the valid transmission of each
 section, and a replacement comes out as a pair of signed rows: minus the old one,
-plus the new one. Everything downstream is then a plain sum of small deltas, so a
-micro-batch costs what it brings, never the whole election.
+plus the new one. Everything downstream is then a plain sum of small deltas, kept in
+levels (`levels.py`), so a micro-batch costs what it brings and the regions it touches,
+never the whole election.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 from pyspark.sql.types import StructType
 
 from meshtally.constants import OFFICES
 from meshtally.functions.text import office_slug
 from meshtally.plans import live
+from meshtally.streaming.levels import Levels
 
 LINES = ("array<struct<cargo:int,tipo:string,quantidade:bigint,partido:bigint,numero:bigint>>")
 REPORT = f"municipio string, zona int, secao int, local int, situacao string, ordem bigint, votos {LINES}"
@@ -34,13 +36,6 @@ def arriving(spark: SparkSession, path: str, schema: StructType | str, fmt: str
     return reader.load(path)
 
 
-def arriving_files(spark: SparkSession, path: str, glob: str = "*", per_batch: int = 10_000) -> DataFrame:
-    """Stream of binary reports (arquivo, content)."""
-    schema = "path string, modificationTime timestamp, length bigint, content binary"
-    stream = arriving(spark, path, schema, "binaryFile", glob, per_batch)
-    return stream.select(F.col("path").alias("arquivo"), "content")
-
-
 def run_pass(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None],
              mode: str = "append") -> StreamingQuery:
     """One collection pass: everything new since the last pass, then stop.
@@ -77,91 +72,146 @@ def arrival_rate(stream: DataFrame, at: str, window: str = "1 minute", delay: st
 
 
 _KEYS = live.SECTION
-_OUT = "municipio string, zona int, secao int, local int, situacao string, sinal int, votos string"
-
-
-def _keep_valid(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """State of one section: rank and content of its valid transmission."""
-    old = json.loads(state.get[0]) if state.exists else None
-    best = old
-    for frame in batches:
-        for r in frame.itertuples(index=False):
-            rank = [int((r.situacao or "").lower().startswith("totaliz")), int(r.ordem)]
-            if best is None or rank > best["rank"]:
-                best = {"rank": rank, "local": int(r.local), "situacao": r.situacao, "votos": r.votos}
-    if best is old:
-        return
-    state.update((json.dumps(best),))
-    rows = [(*key, b["local"], b["situacao"], sign, b["votos"])
-            for b, sign in ((old, -1), (best, 1)) if b is not None]
-    yield pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
-
-
-def corrections(stream: DataFrame) -> DataFrame:
-    """Reports (schema REPORT) to signed section rows: a retransmission takes back the
-    section's earlier row. Rows carry their vote lines in `votos`."""
-    narrow = stream.select(*_KEYS, "local", "situacao", "ordem", F.to_json("votos").alias("votos"))
-    signed = narrow.groupBy(*_KEYS).applyInPandasWithState(
-        _keep_valid, _OUT, "valid string", "append", "NoTimeout")
-    return signed.withColumn("votos", F.from_json("votos", LINES))
+_OUT = f"municipio string, zona int, secao int, local int, situacao string, sinal int, votos {LINES}"
+_STATE = f"final boolean, ordem bigint, local int, situacao string, votos {LINES}"
+_LINE = [f.split(":")[0] for f in LINES[len("array<struct<"):-2].split(",")]
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CLOSE_MS = 30 * 24 * 3600 * 1000
 
 
-def _write(df: DataFrame, path: str, batch: int) -> None:
-    """A batch's own folder: repeating the batch writes the same rows over it."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/lote={batch}")
+def _typed(line: dict) -> tuple:
+    """A vote line for the state, which takes whole numbers only as such (Arrow hands out floats beside nulls)."""
+    return tuple(None if line[f] is None or line[f] != line[f] else line[f] if f == "tipo" else int(line[f]) for f in _LINE)
+
+
+class ValidTransmission(StatefulProcessor):
+    """State of one section: its valid transmission, typed; and the mark that it is closed.
+
+    Some time after a section was totalized (by the time of arrival), a timer drops its vote lines and keeps the
+    mark: reports that come later are not counted. So state doesn't outlast an election.
+    """
+
+    def __init__(self, close_ms: int):
+        self.close_ms = close_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.valid = handle.getValueState("valid", _STATE)
+        self.closed = handle.getValueState("closed", "ordem bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        if self.closed.exists():
+            return
+        frame = pd.concat(list(rows), ignore_index=True)  # one section's reports of one batch
+        frame["final"] = frame["situacao"].fillna("").str.lower().str.startswith("totaliz")
+        best = frame.sort_values(["final", "ordem"], ascending=False, kind="stable").iloc[0]
+        new = (bool(best["final"]), int(best["ordem"]), int(best["local"]), best["situacao"],
+               [_typed(line) for line in best["votos"]])
+        old = tuple(self.valid.get()) if self.valid.exists() else None
+        if old is not None and new[:2] <= old[:2]:
+            return
+        self.valid.update(new)
+        if new[0]:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(int(frame["recebido"].max().timestamp() * 1000) + self.close_ms)
+        out = [(r[2], r[3], sign, [dict(zip(_LINE, line)) for line in r[4]]) for r, sign in ((old, -1), (new, 1)) if r is not None]
+        yield pd.DataFrame([(*key, *r) for r in out], columns=[c.split()[0] for c in _OUT.split(", ")])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.valid.exists():
+            self.closed.update((int(self.valid.get()[1]),))
+            self.valid.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def corrections(stream: DataFrame, close_ms: int = CLOSE_MS) -> DataFrame:
+    """Reports (schema REPORT) to signed section rows: a retransmission takes back the
+    section's earlier row. Rows carry their vote lines in `votos`.
+
+    Keyed state needs the RocksDB provider, which this sets for the session's streams. Time
+    is that of arrival: timers of processing time would keep a collection pass from ending.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    timed = stream.select(*_KEYS, "local", "situacao", "ordem", "votos", F.current_timestamp().alias("recebido"))
+    return (timed.withWatermark("recebido", "0 seconds").groupBy(*_KEYS)
+            .transformWithStateInPandas(ValidTransmission(close_ms), _OUT, "append", "eventTime"))
 
 
 def latest(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A served table after the newest finished batch, even when it is empty by then."""
-    last = spark.read.parquet(f"{folder}/lotes").agg(F.max("lote")).first()[0]
-    return spark.read.parquet(f"{folder}/{name}/lote={last}")
+    return Levels(spark, folder).read(name)
 
 
 def live_step(folder: str, mapped: DataFrame, limits: DataFrame, candidates: DataFrame | None = None,
               published: DataFrame | None = None, year: int | None = None,
               round_: str = "1") -> Callable[[DataFrame, int], None]:
-    """Micro-batch step over `corrections`: store deltas, sum them, guard, serve.
+    """Micro-batch step over `corrections`: add deltas, then serve the regions that they touch.
 
     `mapped` is the section map; `limits` (cd_municipio_ibge, nome, limite) withholds
     a region in which a name exceeds the official count of its municipality. With
     `published` (id_regiao, cargo, ano_eleicao, turno, nome, votos), `servido` holds the
     published contests plus the live ones of `year` and `round_` where they are missing.
+
+    A batch reads what it brings, and of the stored sums only the regions touched.
     """
     folder = folder.rstrip("/")
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        tables = Levels(spark, folder, before=number)
         at = mapped.select(F.col("cd_municipio_tse").alias("municipio"), F.col("nr_zona").alias("zona"),
                            F.col("nr_local").alias("local"), F.col("nr_secao").alias("secao"), "id_regiao")
-        # A report counts where the place it declares belongs to the region.
-        placed = batch.join(at, [*_KEYS, "local"], "left").persist()
-        _write(placed.select(*_KEYS, "id_regiao", "situacao", "sinal"), f"{folder}/secoes", number)
-        lines = placed.where("id_regiao is not null").select(
-            "id_regiao", "sinal", F.explode("votos").alias("v")).select(
+        # A report counts where the place it declares belongs to the region. Stored, so that the
+        # keyed state is asked once; repeating the batch writes the same rows over it.
+        arrived = f"{folder}/chegadas"
+        batch.join(at, [*_KEYS, "local"], "left").write.mode("overwrite").parquet(arrived)
+        placed = spark.read.parquet(arrived)
+        if not tables.fresh and placed.isEmpty():
+            return  # a batch that only moves time on
+        inside = placed.where("id_regiao is not null")
+        lines = inside.select("id_regiao", "sinal", F.explode("votos").alias("v")).select(
             "id_regiao", "v.cargo", "v.tipo", "v.partido", "v.numero",
             (F.col("v.quantidade") * F.col("sinal")).alias("quantidade"))
-        _write(live.live_results(lines), f"{folder}/deltas", number)
-        placed.unpersist()
-        _write(current_results(spark, folder, mapped, limits, candidates), f"{folder}/resultados", number)
+        tables.add_sums("somas", ["id_regiao", "cargo", "tipo", "numero"], "votos", live.live_results(lines))
+        signed = F.col("sinal").cast("bigint")
+        tables.add_sums("urnas", ["id_regiao"], "urnas", inside.select("id_regiao", signed.alias("urnas")))
+        tables.add_sums("situacoes", ["situacao"], "secoes", placed.select("situacao", signed.alias("secoes")))
+
+        expected = mapped.groupBy("id_regiao").agg(F.count("*").alias("esperadas"))
+        if tables.fresh:
+            tables.add_rows("pendentes", _KEYS, -1, mapped.select(
+                F.col("cd_municipio_tse").alias("municipio"), F.col("nr_zona").alias("zona"), F.col("nr_secao").alias("secao"),
+                F.lit("sem boletim").alias("motivo")).distinct())
+            tables.add_rows("progresso", ["id_regiao"], -1, _progress(expected.withColumn("urnas", F.lit(0).cast("bigint"))))
+            if published is not None:
+                tables.add_rows("servido", ["id_regiao"], -1, published.withColumn("parcial", F.lit(False)))
+        final = F.coalesce(F.lower("situacao").startswith("totaliz"), F.lit(False))
+        valid = placed.where("sinal > 0")
+        tables.add_rows("pendentes", _KEYS, number, valid.where(~final).select(*_KEYS, F.lit("não totalizada").alias("motivo")), valid)
+
+        touched = inside.select("id_regiao").distinct()
+        sums = tables.read("somas").join(touched, "id_regiao", "left_semi")
+        results = shown_results(sums, mapped, limits, candidates)
+        tables.add_rows("resultados", ["id_regiao"], number, results, touched)
+        counted = expected.join(touched, "id_regiao", "left_semi").join(tables.read("urnas"), "id_regiao", "left").fillna(0, ["urnas"])
+        tables.add_rows("progresso", ["id_regiao"], number, _progress(counted), touched)
         if published is not None:
-            shown = spark.read.parquet(f"{folder}/resultados/lote={number}").where(
-                F.col("tipo").isin("nominal", "legenda") & (F.col("votos") > 0)).select(
+            shown = results.where(F.col("tipo").isin("nominal", "legenda") & (F.col("votos") > 0)).select(
                 "id_regiao", "cargo", F.lit(year).cast(published.schema["ano_eleicao"].dataType).alias("ano_eleicao"),
                 F.lit(round_).alias("turno"), "nome", "votos")
-            _write(live.overlay(published, shown, ["id_regiao", "cargo", "ano_eleicao", "turno"]),
-                   f"{folder}/servido", number)
-        _write(current_progress(spark, folder, mapped), f"{folder}/progresso", number)
-        _write(current_pending(spark, folder, mapped), f"{folder}/pendentes", number)
-        # Named last: readers see a batch only when all its tables are there.
-        _write(spark.range(1), f"{folder}/lotes", number)
+            tables.add_rows("servido", ["id_regiao"], number, live.overlay(
+                published.join(touched, "id_regiao", "left_semi"), shown, ["id_regiao", "cargo", "ano_eleicao", "turno"]), touched)
+        tables.commit(number)
 
     return step
 
 
-def current_results(spark: SparkSession, folder: str, mapped: DataFrame, limits: DataFrame,
-                    candidates: DataFrame | None = None) -> DataFrame:
-    sums = spark.read.parquet(f"{folder}/deltas").groupBy("id_regiao", "cargo", "tipo", "numero").agg(
-        F.sum("votos").alias("votos"))
+def shown_results(sums: DataFrame, mapped: DataFrame, limits: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """Shares and names of summed votes, without regions that break a limit."""
     towns = mapped.select("id_regiao", "cd_municipio_ibge", "uf").distinct()
     results = live.live_shares(sums).join(towns, "id_regiao").withColumn(
         "cargo", office_slug(F.try_element_at(F.create_map(*[F.lit(x) for o in OFFICES.items() for x in o]),
@@ -174,26 +224,11 @@ def current_results(spark: SparkSession, folder: str, mapped: DataFrame, limits:
     return live.withhold(results, limits, ["cd_municipio_ibge"])
 
 
-def _received(spark: SparkSession, folder: str) -> DataFrame:
-    """Sections whose signed rows add up to one valid transmission."""
-    return (spark.read.parquet(f"{folder}/secoes").groupBy(*_KEYS, "id_regiao", "situacao")
-            .agg(F.sum("sinal").alias("_s")).where("_s > 0").drop("_s"))
-
-
-def current_progress(spark: SparkSession, folder: str, mapped: DataFrame) -> DataFrame:
-    return live.live_progress(_received(spark, folder).where("id_regiao is not null"), mapped)
-
-
-def current_pending(spark: SparkSession, folder: str, mapped: DataFrame) -> DataFrame:
-    """Sections still expected, and those received but not yet totalized."""
-    received = _received(spark, folder)
-    expected = mapped.select(F.col("cd_municipio_tse").alias("municipio"), F.col("nr_zona").alias("zona"),
-                             F.col("nr_secao").alias("secao"))
-    missing = expected.join(received.select(*_KEYS), _KEYS, "left_anti").withColumn(
-        "motivo", F.lit("sem boletim"))
-    final = F.coalesce(F.lower("situacao").startswith("totaliz"), F.lit(False))
-    return missing.unionByName(received.where(~final).select(*_KEYS, F.lit("não totalizada").alias("motivo")))
+def _progress(counted: DataFrame) -> DataFrame:
+    return counted.select("id_regiao", "esperadas", "urnas", F.when(F.col("urnas") == 0, "sem").when(
+        F.col("urnas") >= F.col("esperadas"), "completo").otherwise("parcial").alias("situacao"))
 
 
 def status_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _received(spark, folder).groupBy("situacao").agg(F.count("*").alias("secoes"))
+    """Sections by the situation of their valid report."""
+    return latest(spark, folder, "situacoes")

@@ -53,7 +53,7 @@ def test_retransmission_replaces_and_resumes(spark, tmp_path):
     assert shown == {(1, 2022, "ANTES", 9, False), (2, 2026, "JA", 3, False), (1, 2026, "13", 55, True)}
     people = spark.createDataFrame([("presidente", "presidente", "13", "Fulana", "PT")],
                                    "unidade string, cargo string, numero string, nome string, partido string")
-    named = {r.numero: r.nome for r in B.current_results(spark, out, mapped, limits, people).where("tipo = 'nominal'").collect()}
+    named = {r.numero: r.nome for r in B.shown_results(B.latest(spark, out, "somas"), mapped, limits, people).where("tipo = 'nominal'").collect()}
     assert named == {13: "Fulana"}
 
     # a region with more votes for a name than its municipality is withheld
