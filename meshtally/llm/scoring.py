@@ -27,8 +27,8 @@ from meshtally.llm.common import held_out, stored
 from meshtally.llm.minhash import mixed
 
 PRIOR = 4.0  # observations that the shorter context's estimate is worth
-BLOCK = 12 << 20  # characters of a block
-SHARD = 4 << 20  # n-grams of all blocks that a shard answers, about
+BLOCK = 6 << 20  # characters of a block
+SHARD = 3 << 20  # n-grams of all blocks that a shard answers, about
 PER_TOKEN = 1.75  # distinct n-grams of a block by token, about
 ORDERS = 3
 KEPT_BITS = (64, 48, 48)  # of the hashes of words, pairs and triples
