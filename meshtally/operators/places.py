@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meshtally import constants as K
 from meshtally.functions import geo, numbers, text
+from meshtally.operators import guards
 
 
 def in_scope(df: DataFrame, states: list[str] | None = None, column: str = "SG_UF") -> DataFrame:
@@ -64,4 +65,8 @@ def place_counters(sections: DataFrame) -> DataFrame:
 
 
 def one_round(sections: DataFrame, round_: str) -> DataFrame:
-    return sections.where(F.col("turno") == round_)
+    """Sections of one round; none at all is an error."""
+    out = sections.where(F.col("turno") == round_)
+    if out.isEmpty():
+        raise guards.CheckFailed(f"no section of round {round_}")
+    return out

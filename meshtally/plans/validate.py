@@ -94,6 +94,18 @@ def key_format(df: DataFrame, column: str, context: str) -> DataFrame:
     return problem_rows(bad, "key format", context, F.coalesce(F.col(column), F.lit("null")))
 
 
+def region_problems(regions: DataFrame, candidates: DataFrame, abstentions: DataFrame, keys: list[str],
+                    closes: Column | None = None) -> DataFrame:
+    """All rules of published region results at once: public keys, candidate rows, abstention.
+
+    regions: cd_municipio_ibge, id_publico; candidates and abstentions carry `keys`.
+    """
+    return (key_format(regions, "id_publico", "region")
+            .unionByName(guards.unique_key(regions, ["cd_municipio_ibge", "id_publico"], "public key"))
+            .unionByName(candidate_problems(candidates, keys, "region", closes))
+            .unionByName(abstention_problems(abstentions, keys)))
+
+
 def aggregate_problems(candidates: DataFrame, totals: DataFrame, keys: list[str], context: str) -> DataFrame:
     """A territory result: no repeated name, not too many names, closes at 100, and no
     more valid votes than votes."""

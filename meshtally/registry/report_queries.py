@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meshtally.functions import numbers, text
 from meshtally.operators import guards as G
+from meshtally.operators import places as P
 from meshtally.operators import votes as V
 from meshtally.operators.addresses import distance_summary
 from meshtally.operators.nearest import nearest_in_group
@@ -16,7 +17,7 @@ from meshtally.plans import publish as PUB
 from meshtally.plans import reports as R
 from meshtally.plans import resolve as RES
 from meshtally.plans import validate as VAL
-from meshtally.registry.common import MESH, REGION_VOTE, haversine_sql, query, tidy
+from meshtally.registry.common import MESH, REGION_VOTE, SECTION, haversine_sql, pct_sql, query, tidy
 from meshtally.registry.mesh_queries import mesh
 from meshtally.session import settle
 
@@ -111,6 +112,40 @@ GUARDS = """
     UNION ALL SELECT 'nominal without party', 'vote', CONCAT(COUNT(*), ' row(s)') FROM {vote} WHERE tipo_voto = 'nominal' AND sg_partido = 'P1'"""
 
 
+def _coverage(s):
+    """The coverage report's row, its lists unfolded."""
+    regions, mapping = mesh(s)
+    per_path = s.sql("SELECT o_orderpriority AS caminho, CAST(COUNT(*) AS BIGINT) AS amostra FROM {orders} GROUP BY 1")
+    row = R.coverage_report(R.geocoding_coverage(s.base, s.official, mapping, regions),
+                            R.vote_coverage(s.vote, V.votes_per_region(s.vote, mapping.where("id_regiao % 3 <> 0"))), s.counts, per_path)
+    lists = F.array_join(F.transform("geocodificacao", lambda g: F.concat_ws(":", F.coalesce(g["sg_uf"], F.lit("total")), g["locais"], g["com_coordenada"])), " ")
+    paths = F.array_join(F.transform("acerto_por_caminho", lambda p: F.concat_ws(":", p["caminho"], p["amostra"])), " ")
+    return tidy(row.select(lists.alias("geocodificacao"), "voto.*", "enderecos.*", paths.alias("caminhos")))
+
+
+def _region_rules(s):
+    """Customers as regions, their orders as votes; keys, shares and abstention are wrong here and there."""
+    regions = s.sql("""SELECT CAST(c_nationkey AS STRING) AS cd_municipio_ibge, CASE WHEN c_custkey % 97 = 5 THEN CONCAT('x-', c_custkey)
+                              WHEN c_custkey % 101 = 7 THEN '1-1' ELSE CONCAT(c_custkey % 40 + 2, '-', c_custkey) END AS id_publico FROM {customer}""")
+    rows = s.sql("SELECT o_custkey AS onde, o_orderstatus AS nome, COUNT(*) AS votos FROM {orders} GROUP BY 1, 2")
+    whole = rows.groupBy("onde").agg(F.sum("votos").alias("t"))
+    odd = F.when(F.col("onde") % 50 == 0, 3.0).otherwise(0.0)
+    cand = rows.join(whole, "onde").select("onde", "nome", F.when(F.col("onde") % 75 == 1, -F.col("votos")).otherwise(F.col("votos")).alias("votos"),
+                                           (numbers.percent(F.col("votos"), F.col("t")) + odd).alias("pct"))
+    away = s.sql("""SELECT c_custkey AS onde, CASE WHEN c_custkey % 60 = 2 THEN NULL ELSE c_custkey % 9 END AS qt_eleitores,
+                           CASE WHEN c_custkey % 60 = 1 THEN -1 WHEN c_custkey % 60 = 3 THEN c_custkey % 9 + 1 WHEN c_custkey % 60 = 4 THEN NULL ELSE c_custkey % 9 END AS abstencao
+                    FROM {customer}""")
+    return VAL.region_problems(regions, cand, away, ["onde"]).groupBy("check", "context").agg(F.count("*").alias("problemas"))
+
+
+def _missing_documents(s):
+    """Municipalities of the index without documents of their streets or localities."""
+    towns = PUB.municipality_index(mesh(s)[0])
+    streets = s.sql("SELECT DISTINCT cd_municipio_ibge FROM {counts} WHERE CAST(cd_municipio_ibge AS BIGINT) % 3 <> 0")
+    local = s.sql("SELECT DISTINCT cd_municipio_ibge FROM {counts} WHERE CAST(cd_municipio_ibge AS BIGINT) % 7 <> 1")
+    return VAL.documents_present(towns, ruas=streets, bairros=local)
+
+
 def _preview(s):
     rows = s.sql("""SELECT n_name, c_mktsegment, COUNT(*) AS votos FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey GROUP BY 1, 2""")
     share = rows.groupBy("n_name").agg(F.sum("votos").alias("t"), F.array_sort(F.collect_list(
@@ -208,6 +243,42 @@ QUERIES = {
         lambda s: tidy(R.vote_coverage(s.vote, V.votes_per_region(s.vote, mesh(s)[1].where("id_regiao % 3 <> 0")))),
         """SELECT CAST((SELECT SUM(qt_votos) FROM {vote}) AS BIGINT) AS votos_apurados, CAST(SUM(qt_votos) AS BIGINT) AS votos_em_regiao,
                   COUNT(DISTINCT id_regiao) AS regioes_com_voto FROM {region_vote} WHERE id_regiao % 3 <> 0""", **MESH, region_vote=REGION_VOTE),
+    "coverage_report": query(
+        _coverage,
+        """SELECT (SELECT string_agg(COALESCE(sg_uf, 'total') || ':' || locais || ':' || com, ' ' ORDER BY sg_uf NULLS FIRST) FROM (
+                     SELECT sg_uf, COUNT(*) AS locais, COUNT(o) AS com
+                     FROM (SELECT DISTINCT u.id_local_votacao, u.sg_uf, r.origem_coordenada AS o FROM (SELECT id_local_votacao, sg_uf FROM {base} UNION SELECT id_local_votacao, sg_uf FROM {official}) u
+                           LEFT JOIN {mapping} USING (id_local_votacao) LEFT JOIN {region_dim} r USING (id_regiao)) GROUP BY ROLLUP (sg_uf))) AS geocodificacao,
+                  (SELECT CAST(SUM(qt_votos) AS BIGINT) FROM {vote}) AS votos_apurados, v.*, e.*,
+                  (SELECT string_agg(c || ':' || n, ' ' ORDER BY c) FROM (SELECT o_orderpriority AS c, COUNT(*) AS n FROM orders GROUP BY 1)) AS caminhos
+           FROM (SELECT CAST(SUM(qt_votos) AS BIGINT) AS votos_em_regiao, COUNT(DISTINCT id_regiao) AS regioes_com_voto FROM {region_vote} WHERE id_regiao % 3 <> 0) v,
+                (SELECT CAST(SUM(n) AS BIGINT) AS enderecos, CAST(SUM(n) FILTER (numero = 0) AS BIGINT) AS sem_numero,
+                        CAST(SUM(n) FILTER (k > 1 AND numero IS NOT NULL) AS BIGINT) AS em_chave_ambigua
+                 FROM (SELECT numero, SUM(n_enderecos) AS n, COUNT(DISTINCT id_regiao) AS k FROM {counts} GROUP BY cd_municipio_ibge, logradouro, numero)) e""",
+        **MESH, region_vote=REGION_VOTE),
+    "region_rules": query(
+        _region_rules,
+        f"""WITH r AS (SELECT c_nationkey AS m, CASE WHEN c_custkey % 97 = 5 THEN 'x' WHEN c_custkey % 101 = 7 THEN '1-1' ELSE 'own ' || c_custkey END AS k FROM customer),
+                 c AS (SELECT onde, CASE WHEN onde % 75 = 1 THEN -votos ELSE votos END AS votos, {pct_sql('votos', 't')} + CASE WHEN onde % 50 = 0 THEN 3 ELSE 0 END AS pct
+                       FROM (SELECT o_custkey AS onde, o_orderstatus, COUNT(*) AS votos, CAST(SUM(COUNT(*)) OVER (PARTITION BY o_custkey) AS BIGINT) AS t FROM orders GROUP BY 1, 2))
+            SELECT * FROM (
+              SELECT 'key format' AS "check", 'region' AS context, COUNT(*) AS problemas FROM r WHERE k = 'x'
+              UNION ALL SELECT 'unique key', 'public key', COUNT(*) FROM (SELECT m FROM r WHERE k = '1-1' GROUP BY m HAVING COUNT(*) > 1)
+              UNION ALL SELECT 'range', 'region', COUNT(*) FROM c WHERE pct NOT BETWEEN 0 AND 100 OR votos < 0
+              UNION ALL SELECT 'percent', 'region', COUNT(*) FROM (SELECT onde FROM c GROUP BY onde HAVING ABS(SUM(pct) - 100) > 0.5)
+              UNION ALL SELECT 'abstention', 'region', COUNT(*) FROM customer WHERE c_custkey % 60 IN (1, 2, 3)) WHERE problemas > 0"""),
+    "documents_missing": query(
+        _missing_documents,
+        """SELECT 'missing documents' AS "check", context, cd_municipio_ibge AS detail FROM (
+             SELECT DISTINCT cd_municipio_ibge, 'ruas' AS context FROM {region_dim} WHERE cd_municipio_ibge NOT IN (SELECT cd_municipio_ibge FROM {counts} WHERE CAST(cd_municipio_ibge AS BIGINT) % 3 <> 0)
+             UNION ALL SELECT DISTINCT cd_municipio_ibge, 'bairros' FROM {region_dim} WHERE cd_municipio_ibge NOT IN (SELECT cd_municipio_ibge FROM {counts} WHERE CAST(cd_municipio_ibge AS BIGINT) % 7 <> 1))""", **MESH),
+    "votes_in_scope": query(
+        lambda s: tidy(P.in_scope(s.vote_raw.withColumn("SG_UF", F.expr("CASE WHEN NR_ZONA = '4' THEN ' ZZ' ELSE CONCAT(SG_UF, ' ') END")), ["SP", "BA", "ZZ"])
+                       .groupBy(F.trim("SG_UF").alias("sg_uf")).agg(F.count("*").alias("linhas"))),
+        "SELECT SG_UF AS sg_uf, COUNT(*) AS linhas FROM {vote_raw} WHERE NR_ZONA <> '4' AND SG_UF IN ('SP', 'BA') GROUP BY 1"),
+    "sections_of_round": query(
+        lambda s: tidy(P.one_round(P.clean_sections(s.section_raw), "2").groupBy("sg_uf", "turno").agg(F.count("*").alias("secoes"), F.sum("qt_eleitores").alias("eleitores"))),
+        "SELECT sg_uf, turno, COUNT(*) AS secoes, CAST(SUM(qt_eleitores) AS BIGINT) AS eleitores FROM {section} WHERE turno = '2' GROUP BY 1, 2", section=SECTION),
     "metadata": query(
         lambda s: tidy(PUB.metadata(mesh(s)[0], s.vote, 2026).select("ufs", "municipios", "regioes", F.explode("eleicoes").alias("cargo", "anos"))
                        .select("ufs", "municipios", "regioes", "cargo", F.explode("anos").alias("ano", "turnos"))
