@@ -34,8 +34,6 @@ VOTE_COLUMNS = ["id_local_votacao", "sg_uf", "ano_eleicao", "turno", "cargo", "s
                 "nr_votavel", "nm_votavel", "sg_partido", "tipo_voto", "qt_votos"]
 ADDRESS_COLUMNS = ["cd_municipio_ibge", "logradouro", "bairro", "numero", "id_regiao",
                    "n_enderecos", "n_domicilios"]
-DISTANCE_COLUMNS = ["id_regiao", "n_enderecos", "soma_dist", "dist_min", "dist_max", "acima_5km",
-                    "acima_25km"]
 STREET = ["cd_municipio_ibge", "logradouro"]
 
 # One row per vote of a decoded ballot report; a rejected file is one row with `erro`.
@@ -59,8 +57,3 @@ OFFICIAL_RESULT = _schema(
     v=_strings("tv", "vvc", "vv", "vnom", "vl", "van", "vansj", "vb", "tvn", "vn", "vnt"),
     e=_strings("c"), s=_strings("ts", "st", "pst"),
     carg=T.ArrayType(_schema(agr=T.ArrayType(_schema(par=T.ArrayType(_PARTY))))))
-
-_PAIR = T.ArrayType(_schema(id_regiao=_L, fracao=_D))
-STREET_DOCUMENT = _schema(
-    cd_municipio_ibge=_S, nome=_S, parte=_L, regiao_provavel=_L, n_regioes=_L, confianca=_D,
-    trechos=T.ArrayType(_schema(numero_inicial=_L, id_regiao=_L)), regioes=_PAIR)

@@ -28,37 +28,38 @@ def test_text_and_numbers(spark):
     r = one(spark, a=text.unaccented(lit(" Rua Dr. Brandão\n")), b=text.comparable(lit("Av. São-João,  10")), c=text.pad_code(lit(" 310")),
             d=text.pad_code(lit("123456")), e=text.title_case(lit("D'AVILA-SOUZA DA SILVA")), f=numbers.decimal_text(lit("-12,5")),
             g=numbers.decimal_text(lit("x")), h=numbers.percent(lit(1), lit(3)), i=numbers.percent(lit(1), lit(0)),
-            j=text.number_br(lit(1234567)), k=text.percent_br(lit(72.64)), l=text.place_key(lit("RO "), lit("310"), lit("017"), lit(" 1074")),
+            j=text.number_br(lit(1234567)), k=text.percent_br(lit(72.64)), l=text.place_key(lit("AM "), lit("702"), lit("004"), lit(" 33")),
             m=text.street_name(lit("Rua"), lit(None).cast("string"), lit(" das  Flores")), n=numbers.percent(lit(535), lit(20000)),
             o=FV.code_name(lit(9), {1: "um"}), p=text.place_key(lit("RO"), lit(None).cast("string"), lit("1"), lit("1")))
     assert r.a == "RUA DR. BRANDAO" and r.b == "AV SAO JOAO 10" and r.c == "00310" and r.d == "123456"
     assert r.e == "D'Avila-Souza Da Silva" and r.f == -12.5 and r.g is None and (r.h, r.i) == (33.33, 0.0)
-    assert r.j == "1.234.567" and r.k == "72,6%" and r.l == "RO_00310_17_1074" and r.m == "RUA DAS FLORES"
+    assert r.j == "1.234.567" and r.k == "72,6%" and r.l == "AM_00702_4_33" and r.m == "RUA DAS FLORES"
     assert r.n == 2.68 and r.o == "desconhecido_9" and r.p is None
 
 
-@pytest.mark.parametrize("number,seq,kind", [("95", "-1", "branco"), ("96", "-1", "nulo"), ("97", "-1", "anulado"), ("17", "-3", "legenda"),
-                                             ("17", "-1", "legenda"), ("1717", "-1", "nominal"), ("13", "280001607829", "nominal")])
+@pytest.mark.parametrize("number,seq,kind", [("95", "-1", "branco"), ("96", "77", "nulo"), ("97", "-3", "anulado"), ("44", "-3", "legenda"),
+                                             ("61", "-1", "legenda"), ("44551", "-1", "nominal"), ("61", "90210", "nominal"), ("5", "-1", "nominal")])
 def test_vote_type(spark, number, seq, kind):
     assert one(spark, t=FV.vote_type(F.lit(number), F.lit(seq))).t == kind
 
 
 def raw(spark, *rows):
-    base = dict(AA_ELEICAO="2022", NR_TURNO="1", SG_UF="RO", CD_MUNICIPIO="310", NM_MUNICIPIO="ALTA FLORESTA", NR_ZONA="17", NR_SECAO="1", NR_LOCAL_VOTACAO="1074",
-                NM_LOCAL_VOTACAO="ESCOLA X", DS_ENDERECO="RUA Y, 10", NR_LATITUDE="-12,129643", NR_LONGITUDE="-61,993019", QT_ELEITOR_ELEICAO_FEDERAL="250")
+    base = dict(AA_ELEICAO="2018", NR_TURNO="2", SG_UF="AM", CD_MUNICIPIO="702", NM_MUNICIPIO="PORTO AZUL", NR_ZONA="4", NR_SECAO="8", NR_LOCAL_VOTACAO="33",
+                NM_LOCAL_VOTACAO="GINASIO VELHO", DS_ENDERECO="TRAVESSA DO CAIS, 7", NR_LATITUDE="-3,41", NR_LONGITUDE="-60,125", QT_ELEITOR_ELEICAO_FEDERAL="61")
     return spark.createDataFrame([tuple({**base, **r}[c] for c in RAW_PLACES.names) for r in rows], RAW_PLACES)
 
 
 def test_sections_places_voters(spark):
-    df = P.clean_sections(raw(spark, {}, {"NR_SECAO": "2", "QT_ELEITOR_ELEICAO_FEDERAL": "180", "NR_LATITUDE": "-12.129643", "NR_LONGITUDE": "-61.993019"},
-                              {"AA_ELEICAO": "2026", "NM_LOCAL_VOTACAO": "ESCOLA NOVA", "DS_ENDERECO": None},
-                              {"NR_LOCAL_VOTACAO": "1", "NR_LATITUDE": "-1", "NR_LONGITUDE": "-1"}, {"NR_LOCAL_VOTACAO": "2", "NR_LATITUDE": "0", "NR_LONGITUDE": "0"},
-                              {"NR_LOCAL_VOTACAO": "3", "NR_LATITUDE": "48,27", "NR_LONGITUDE": "90,40"}))
+    df = P.clean_sections(raw(spark, {}, {"NR_SECAO": "9", "QT_ELEITOR_ELEICAO_FEDERAL": "40", "NR_LATITUDE": "-3.41", "NR_LONGITUDE": "-60.125"},
+                              {"NR_SECAO": "10", "QT_ELEITOR_ELEICAO_FEDERAL": "sem dado"},
+                              {"AA_ELEICAO": "2022", "NM_LOCAL_VOTACAO": "GINASIO REFORMADO", "DS_ENDERECO": None},
+                              {"NR_LOCAL_VOTACAO": "34", "NR_LATITUDE": "-1", "NR_LONGITUDE": "-1"}, {"NR_LOCAL_VOTACAO": "35", "NR_LATITUDE": "0,0", "NR_LONGITUDE": "-60"},
+                              {"NR_LOCAL_VOTACAO": "36", "NR_LATITUDE": "41,9", "NR_LONGITUDE": "12,5"}, {"NR_LOCAL_VOTACAO": "37", "NR_LATITUDE": "", "NR_LONGITUDE": None}))
     voters = {(r.id_local_votacao, r.ano_eleicao): r.qt_eleitores for r in P.voters_per_place(df).collect()}
-    assert voters["RO_00310_17_1074", 2022] == 430
+    assert voters["AM_00702_4_33", 2018] == 101 and voters["AM_00702_4_33", 2022] == 61
     latest = P.latest_places(df).collect()
-    assert [(r.id_local_votacao, r.nm_local_votacao, r.ds_endereco, r.ano_referencia) for r in latest] == [("RO_00310_17_1074", "ESCOLA NOVA", "RUA Y, 10", 2026)]
-    assert latest[0].latitude == -12.129643
+    assert [(r.id_local_votacao, r.nm_local_votacao, r.ds_endereco, r.ano_referencia) for r in latest] == [("AM_00702_4_33", "GINASIO REFORMADO", "TRAVESSA DO CAIS, 7", 2022)]
+    assert (latest[0].latitude, latest[0].longitude) == (-3.41, -60.125)
     G.enforce(G.sum_preserved(df, P.voters_per_place(df), "qt_eleitores", "voters"))
 
 
