@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshtally import constants as K
@@ -68,13 +68,34 @@ def attach_party(votes: DataFrame, register: DataFrame) -> DataFrame:
 def votes_per_region(votes: DataFrame, place_region: DataFrame,
                      moved: DataFrame | None = None) -> DataFrame:
     """Votes by region; `moved` (id_regiao, destino) re-allocates inactive regions."""
-    joined = votes.join(place_region.select("id_local_votacao", "id_regiao"), "id_local_votacao")
+    return _by_region(votes.join(place_region.select("id_local_votacao", "id_regiao"), "id_local_votacao"), moved,
+                      qt_votos=F.sum("qt_votos"))
+
+
+def counted_region_votes(votes: DataFrame, place_region: DataFrame,
+                         moved: DataFrame | None = None) -> DataFrame:
+    """`votes_per_region` with the rows of unknown places kept apart, and the vote rows counted.
+
+    `casado` is false in rows whose places the mesh doesn't know; `linhas` counts each vote
+    row once, also where a place stands in the mesh several times.
+    """
+    regions = place_region.groupBy("id_local_votacao").agg(
+        F.collect_list(F.struct("id_regiao")).alias("_regions"))
+    joined = votes.join(regions, "id_local_votacao", "left").select(
+        *votes.columns, F.posexplode_outer("_regions").alias("_at", "_region")).select(
+        *votes.columns, F.col("_region.id_regiao").alias("id_regiao"), "_at",
+        F.col("_at").isNotNull().alias("casado"))
+    return _by_region(joined, moved, ["casado"], qt_votos=F.sum("qt_votos"),
+                      linhas=F.count_if(F.coalesce(F.col("_at"), F.lit(0)) == 0))
+
+
+def _by_region(joined: DataFrame, moved: DataFrame | None, more: Sequence[str] = (), **sums: Column) -> DataFrame:
     if moved is not None:
         joined = (joined.join(moved.select("id_regiao", "destino"), "id_regiao", "left")
                   .withColumn("id_regiao", F.coalesce("destino", "id_regiao")).drop("destino"))
     keys = ["id_regiao", "sg_uf", *CONTEST, "sq_candidato", "nr_votavel", "nm_votavel",
             "sg_partido", "tipo_voto"]
-    return joined.groupBy(*keys).agg(F.sum("qt_votos").alias("qt_votos"))
+    return joined.groupBy(*keys, *more).agg(*[c.alias(name) for name, c in sums.items()])
 
 
 def outside_mesh(votes: DataFrame, place_region: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The builds of the chain behind their guards.
 
-A build that breaks a rule raises `CheckFailed` before anything is written. What a guard
-and its caller both read is stored once.
+A build that breaks a rule raises `CheckFailed` before anything is published. What a guard
+and its caller both read is stored once, and a guard on totals takes its figures from the job
+that stores (`operators/observed.py`), not from one of its own.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from meshtally.operators import guards
+from meshtally.operators import observed as OBS
 from meshtally.operators import votes as VOTES
 from meshtally.operators.guards import enforce
 from meshtally.plans import convert as CONVERT
@@ -29,23 +31,32 @@ def regions(places: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def party(votes: DataFrame, register: DataFrame) -> DataFrame:
     """`attach_party`, refused if votes are lost or a nominal vote has no party."""
-    out = settle(VOTES.attach_party(votes, register))
-    enforce(guards.nominal_without_party(out, "party of a vote"),
-            guards.sum_preserved(votes, out, "qt_votos", "party of a vote"))
-    return out
+    votes, before = OBS.settle_observed(votes, total=OBS.whole("qt_votos"))
+    return OBS.settle_watched(VOTES.attach_party(votes, register), OBS.nominal_with_party("party of a vote"),
+                              OBS.total_is(before["total"], "qt_votos", "party of a vote"))
 
 
 def region_votes(votes: DataFrame, mapping: DataFrame, moved: DataFrame | None = None) -> DataFrame:
     """`votes_per_region`, refused if too few vote rows belong to a place of the mesh."""
-    enforce(guards.join_rate(votes, mapping, ["id_local_votacao"], "votes by region"))
-    return VOTES.votes_per_region(votes, mapping, moved)
+    counted = OBS.settle_watched(VOTES.counted_region_votes(votes, mapping, moved),
+                                 OBS.matched_share("linhas", "casado", "votes by region"))
+    return counted.where("casado").drop("casado", "linhas")
 
 
 def index(counts: DataFrame) -> INDEX.StreetIndex:
-    """`build_index`, refused if a key repeats or a fraction is missing."""
+    """`build_index` as stored tables, refused if a key repeats or a fraction is missing."""
     built = INDEX.build_index(counts)
-    enforce(*built.guards())
-    return built
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        return OBS.settle_watched(df, OBS.nothing_missing(df, ["fracao"], name))
+
+    out = INDEX.StreetIndex(
+        runs=settle(built.runs), streets=stored(built.streets, "streets"),
+        street_regions=stored(built.street_regions, "street regions"),
+        street_localities=stored(built.street_localities, "street localities"),
+        localities=stored(built.localities, "localities"))
+    enforce(*out.key_guards())
+    return out
 
 
 def conversion(rows: DataFrame, offices: Sequence[int], state: str, year: int, round_: str,
@@ -53,8 +64,8 @@ def conversion(rows: DataFrame, offices: Sequence[int], state: str, year: int, r
     """Report lines to vote rows, refused if too many reports are rejected or votes are lost."""
     rejected = settle(CONVERT.rejections(rows))
     enforce(CONVERT.rejection_rate(rows, rejected))
-    counts = settle(CONVERT.ballot_counts(CONVERT.counted_rows(rows, rejected, offices)))
-    out = settle(CONVERT.vote_rows(counts, state, year, round_, register))
-    enforce(guards.sum_preserved(counts, out, "qt_votos", "conversion"),
-            guards.slice_present(out, year, round_, "conversion"))
-    return out
+    counts, before = OBS.settle_observed(
+        CONVERT.ballot_counts(CONVERT.counted_rows(rows, rejected, offices)), total=OBS.whole("qt_votos"))
+    return OBS.settle_watched(CONVERT.vote_rows(counts, state, year, round_, register),
+                              OBS.total_is(before["total"], "qt_votos", "conversion"),
+                              OBS.slice_present(year, round_, "conversion"))

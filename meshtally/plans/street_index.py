@@ -26,15 +26,18 @@ class StreetIndex:
     street_localities: DataFrame   # ambiguous streets in several localities
     localities: DataFrame       # municipality x locality
 
-    def guards(self) -> list[DataFrame]:
+    def key_guards(self) -> list[DataFrame]:
         lists = [(self.street_regions, [*STREET, "id_regiao"], "street regions"),
                  (self.street_localities, [*STREET, "bairro", "id_regiao"], "street localities"),
                  (self.localities, ["cd_municipio_ibge", "bairro", "id_regiao"], "localities")]
         return [guards.unique_key(self.runs, [*STREET, "numero_inicial"], "runs"),
                 guards.unique_key(self.streets, STREET, "streets"),
-                guards.no_missing(self.streets, ["fracao"], "streets"),
-                *[guards.unique_key(df, keys, name) for df, keys, name in lists],
-                *[guards.no_missing(df, ["fracao"], name) for df, _, name in lists]]
+                *[guards.unique_key(df, keys, name) for df, keys, name in lists]]
+
+    def guards(self) -> list[DataFrame]:
+        shares = [(self.streets, "streets"), (self.street_regions, "street regions"),
+                  (self.street_localities, "street localities"), (self.localities, "localities")]
+        return [*self.key_guards(), *[guards.no_missing(df, ["fracao"], name) for df, name in shares]]
 
 
 def usable_rows(counts: DataFrame) -> DataFrame:

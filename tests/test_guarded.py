@@ -1,9 +1,12 @@
 """Builds that refuse bad input."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from meshtally import schemas
+from meshtally.operators import observed as OBS
 from meshtally.operators.guards import CheckFailed
+from meshtally.operators.votes import votes_per_region
 from meshtally.plans import guarded
 from meshtally.sources import ballots
 
@@ -71,3 +74,39 @@ def test_conversion(spark):
         run([*good, ("w", *[None] * 15, "cut short")])
     with pytest.raises(CheckFailed, match="slice present"):
         run([])
+
+
+def test_totals_need_no_job_of_their_own(spark, monkeypatch):
+    """Guards on totals read the figures of the storing jobs."""
+    mapping = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "id_local_votacao string, id_regiao bigint")
+    rows = [(k, "31", "62", "nominal", 8) for k in "a" * 9 + "b" * 10] + [("z", "-1", "95", "branco", 1)]
+    with_party = votes(spark, *rows).selectExpr("*", "'P62' AS sg_partido")
+    plain = sorted(map(tuple, votes_per_region(with_party, mapping).collect()))
+
+    def refuse(*_):
+        raise AssertionError("a guard ran a job")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(with_party), "collect", refuse)
+        party = guarded.party(votes(spark, *rows), register(spark))
+        counted = guarded.region_votes(with_party, mapping)
+        none = OBS.settle_observed(with_party.limit(0), n=F.count("*"), total=OBS.whole("qt_votos"))
+    assert party.count() == 20 and sorted(map(tuple, counted.collect())) == plain
+    assert none[1] == {"n": 0, "total": 0} and none[0].count() == 0
+
+
+def test_a_place_of_two_regions_counts_once_in_the_rate(spark):
+    mapping = spark.createDataFrame([("a", i) for i in range(40)], "id_local_votacao string, id_regiao bigint")
+    base = votes(spark, *[(k, "31", "62", "nominal", 8) for k in "abb"]).selectExpr("*", "'P62' AS sg_partido")
+    with pytest.raises(CheckFailed, match="1 of 3 matched"):
+        guarded.region_votes(base, mapping)
+    with pytest.raises(CheckFailed, match="0 of 0 matched"):
+        guarded.region_votes(base.limit(0), mapping)
+
+
+def test_watches_name_every_problem(spark):
+    df = spark.createDataFrame([(1.5, None, 2), (float("nan"), "x", 3)], "a double, b string, n int")
+    with pytest.raises(CheckFailed) as found:
+        OBS.settle_watched(df, OBS.nothing_missing(df, ["a", "b", "n"], "t"), OBS.total_is(6, "n", "t"), OBS.total_is(5, "n", "u"))
+    assert [line.strip() for line in str(found.value).split("\n")[1:]] == [
+        "no missing [t]: 1 missing in a", "no missing [t]: 1 missing in b", "sum preserved [t]: before 6, after 5"]
