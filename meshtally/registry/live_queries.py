@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+import zipfile
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from meshtally.registry.index_queries import IDX, stored_index
 from meshtally.registry.mesh_queries import mesh, sections
 from meshtally.schemas import OFFICIAL_RESULT
 from meshtally.session import run_dir, settle
+from meshtally.sources import archive_source as ZIP
 from meshtally.sources import ballots as B
 from meshtally.sources import documents as D
 from meshtally.sources import official as O
@@ -410,6 +414,60 @@ def _slices(s):
     return tidy(s.spark.read.parquet(path).select(F.col("ano_eleicao").cast("bigint").alias("ano_eleicao"), F.col("turno").cast("string").alias("turno"), "sg_uf", "qt_votos"))
 
 
+PARTS = 4  # archives of a state and year
+
+
+def _zip_lines(s, folder: str):
+    """Vote lines to archives by year, state and part, as a publisher would have put them there."""
+    system, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
+    system.create_dir(root)
+    head = "id_local_votacao;cargo;nm_votavel;qt_votos;SOBRA\r\n"
+
+    def write(batches):
+        name = last = archive = member = out = temporary = None
+
+        def close():
+            member.close()
+            archive.close()
+            out.close()
+            system.move(f"{root}/{temporary}", f"{root}/{name}.zip")  # a task that runs again puts the same file there
+
+        for batch in batches:
+            for name_, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if name_ != last:
+                    if last:
+                        close()
+                    name = last = name_
+                    temporary = f"{name}-{uuid.uuid4().hex}.partial"
+                    out = system.open_output_stream(f"{root}/{temporary}")
+                    archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                    member = archive.open(f"{name}.csv", "w", force_zip64=True)
+                    member.write(head.encode("latin-1"))
+                member.write(line.encode("latin-1"))
+        if last:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([last], pa.string())], ["arquivo"])
+
+    quoted = F.concat(F.lit('"'), F.replace(F.col("nm_votavel"), F.lit('"'), F.lit('""')), F.lit('"'))
+    rows = s.vote.select(
+        F.concat_ws("_", F.lit("votos"), F.col("ano_eleicao").cast("string"), "sg_uf",
+                    F.pmod(F.xxhash64("id_local_votacao", "sq_candidato", "qt_votos"), F.lit(PARTS)).cast("string")).alias("arquivo"),
+        F.concat(F.concat_ws(";", "id_local_votacao", "cargo", quoted, F.col("qt_votos").cast("string")), F.lit(";x\r\n")).alias("linha"))
+    rows.repartition("arquivo").sortWithinPartitions("arquivo").mapInArrow(write, "arquivo string").write.format("noop").mode("overwrite").save()
+
+
+def _archives(s):
+    """Votes read back from archives found by year, state and part."""
+    folder = scratch(s, "zips")
+    _zip_lines(s, folder)
+    states = [r.sg_uf for r in s.place.select("sg_uf").distinct().collect()]  # five at most
+    rows = ZIP.read_archives(s.spark, folder + "/votos_{ano}_{uf}_{parte}.zip",
+                             "ano bigint, uf string, cargo string, nm_votavel string, qt_votos string",
+                             ano=[2018, 2022, 2026], uf=states, parte=range(PARTS))
+    return rows.groupBy("ano", "uf", "cargo", "nm_votavel").agg(
+        F.count("*").alias("linhas"), F.sum(F.col("qt_votos").cast("bigint")).alias("votos"))
+
+
 def _rules(s):
     """Rules of the published street documents, with some regions withdrawn from the mesh."""
     index = stored_index(s)
@@ -571,6 +629,9 @@ QUERIES = {
     "replace_slice": query(
         _slices, """SELECT CAST(ano_eleicao AS BIGINT) AS ano_eleicao, turno, sg_uf, CAST(SUM(qt_votos) AS BIGINT) + CASE WHEN ano_eleicao = 2026 AND turno = '1' THEN 1 ELSE 0 END AS qt_votos
                     FROM {vote} GROUP BY 1, 2, 3, ano_eleicao"""),
+    "archive_votes": query(
+        _archives, """SELECT CAST(ano_eleicao AS BIGINT) AS ano, sg_uf AS uf, cargo, nm_votavel, COUNT(*) AS linhas, CAST(SUM(qt_votos) AS BIGINT) AS votos
+                      FROM {vote} GROUP BY 1, 2, 3, 4"""),
     "sample_per_nation": query(
         lambda s: T.sample_per_group(s.sql("SELECT c_nationkey, c_custkey, c_acctbal FROM {customer}"), ["c_nationkey"], ["c_custkey"], 20),
         """SELECT c_nationkey, c_custkey, c_acctbal FROM customer
