@@ -17,6 +17,7 @@ from meshtally.llm.common import ascii_lower, stored
 START, END, OTHER = "\x02", "\x03", "\x01"
 ALPHABET = 97  # printable ASCII, one for all else, the end; triples: fewer than 98 ** 3
 PRIOR = 2.0  # weight of the shorter context, in observations
+SLICE = 1 << 20  # characters that a task takes to triples
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -43,6 +44,12 @@ def triples(address: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substr(padded, i, F.lit(3)))
 
 
+def spread(addresses: DataFrame) -> DataFrame:
+    """The addresses over as many partitions as their length asks for: a character becomes a row."""
+    length = addresses.agg(F.sum(F.length("address") + 1)).first()[0] or 0
+    return addresses.repartition(1 + length // SLICE)
+
+
 def model(examples: DataFrame) -> DataFrame:
     """(triple, ratio): log-likelihood difference of every triple of examples (address, verdict).
 
@@ -108,7 +115,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", page
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"), path.alias("path"), address.alias("address"))
     rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     rows = rows.select("page_id", "host", "path", "address", "_rule.*")
-    distinct = stored(rows.groupBy("address").agg(F.first("verdict").alias("verdict")))
+    distinct = spread(stored(rows.groupBy("address").agg(F.first("verdict").alias("verdict"))))
     scores = stored(scored(distinct, stored(model(distinct))))
     least = threshold(scores)
     new = scores.where("verdict IS NULL").select("address", F.round("score", 9).alias("score"))
