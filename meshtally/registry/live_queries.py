@@ -27,6 +27,7 @@ from meshtally.sources import archive_source as ZIP
 from meshtally.sources import ballots as B
 from meshtally.sources import documents as D
 from meshtally.sources import official as O
+from meshtally.sources import published as PUBLISHED
 from meshtally.sources import tables as T
 from meshtally.streaming import ballots as ST
 
@@ -390,6 +391,36 @@ def _documents(s):
     return D.publish_diff(here, there).select("arquivo", "situacao")
 
 
+def _publish_twice(s):
+    """Two versions of customer documents by nation, the files of the second against those of the first.
+
+    Between them nations 0 to 3 lose their customers, and those of 4 to 9 move by one.
+    """
+    path = scratch(s, "published")
+    first = s.sql("SELECT CAST(c_nationkey AS STRING) AS nacao, c_custkey, c_acctbal FROM {customer}")
+    PUBLISHED.publish(first, path, "nacao")
+    before = settle(PUBLISHED.published_files(s.spark, path))
+    second = s.sql("""SELECT CAST(c_nationkey AS STRING) AS nacao, c_custkey + CASE WHEN c_nationkey < 10 THEN 1 ELSE 0 END AS c_custkey, c_acctbal
+                      FROM {customer} WHERE c_nationkey > 3""")
+    PUBLISHED.publish(second, path, "nacao")
+    return path, before, PUBLISHED.published_files(s.spark, path)
+
+
+def _published_versions(s):
+    """Which nations must be sent: those with a file that the first version lacks."""
+    _, before, after = _publish_twice(s)
+    return tidy(D.publish_diff(after, before).groupBy(F.col("chave").alias("nacao")).agg(
+        F.max((F.col("situacao") == "novo").cast("int")).alias("novo"), F.sum("documentos").alias("documentos")))
+
+
+def _published_asked(s):
+    """Documents of the nations of one region's suppliers, from the second version."""
+    path, _, _ = _publish_twice(s)
+    asked = s.sql("SELECT CAST(s_nationkey AS STRING) AS nacao FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE n_regionkey = 1")
+    rows = PUBLISHED.read_published(s.spark, path, "nacao", asked)
+    return tidy(rows.select("nacao", F.from_json("value", "c_custkey bigint, c_acctbal double").alias("d")).select("nacao", "d.*"))
+
+
 def _audit(s):
     pages = s.pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("arquivo"), F.col("html").cast("binary").alias("content"), "page_id")
     signed = pages.select("arquivo", F.sha2(F.when(F.col("page_id") % 3 == 1, F.lit("altered").cast("binary")).otherwise(F.col("content")), 512).alias("sha512"))
@@ -629,6 +660,12 @@ QUERIES = {
     "replace_slice": query(
         _slices, """SELECT CAST(ano_eleicao AS BIGINT) AS ano_eleicao, turno, sg_uf, CAST(SUM(qt_votos) AS BIGINT) + CASE WHEN ano_eleicao = 2026 AND turno = '1' THEN 1 ELSE 0 END AS qt_votos
                     FROM {vote} GROUP BY 1, 2, 3, ano_eleicao"""),
+    "published_versions": query(
+        _published_versions, """SELECT CAST(c_nationkey AS STRING) AS nacao, CAST(c_nationkey < 10 AS BIGINT) AS novo, COUNT(*) AS documentos
+                                FROM customer WHERE c_nationkey > 3 GROUP BY c_nationkey"""),
+    "published_asked": query(
+        _published_asked, """SELECT CAST(c_nationkey AS STRING) AS nacao, c_custkey + CASE WHEN c_nationkey < 10 THEN 1 ELSE 0 END AS c_custkey, ROUND(c_acctbal, 4) AS c_acctbal
+                             FROM customer WHERE c_nationkey > 3 AND c_nationkey IN (SELECT s_nationkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 1)"""),
     "archive_votes": query(
         _archives, """SELECT CAST(ano_eleicao AS BIGINT) AS ano, sg_uf AS uf, cargo, nm_votavel, COUNT(*) AS linhas, CAST(SUM(qt_votos) AS BIGINT) AS votos
                       FROM {vote} GROUP BY 1, 2, 3, 4"""),
