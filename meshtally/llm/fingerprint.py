@@ -22,6 +22,7 @@ GROWTH = 1.25  # a length code more for each so many times the length
 MOST = 400  # difference from which digests have no likeness
 LENGTH_STEP, MOST_LENGTH = 4, 100
 LOWEST = -(1 << 63)
+TASK_BYTES = 32 << 20  # text that a task takes
 
 
 def digest(text: str) -> str:
@@ -48,7 +49,7 @@ def likeness(a: str, b: str) -> float:
     return 1 - min(MOST, apart) / MOST
 
 
-def with_next(docs: DataFrame, text: str, doc_id: str, blocks: int) -> DataFrame:
+def with_next(docs: DataFrame, text: str, doc_id: str, blocks: int, tasks: int) -> DataFrame:
     """Rows of blocks of consecutive ids, each block ended by the row that follows it.
 
     Blocks come from approximate quantiles of the ids; the text is shuffled once. The
@@ -72,7 +73,7 @@ def with_next(docs: DataFrame, text: str, doc_id: str, blocks: int) -> DataFrame
     carried = rows.drop("block").join(F.broadcast(ends), "place")  # one row per block
     return (rows.withColumn("carried", F.lit(0))
             .unionByName(carried.withColumn("carried", F.lit(1)))
-            .repartition("block")
+            .repartition(tasks, "block")
             .sortWithinPartitions("block", "carried", F.desc("place"), F.desc("text")))
 
 
@@ -85,8 +86,8 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     Texts under three bytes have no triplet and differ by length alone. An empty table
     gives none. Other columns are not read.
     """
-    spark = docs.sparkSession
-    blocks = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    length = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + length // TASK_BYTES)
     schema = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
@@ -112,4 +113,5 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
             cols = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    return with_next(docs, text, doc_id, blocks).mapInArrow(run, schema)
+    # Several blocks to a task, so that no task has twice its share of them.
+    return with_next(docs, text, doc_id, 8 * tasks, tasks).mapInArrow(run, schema)

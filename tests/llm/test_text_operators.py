@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -13,7 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from meshtally.llm import bpe, fingerprint, lines, packing, secret_scan
-from meshtally.llm.queries import BYTE_BPE, LINES_SQL, WORD_BPE
+from meshtally.llm.queries import BYTE_BPE, LINES_SQL, QUERIES, WORD_BPE
 
 ODD = ["", "  ", "Hello  World's don't 123 éé 😀 x\x85y ΣΑΣ İ", "a<|endoftext|>B<|startoftext|>", "naïve 你好 \x1cA\x00b",
        "it'S he'LL ''s", "aaaaaaaaaaaaa hahahaha", "é ́x ſ K", "x\n\n \ty", "🙂" * 50]
@@ -102,6 +103,46 @@ def test_packing_places_every_id_once(spark, docs):
         packing.pack(docs, BYTE_BPE, most=100)
 
 
+def plain_digest(text):
+    """The digest's description, a byte at a time: length code, then two bits for each bucket."""
+    raw, counts = text.encode(), [0] * 256
+    for a, b, c in zip(raw, raw[1:], raw[2:]):
+        counts[(((a * 256 + b) * 256 + c) * 2654435761 % 2 ** 32) // 2 ** 24] += 1
+    low, middle, high = (sorted(counts)[k] for k in (63, 127, 191))
+    quartile = [(n > low) + (n > middle) + (n > high) for n in counts]
+    packed = [sum(quartile[4 * i + j] * 4 ** j for j in range(4)) for i in range(64)]
+    return "".join(f"{x:02x}" for x in [min(255, round(math.log(1 + len(raw), 1.25))), *packed])
+
+
+def plain_likeness(a, b):
+    x, y = ([int(h[i:i + 2], 16) for i in range(0, 130, 2)] for h in (a, b))
+    apart = min(100, 4 * abs(x[0] - y[0]))
+    for p, q in zip(x[1:], y[1:]):
+        for j in range(4):
+            step = abs(p // 4 ** j % 4 - q // 4 ** j % 4)
+            apart += 6 if step == 3 else step
+    return 1 - min(400, apart) / 400
+
+
+def test_the_fingerprint_query_equals_a_plain_version(spark, tmp_path):
+    source = random.Random(11)
+    words = ["aa", "é", "日本", "the", "river", "\n", "0", ""]
+    texts = [None, "", "x", "ab", "abc", "same text here", "same text here", "long " * 40000]
+    texts += [" ".join(source.choices(words, k=source.randrange(60))) for _ in range(150)]
+    ids = source.sample(range(10 ** 6), len(texts))
+    spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    order, want = sorted(zip(ids, texts), reverse=True, key=lambda r: r[0]), []
+    for k, (doc, text) in enumerate(order):
+        own, other = text or "", order[(k + 1) % len(order)][1] or ""
+        half = len(own) // 2
+        edited = own[:len(own) - half] + other[:half]
+        a, b, c = map(plain_digest, (own, edited, other))
+        want.append((doc, len(own), hashlib.sha256(edited.encode()).hexdigest(), a, b, plain_likeness(a, b), plain_likeness(a, c)))
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    got = QUERIES["op5_fingerprints"](spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_fingerprints_edit_from_the_next_document(spark, docs):
     low = -(1 << 63)
     order = sorted(((low if r.doc_id is None else r.doc_id, r.text or "", r.doc_id) for r in docs.collect()), reverse=True)
