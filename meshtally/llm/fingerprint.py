@@ -23,6 +23,7 @@ MOST = 400  # difference from which digests have no likeness
 LENGTH_STEP, MOST_LENGTH = 4, 100
 LOWEST = -(1 << 63)
 TASK_BYTES = 32 << 20  # text that a task takes
+MOST_BLOCKS = 1 << 16  # each has a row on the driver; beyond it blocks grow, and their sort spills
 
 
 def digest(text: str) -> str:
@@ -87,7 +88,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     gives none. Other columns are not read.
     """
     length = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + length // TASK_BYTES)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_BLOCKS, 1 + length // TASK_BYTES))
     schema = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
@@ -114,4 +115,4 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     # Several blocks to a task, so that no task has twice its share of them.
-    return with_next(docs, text, doc_id, 8 * tasks, tasks).mapInArrow(run, schema)
+    return with_next(docs, text, doc_id, min(MOST_BLOCKS, 8 * tasks), tasks).mapInArrow(run, schema)
