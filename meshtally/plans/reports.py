@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshtally import constants as K
-from meshtally.functions import geo, text, votes as V
+from meshtally.functions import geo, numbers, text, votes as V
+from meshtally.operators import addresses
 from meshtally.operators.ordered import exact_percentiles
+from meshtally.plans.mesh import POINT
 from meshtally.plans.resolve import resolve
 from meshtally.plans.street_index import StreetIndex, ambiguous_coverage
 from meshtally.session import settle
 from meshtally.sources.documents import report_document
+from meshtally.sources.tables import sample_per_group
 
 PERCENTILES = {f"p{p}": p / 100 for p in (50, 75, 90, 95, 99)}
 PATHS = {"so_rua": (False, False), "rua_bairro": (False, True), "rua_numero": (True, False),
@@ -161,6 +164,25 @@ def vote_coverage(place_votes: DataFrame, region_votes: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b))
 
 
+def sampled_truth(raw: DataFrame, regions: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """n addresses of each state, with the nearest region of their municipality as the truth.
+
+    `raw`: address file rows; `regions`: the region dimension. The sample follows a seeded
+    digest of the address key, so it is the same in every run, and each task keeps only its
+    own first n before the shuffle. Addresses without a coordinate, or in a municipality
+    without regions, have no truth and are not drawn.
+    """
+    states = regions.groupBy("cd_municipio_ibge").agg(F.min("sg_uf").alias("sg_uf"))
+    located = raw.where(numbers.number_or_null(F.col("LATITUDE")).isNotNull()
+                        & numbers.number_or_null(F.col("LONGITUDE")).isNotNull())
+    of_state = located.join(states, F.trim("COD_MUNICIPIO") == F.col("cd_municipio_ibge")).drop("cd_municipio_ibge")
+    drawn = sample_per_group(of_state, ["sg_uf"], ["COD_UNICO_ENDERECO", "COD_ESPECIE"], n, seed)
+    near = addresses.assign_to_regions(addresses.clean_addresses(drawn), addresses.with_metres(regions, *POINT))
+    return near.join(states, "cd_municipio_ibge").select(
+        F.xxhash64("cd_municipio_ibge", "logradouro", "numero", "latitude", "longitude").alias("id"), "sg_uf",
+        "cd_municipio_ibge", "logradouro", "numero", "bairro", "domicilio", F.col("id_regiao").alias("verdade"))
+
+
 def path_predictions(sample: DataFrame, index: StreetIndex) -> DataFrame:
     """The sample with the answer of each of the four query paths.
 

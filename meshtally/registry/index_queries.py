@@ -122,6 +122,37 @@ def _accuracy(s):
     return tidy(REP.accuracy(REP.path_predictions(sample, stored_index(s))))
 
 
+def _measured(s):
+    """Accuracy end to end: addresses to their nearest regions, the index of all of them, and a sample of each state judged."""
+    regions = settle(M.build_regions(s.located)[0])
+    index = GRD.index(A.address_counts(assigned(s)))
+    truth = settle(REP.sampled_truth(s.address_raw, regions, SAMPLE))
+    return REP.accuracy(REP.path_predictions(truth, index))
+
+
+SAMPLE = 200  # addresses of each state
+_MEASURED = {
+    **ASSIGN, **RESOLVE,
+    "tallied": """SELECT cd_municipio_ibge, logradouro, bairro, numero, id_regiao, COUNT(*) AS n_enderecos, COUNT(*) FILTER (domicilio) AS n_domicilios
+                  FROM {assigned} GROUP BY 1,2,3,4,5""",
+    "rows_": _ROWS % "tallied",
+    "drawn": f"""SELECT r.COD_UNICO_ENDERECO, p.sg_uf FROM {{address_raw}} r
+                 JOIN (SELECT cd_municipio_ibge, MIN(sg_uf) AS sg_uf FROM {{region_dim}} GROUP BY 1) p ON p.cd_municipio_ibge = r.COD_MUNICIPIO
+                 WHERE TRY_CAST(LATITUDE AS DOUBLE) IS NOT NULL
+                 QUALIFY row_number() OVER (PARTITION BY p.sg_uf ORDER BY md5('42|' || COD_UNICO_ENDERECO || '|' || COD_ESPECIE) DESC) <= {SAMPLE}""",
+    "judged": """SELECT sg_uf, a.cd_municipio_ibge AS cd_municipio, a.logradouro AS rua, domicilio, id_regiao AS verdade, caminho,
+                        CASE WHEN caminho IN ('rua_numero', 'completo') AND numero > 0 THEN numero END AS numero,
+                        CASE WHEN caminho IN ('rua_bairro', 'completo') THEN bairro END AS bairro
+                 FROM {drawn} JOIN {assigned} a ON a.codigo = COD_UNICO_ENDERECO
+                 CROSS JOIN (VALUES ('so_rua'), ('rua_bairro'), ('rua_numero'), ('completo')) v(caminho)""",
+    "asked": "SELECT DISTINCT cd_municipio, rua, COALESCE(numero, 0) AS numero, COALESCE(bairro, '') AS bairro FROM {judged}",
+    "measured": """SELECT sg_uf, caminho, COUNT(*) AS amostra, CAST(COUNT(*) FILTER (id_regiao = verdade) AS BIGINT) AS acertos,
+                          COUNT(*) FILTER (domicilio) AS amostra_domicilios, CAST(COUNT(*) FILTER (domicilio AND id_regiao = verdade) AS BIGINT) AS acertos_domicilios,
+                          COUNT(id_regiao) AS ruas_encontradas
+                   FROM {judged} j LEFT JOIN {answer} a ON a.cd_municipio = j.cd_municipio AND a.rua = j.rua
+                        AND a.numero = COALESCE(j.numero, 0) AND a.bairro = COALESCE(j.bairro, '') GROUP BY 1, 2"""}
+
+
 def _runs_events(s):
     return R.run_starts(s.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"],
                         "event_type", F.date_trunc("day", F.col("ts")))
@@ -206,6 +237,11 @@ QUERIES = {
                CASE WHEN caminho IN ('rua_bairro', 'completo') THEN bairro END AS bairro
                FROM {truth} CROSS JOIN (VALUES ('so_rua'), ('rua_bairro'), ('rua_numero'), ('completo')) v(caminho)""",
            "asked": "SELECT DISTINCT cd_municipio, rua, COALESCE(numero, 0) AS numero, COALESCE(bairro, '') AS bairro FROM {judged}"}),
+    "accuracy_end_to_end": query(lambda s: tidy(_measured(s)), "SELECT * FROM {measured}", **_MEASURED),
+    "accuracy_rates": query(
+        lambda s: tidy(REP.accuracy_overall(settle(_measured(s)))),
+        """SELECT caminho, ROUND(AVG(acertos * 100e0 / amostra), 4) AS acerto_pct, ROUND(AVG(acertos_domicilios * 100e0 / NULLIF(amostra_domicilios, 0)), 4) AS acerto_domicilios_pct,
+                  ROUND(SUM(acertos) * 100e0 / SUM(amostra), 4) AS acerto_ponderado_pct FROM {measured} GROUP BY 1""", **_MEASURED),
     "street_documents": query(
         lambda s: tidy(_flat(PUB.street_documents(stored_index(s), size=50)[0])),
         f"""SELECT cd_municipio_ibge, logradouro AS nome, row_number() OVER (PARTITION BY {STREET_KEYS} ORDER BY numero_inicial) - 1 AS posicao,
