@@ -307,6 +307,11 @@ QUERIES = {
     "customers_without_orders": query(
         lambda s: s.customer.join(s.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey"),
         "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
+    # The given tables have an order for every customer; not every one has an urgent order.
+    "customers_without_urgent_orders": query(
+        lambda s: s.customer.join(s.orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey",
+                                  "left_anti").select("c_custkey"),
+        "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"),
     "known_places": query(
         lambda s: s.base.select("id_local_votacao").union(s.official.select("id_local_votacao")).distinct(),
         "SELECT id_local_votacao FROM {base} UNION SELECT id_local_votacao FROM {official}"),
