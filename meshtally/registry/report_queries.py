@@ -258,12 +258,12 @@ QUERIES = {
         **MESH, region_vote=REGION_VOTE),
     "region_rules": query(
         _region_rules,
-        f"""WITH r AS (SELECT c_nationkey AS m, CASE WHEN c_custkey % 97 = 5 THEN 'x' WHEN c_custkey % 101 = 7 THEN '1-1' ELSE 'own ' || c_custkey END AS k FROM customer),
+        f"""WITH r AS (SELECT c_nationkey AS m, CASE WHEN c_custkey % 97 = 5 THEN 'x-' || c_custkey WHEN c_custkey % 101 = 7 THEN '1-1' ELSE (c_custkey % 40 + 2) || '-' || c_custkey END AS k FROM customer),
                  c AS (SELECT onde, CASE WHEN onde % 75 = 1 THEN -votos ELSE votos END AS votos, {pct_sql('votos', 't')} + CASE WHEN onde % 50 = 0 THEN 3 ELSE 0 END AS pct
                        FROM (SELECT o_custkey AS onde, o_orderstatus, COUNT(*) AS votos, CAST(SUM(COUNT(*)) OVER (PARTITION BY o_custkey) AS BIGINT) AS t FROM orders GROUP BY 1, 2))
             SELECT * FROM (
-              SELECT 'key format' AS "check", 'region' AS context, COUNT(*) AS problemas FROM r WHERE k = 'x'
-              UNION ALL SELECT 'unique key', 'public key', COUNT(*) FROM (SELECT m FROM r WHERE k = '1-1' GROUP BY m HAVING COUNT(*) > 1)
+              SELECT 'key format' AS "check", 'region' AS context, COUNT(*) AS problemas FROM r WHERE NOT regexp_full_match(k, '[0-9]{{1,4}}-[0-9]{{1,5}}')
+              UNION ALL SELECT 'unique key', 'public key', COUNT(*) FROM (SELECT m, k FROM r GROUP BY m, k HAVING COUNT(*) > 1)
               UNION ALL SELECT 'range', 'region', COUNT(*) FROM c WHERE pct NOT BETWEEN 0 AND 100 OR votos < 0
               UNION ALL SELECT 'percent', 'region', COUNT(*) FROM (SELECT onde FROM c GROUP BY onde HAVING ABS(SUM(pct) - 100) > 0.5)
               UNION ALL SELECT 'abstention', 'region', COUNT(*) FROM customer WHERE c_custkey % 60 IN (1, 2, 3)) WHERE problemas > 0"""),
