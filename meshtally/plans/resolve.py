@@ -166,10 +166,16 @@ def resolve_by_locality(requests: DataFrame, localities: DataFrame) -> DataFrame
 
 
 def search_names(df: DataFrame, columns: list[str], term: str, order: str, limit: int = 20) -> DataFrame:
-    """Autocomplete: rows whose text contains the term without accents, first by name."""
+    """Autocomplete: rows whose text contains the term without accents, first by name.
+
+    Rows of one name stand by their other columns, from left to right, so the same rows
+    are shown whatever order they are read in.
+    """
     joined = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    ties = [F.col(f"`{f.name}`") for f in df.schema
+            if f.name != order and "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
     return df.where(text.contains_text(joined, term)).orderBy(
-        F.collate(F.col(order), "UNICODE_CI_AI"), F.col(order)).limit(limit)
+        F.collate(F.col(order), "UNICODE_CI_AI"), F.col(order), *ties).limit(limit)
 
 
 def _pairs_of_letters(c: Column) -> Column:

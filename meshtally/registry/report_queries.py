@@ -332,7 +332,7 @@ QUERIES = {
         "SELECT o_orderkey, translate(printf('%,.2f', o_totalprice), ',.', '.,') AS valor, translate(printf('%,d', o_orderkey * 1000), ',', '.') AS chave FROM orders"),
     "search_places": query(
         lambda s: tidy(RES.search_names(s.place.select("s_suppkey", "nome", "endereco"), ["nome", "endereco"], "joão 1", "endereco", 20).select("s_suppkey", "nome", "endereco")),
-        """SELECT s_suppkey, nome, endereco FROM {place} WHERE strip_accents(upper(nome || ' ' || endereco)) LIKE '%JOAO 1%' ORDER BY endereco LIMIT 20"""),
+        """SELECT s_suppkey, nome, endereco FROM {place} WHERE strip_accents(upper(nome || ' ' || endereco)) LIKE '%JOAO 1%' ORDER BY endereco, s_suppkey, nome LIMIT 20"""),
     "match_street_names": query(
         lambda s: tidy(RES.match_names(
             s.sql("SELECT DISTINCT cd_municipio AS m, rua AS q FROM {request} UNION SELECT DISTINCT cd_municipio, REPLACE(rua, 'RUA ', '') FROM {request}"),

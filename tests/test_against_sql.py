@@ -29,3 +29,11 @@ def test_region_rules_of_keys_beyond_the_format(spark, tmp_path):
     orders = spark.range(99_900, 100_200).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus")
     rows = agree(spark, tmp_path, "region_rules", customer=customer, orders=orders)
     assert dict((r[0], r[2]) for r in rows)["key format"] > 190
+
+
+def test_search_places_of_one_address(spark, tmp_path):
+    # 20 of 60 places on the same address, the smallest keys last in the file.
+    supplier = spark.range(60).selectExpr("10 + 195000 * (60 - id) AS s_suppkey", "CAST(0 AS INT) AS s_nationkey").coalesce(1)
+    nation = spark.sql("SELECT CAST(0 AS INT) AS n_nationkey, 'N' AS n_name, CAST(0 AS INT) AS n_regionkey")
+    rows = agree(spark, tmp_path, "search_places", supplier=supplier, nation=nation)
+    assert [r[0] for r in rows] == [10 + 195000 * k for k in range(1, 21)]
