@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
@@ -73,22 +72,26 @@ def arrival_rate(stream: DataFrame, at: str, window: str = "1 minute", delay: st
 
 _KEYS = live.SECTION
 _OUT = f"municipio string, zona int, secao int, local int, situacao string, sinal int, votos {LINES}"
-_STATE = f"final boolean, ordem bigint, local int, situacao string, votos {LINES}"
+_SIGNED = Row(*(c.split()[0] for c in _OUT.split(", ")))
+_STATE = f"final boolean, ordem bigint, local int, situacao string, votos {LINES}, fechada boolean"
 _LINE = [f.split(":")[0] for f in LINES[len("array<struct<"):-2].split(",")]
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CLOSE_MS = 30 * 24 * 3600 * 1000
 
 
-def _typed(line: dict) -> tuple:
-    """A vote line for the state, which takes whole numbers only as such (Arrow hands out floats beside nulls)."""
-    return tuple(None if line[f] is None or line[f] != line[f] else line[f] if f == "tipo" else int(line[f]) for f in _LINE)
+def _lines(votes: list) -> list[tuple]:
+    """Vote lines as plain tuples, which the state takes."""
+    return [tuple(line[f] for f in _LINE) for line in votes]
 
 
 class ValidTransmission(StatefulProcessor):
-    """State of one section: its valid transmission, typed; and the mark that it is closed.
+    """State of one section: its valid transmission, typed, or the mark that it is closed.
 
     Some time after a section was totalized (by the time of arrival), a timer drops its vote lines and keeps the
     mark: reports that come later are not counted. So state doesn't outlast an election.
+
+    Each call of the state goes to the JVM and back, so a section without news costs one, and one with news two,
+    and a third for the timer of a totalized one. Rows come and go as rows: a frame for each section costs more than its work.
     """
 
     def __init__(self, close_ms: int):
@@ -97,31 +100,32 @@ class ValidTransmission(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.valid = handle.getValueState("valid", _STATE)
-        self.closed = handle.getValueState("closed", "ordem bigint")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        if self.closed.exists():
-            return
-        frame = pd.concat(list(rows), ignore_index=True)  # one section's reports of one batch
-        frame["final"] = frame["situacao"].fillna("").str.lower().str.startswith("totaliz")
-        best = frame.sort_values(["final", "ordem"], ascending=False, kind="stable").iloc[0]
-        new = (bool(best["final"]), int(best["ordem"]), int(best["local"]), best["situacao"],
-               [_typed(line) for line in best["votos"]])
-        old = tuple(self.valid.get()) if self.valid.exists() else None
-        if old is not None and new[:2] <= old[:2]:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        best, rank, last = None, None, 0
+        for row in rows:  # one section's reports of one batch, never held together
+            at = ((row["situacao"] or "").lower().startswith("totaliz"), row["ordem"])
+            if rank is None or at > rank:
+                best, rank = row, at
+            last = max(last, row["recebido_ms"])
+        old = self.valid.get()
+        if old is not None and (old[5] or rank <= tuple(old[:2])):
             return
-        self.valid.update(new)
+        new = (*rank, best["local"], best["situacao"], _lines(best["votos"]))
+        self.valid.update((*new, False))
         if new[0]:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(int(frame["recebido"].max().timestamp() * 1000) + self.close_ms)
-        out = [(r[2], r[3], sign, [dict(zip(_LINE, line)) for line in r[4]]) for r, sign in ((old, -1), (new, 1)) if r is not None]
-        yield pd.DataFrame([(*key, *r) for r in out], columns=[c.split()[0] for c in _OUT.split(", ")])
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.valid.exists():
-            self.closed.update((int(self.valid.get()[1]),))
-            self.valid.clear()
+            if old is not None and old[0]:  # only a totalized section has a timer
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+            self.handle.registerTimer(last + self.close_ms)
+        if old is not None:
+            yield _SIGNED(*key, old[2], old[3], -1, [dict(zip(_LINE, line)) for line in old[4]])
+        yield _SIGNED(*key, new[2], new[3], 1, [dict(zip(_LINE, line)) for line in new[4]])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        old = self.valid.get()
+        if old is not None:
+            self.valid.update((*old[:4], [], True))
         return iter(())
 
     def close(self) -> None:
@@ -136,9 +140,10 @@ def corrections(stream: DataFrame, close_ms: int = CLOSE_MS) -> DataFrame:
     is that of arrival: timers of processing time would keep a collection pass from ending.
     """
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    timed = stream.select(*_KEYS, "local", "situacao", "ordem", "votos", F.current_timestamp().alias("recebido"))
+    timed = stream.select(*_KEYS, "local", "situacao", "ordem", "votos", F.current_timestamp().alias("recebido")).withColumn(
+        "recebido_ms", F.unix_millis("recebido"))
     return (timed.withWatermark("recebido", "0 seconds").groupBy(*_KEYS)
-            .transformWithStateInPandas(ValidTransmission(close_ms), _OUT, "append", "eventTime"))
+            .transformWithState(ValidTransmission(close_ms), _OUT, "append", "eventTime"))
 
 
 def latest(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Streaming: incremental pick-up, retransmission, guards, pending sections."""
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from meshtally.streaming import ballots as B
@@ -90,3 +91,58 @@ def test_running_valid_matches_batch(spark, tmp_path):
                str(tmp_path / "ck"), lambda b, i: seen.update({r.secao: r.ordem for r in b.collect()}), mode="update")
     batch = {r.secao: r.ordem for r in valid_transmission(df, ["secao"]).collect()}
     assert seen == batch == {"s": 2, "t": 2}
+
+
+class Handle:
+    """The state of one section, and how often it is asked."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(list(self.timers))
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+def test_a_section_costs_few_state_calls_and_closes():
+    handle, state = Handle(), B.ValidTransmission(1000)
+    state.init(handle)
+    line = Row(cargo=1, tipo="branco", quantidade=2, partido=None, numero=None)
+
+    def send(*sent):
+        handle.calls = 0
+        rows = (Row(local=7, situacao=s, ordem=o, votos=[line], recebido_ms=at) for s, o, at in sent)
+        return [(r.situacao, r.sinal) for r in state.handleInputRows(("00310", 1, 1), rows, None)], handle.calls
+
+    assert send(("Recebido", 1, 5), ("Rejeitado", 3, 5), ("Recebido", 2, 5)) == ([("Rejeitado", 1)], 2)
+    assert send(("Recebido", 2, 6)) == ([], 1)                      # nothing new: asked once
+    assert send(("Totalizado", 1, 9)) == ([("Rejeitado", -1), ("Totalizado", 1)], 3)
+    assert handle.timers == [1009]
+    assert send(("Totalizado", 4, 20))[0] == [("Totalizado", -1), ("Totalizado", 1)]
+    assert handle.timers == [1020]
+    assert list(state.handleExpiredTimer(("00310", 1, 1), None, None)) == []
+    assert handle.value[4] == []                                    # only the mark stays
+    assert send(("Totalizado", 9, 2000)) == ([], 1)
