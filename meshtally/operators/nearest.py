@@ -1,37 +1,37 @@
 """Nearest neighbour inside a group, exact, without comparing all pairs.
 
-Points of both sides are placed in one dyadic grid. Starting from the whole
-square, occupied query cells are paired with occupied target cells of their
-group; a target cell survives when its least possible distance to the query
-cell does not exceed the best guaranteed distance. Query cells whose surviving
-targets are few become leaves; the others are cut in four. Cell distances are
-whole numbers, so pruning cannot lose a neighbour to rounding. The work depends
-on the number of targets and of occupied coarse cells, not on queries x targets.
-
-The leaves form a linear quadtree: each is an interval of Morton keys of its group, and
-the sorted starts are the bottom of a search tree with nodes of bounded size. A query row
-walks down to its leaf by its own key, one small node at a time, so its side is neither
-aggregated nor multiplied; with tables of checked size it is not even shuffled. The query
-side is computed once and stored; its extent and its occupied cells are read from there.
+Groups of few targets are short lists, joined to the query rows. The targets of other
+groups lie in tiles: runs of bounded length along a Z curve. A query point is first sent to
+the tile whose box is nearest, which gives a real target and its distance; then to those other
+tiles whose box is not farther than that, mostly none. Inside a tile, points and boxes of
+points are searched by the same two steps. So a point far from all targets costs no more than
+one amid them, and the work grows with the queries, times the depth of the tree.
+
+Only the boxes of the tiles of groups with several tiles (one row for some thousand targets)
+pass through the driver. A tile that many query points ask is met by them in chunks. The
+least possible distance to a box never exceeds, rounded as it is, the distance computed
+to a point in it, so pruning cannot lose a neighbour to rounding.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from meshtally.operators.ordered import ordinal
 from meshtally.session import settle
 
-DEPTH = 30             # finest grid: the square's side / 2^30
-OCCUPANCY_DEPTH = 12   # query cells are counted no finer than this
-FIRST_LEVEL = 2        # the descent starts at 4 x 4 cells
-LEAF_TARGETS = 128    # a query cell with at most this many candidates is a leaf
-NODE = 64              # starts in a node of the search tree
-BROADCAST_CANDIDATES = 1_000_000   # about 40 MB of leaf table; beyond it, a shuffled join
+DEPTH = 30             # finest grid of the Z curve: the square's side / 2^30
+LEAF_TARGETS = 128     # where no group has more targets, each is one short list
+TILE = 16              # targets of a tile, in times that
+NODE = 16              # boxes in a node of a search tree
+CHUNK = 200_000        # query points that meet a tile in one task
+SLICE = 4096           # query points searched at once
+BROADCAST_CANDIDATES = 1_000_000   # about 40 MB of lists; beyond it, a shuffled join
 
 
 def _cell(c: Column, low: float, side: float) -> Column:
@@ -40,10 +40,6 @@ def _cell(c: Column, low: float, side: float) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(2 ** DEPTH - 1), raw)).cast("bigint")
 
 
-def _at(c: str, level: int) -> Column:
-    return F.shiftright(F.col(c), DEPTH - level)
-
-
 # The masks that spread 32 bits over the even bits of 64.
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333),
            (1, 0x5555555555555555))
@@ -58,10 +54,6 @@ def morton(x: Column, y: Column) -> Column:
     return spread(x).bitwiseOR(F.shiftleft(spread(y), 1))
 
 
-def _children(c: str) -> Column:
-    return F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1))
-
-
 def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str],
                      query_xy: tuple[str, str], target_xy: tuple[str, str], target_id: str,
                      distance: str = "distancia", leaf_targets: int = LEAF_TARGETS,
@@ -76,17 +68,16 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
     goal = (targets.select(*g, F.nanvl(F.col(target_xy[0]).cast("double"), F.lit(None).cast("double")).alias("_tx"),
                            F.nanvl(F.col(target_xy[1]).cast("double"), F.lit(None).cast("double")).alias("_ty"),
                            F.col(target_id).alias("_tid"))
-            .dropna(subset=["_tx", "_ty"])
+            .dropna(subset=[*g, "_tx", "_ty"])
             # Targets on one spot are one candidate: the smallest id answers for it.
             .groupBy(*g, "_tx", "_ty").agg(F.min("_tid").alias("_tid")))
     goal = settle(goal)
     sizes = goal.groupBy(*g).agg(F.count("*").alias("_n")).agg(F.max("_n"), F.count("*"), F.sum("_n")).first()
     kind = goal.schema["_tid"].dataType
-    none = queries.select("*", F.lit(None).cast(kind).alias(target_id), F.lit(None).cast("double").alias(distance))
     if sizes[0] is None:
-        return none
+        return queries.select("*", F.lit(None).cast(kind).alias(target_id), F.lit(None).cast("double").alias(distance))
     if sizes[0] <= leaf_targets:
-        # Every group is one short list: a single lookup, no grid.
+        # Every group is one short list: a single lookup, no tiles.
         lists = goal.groupBy(*g).agg(F.collect_list(F.struct(
             F.col("_tx").alias("x"), F.col("_ty").alias("y"), F.col("_tid").alias("id"))).alias("_cand"))
         table = F.broadcast(lists) if sizes[1] + sizes[2] <= broadcast_limit else lists
@@ -94,70 +85,161 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
         return found.select(*[F.col(c) for c in queries.columns], F.col("_best.id").alias(target_id),
                             F.sqrt("_best.d2").alias(distance))
 
-    placed = settle(queries.select("*", qx.alias("_qx"), qy.alias("_qy")))
-    qx, qy = F.col("_qx"), F.col("_qy")
-    spread = goal.agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty")).unionAll(
-        placed.agg(F.min(qx), F.max(qx), F.min(qy), F.max(qy)))
-    box = spread.toDF("a", "b", "c", "d").agg(F.min("a"), F.max("b"), F.min("c"), F.max("d")).first()
+    # One text names a group; it is null where a part of it is, which matches nothing.
+    key = F.when(F.concat(*[F.col(c).cast("string") for c in g]).isNotNull(),
+                 F.to_json(F.array(*[F.col(c).cast("string") for c in g])))
+    goal = _tiled(goal.select(key.alias("_g"), "_tx", "_ty", "_tid"), TILE * leaf_targets)
+    placed = queries.select("*", key.alias("_g"), qx.alias("_qx"), qy.alias("_qy"))
+    point = ["_g", "_qx", "_qy"]
+    asked = placed.select(*point).dropna().distinct()  # each question once
+    boxes = _boxes(goal)
+    near = settle(_met(settle(_homes(asked, boxes)), goal))
+    if boxes:
+        near = near.unionByName(settle(_met(settle(_others(near, boxes)), goal)))
+    best = near.groupBy(*point).agg(F.min(F.struct("_d2", "_tid")).alias("_best"))
+    return placed.join(best, point, "left").select(
+        *[F.col(c) for c in queries.columns], F.col("_best._tid").alias(target_id), F.sqrt("_best._d2").alias(distance))
+
+
+def _tiled(goal: DataFrame, tile: int) -> DataFrame:
+    """Targets with their Z key and the number of their tile: runs of at most `tile` along the curve."""
+    box = goal.agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty")).first()
     side = max(box[1] - box[0], box[3] - box[2], 1e-9) * (1 + 1e-9)
-    cells = (_cell(F.col("_tx"), box[0], side), _cell(F.col("_ty"), box[2], side))
-    goal = goal.select("*", cells[0].alias("_cx"), cells[1].alias("_cy"))
-    # Points by number of the dyadic cell.
-    qcells = (_cell(qx, box[0], side), _cell(qy, box[2], side))
-    usable = qx.isNotNull() & qy.isNotNull()
-    occupied = settle(placed.where(usable).select(
-        *g, qcells[0].alias("_cx"), qcells[1].alias("_cy")).select(
-        *g, _at("_cx", OCCUPANCY_DEPTH).alias("_ox"), _at("_cy", OCCUPANCY_DEPTH).alias("_oy")).distinct())
-    if occupied.isEmpty():
-        return none
-    leaves = _numbered_leaves(_build_leaves(goal, occupied, g, leaf_targets), g)
-
-    hit = placed.withColumn("_key", F.when(usable, morton(*qcells)))
-    for node in _search_tree(leaves, g):
-        # From node to node: the last start that is not beyond the row's key.
-        step = F.size(F.filter("_starts", lambda s: s <= F.col("_key"))) - 1
-        table = F.broadcast(node) if _numbers(node, "_starts") <= 3 * broadcast_limit else node
-        on = [*g, "_nr"] if "_nr" in hit.columns else g
-        hit = (hit.join(table if "_nr" in hit.columns else table.drop("_nr"), on, "left")
-               .withColumn("_nr", (F.coalesce(F.col("_nr") if "_nr" in hit.columns else F.lit(0), F.lit(0)) * NODE + step).cast("bigint"))
-               .drop("_starts"))
-    lists = leaves.select(*g, "_nr", "_cand")
-    table = F.broadcast(lists) if _numbers(lists, "_cand") <= broadcast_limit else lists
-    hit = hit.join(table, [*g, "_nr"], "left").withColumn("_best", _closest(qx, qy))
-    return hit.select(*[F.col(c) for c in queries.columns], F.col("_best.id").alias(target_id), F.sqrt("_best.d2").alias(distance))
-
-
-def _numbers(table: DataFrame, lists: str) -> int:
-    """Rows and list items of a stored table."""
-    size = table.agg(F.sum(F.size(lists)), F.count("*")).first()
-    return (size[0] or 0) + size[1]
-
-
-def _numbered_leaves(leaves: DataFrame, g: list[str]) -> DataFrame:
-    """Leaves of each group by ascending key, numbered from 0: group, _start, _nr, candidates.
-
-    A leaf of a level is the interval of all keys whose leading bits are its cell's.
-    """
-    start = F.expr(f"shiftleft(_cell_key, CAST(2 * ({DEPTH} - _level) AS INT))")
-    rows = leaves.withColumn("_cell_key", morton(F.col("_lx"), F.col("_ly"))).select(*g, start.alias("_start"), "_cand")
-    rows = settle(rows)
-    numbered = ordinal(rows.select(*g, "_start"), g, ["_start"], F.shiftright("_start", 2 * (DEPTH - 8)), out="_nr")
-    return settle(numbered.join(rows, [*g, "_start"]))
-
-
-def _search_tree(leaves: DataFrame, g: list[str]) -> list[DataFrame]:
-    """Nodes of at most NODE ascending starts, from the root of each group down: group, _nr, _starts.
-
-    Child k of node _nr is node _nr * NODE + k of the next table, and a leaf below the last.
-    """
-    levels, below = [], leaves.select(*g, "_nr", "_start")
-    while True:
-        nodes = settle(below.groupBy(*g, F.floor(F.col("_nr") / NODE).cast("bigint").alias("_nr"))
-                       .agg(F.array_sort(F.collect_list("_start")).alias("_starts")))
-        levels.insert(0, nodes)
-        if not nodes.agg(F.max("_nr")).first()[0]:
-            return levels
-        below = nodes.select(*g, "_nr", F.col("_starts")[0].alias("_start"))
+    rows = goal.withColumn("_z", morton(_cell(F.col("_tx"), box[0], side), _cell(F.col("_ty"), box[2], side)))
+    sizes = goal.groupBy("_g").agg(F.count("*").alias("_size"))
+    rows = settle(rows.join(sizes, "_g"))
+    several = ordinal(rows.where(F.col("_size") > tile), ["_g"], ["_z", "_tx", "_ty"], F.shiftright("_z", 2 * (DEPTH - 8)), out="_at")
+    one = rows.where(F.col("_size") <= tile).withColumn("_at", F.lit(0).cast("bigint"))
+    return settle(several.unionByName(one).withColumn("_tile", F.floor(F.col("_at") / tile).cast("bigint")).drop("_at"))
+
+
+def _boxes(goal: DataFrame) -> dict[str, list[np.ndarray]]:
+    """Search trees over the boxes of the tiles, for the groups that have several."""
+    rows = (goal.groupBy("_g", "_tile").agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty"), F.max("_size").alias("_size"), F.count("*").alias("_c"))
+            .where("_c < _size").drop("_size", "_c").orderBy("_g", "_tile").toPandas())
+    return {name: _tree(part.iloc[:, 2:].to_numpy(float).T, NODE) for name, part in rows.groupby("_g", sort=False)}
+
+
+def _homes(asked: DataFrame, boxes: dict[str, list[np.ndarray]]) -> DataFrame:
+    """Query points with the tile of the nearest box, and no limit yet."""
+    node = NODE
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, home = np.asarray(batch["_qx"]), np.asarray(batch["_qy"]), np.zeros(batch.num_rows, np.int64)
+            for rows, tree in _of_groups(batch, boxes):
+                home[rows] = _first(tree, node, x[rows], y[rows])
+            yield pa.RecordBatch.from_arrays([batch["_g"], batch["_qx"], batch["_qy"], pa.array(home), pa.array(np.full(len(home), np.inf))], names=_ASKED)
+
+    return asked.select("_g", "_qx", "_qy").mapInArrow(homes, _ASKED_TYPE)
+
+
+def _others(near: DataFrame, boxes: dict[str, list[np.ndarray]]) -> DataFrame:
+    """Query points with each other tile whose box is not farther than the target found."""
+    node = NODE
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, d2, home = (np.asarray(batch[c]) for c in ("_qx", "_qy", "_d2", "_tile"))
+            for rows, tree in _of_groups(batch, boxes):
+                row, tile, _ = _within(tree, node, x[rows], y[rows], d2[rows])
+                away = tile != home[rows][row]
+                row, tile = rows[row[away]], tile[away]
+                yield pa.RecordBatch.from_arrays([batch["_g"].take(pa.array(row)), pa.array(x[row]), pa.array(y[row]), pa.array(tile), pa.array(d2[row])], names=_ASKED)
+
+    # Tied targets of a point ask once.
+    return near.groupBy("_g", "_qx", "_qy", "_tile").agg(F.min("_d2").alias("_d2")).mapInArrow(others, _ASKED_TYPE)
+
+
+_ASKED = ["_g", "_qx", "_qy", "_tile", "_limit"]
+_ASKED_TYPE = "_g string, _qx double, _qy double, _tile bigint, _limit double"
+
+
+def _of_groups(batch: pa.RecordBatch, boxes: dict[str, list[np.ndarray]]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Rows of a batch by slices of one group, with the tree of its tiles; groups of one tile are left out."""
+    names = batch["_g"].dictionary_encode()
+    codes = np.asarray(names.indices)
+    for code, name in enumerate(names.dictionary.to_pylist()):
+        if name in boxes:
+            rows = np.flatnonzero(codes == code)
+            for at in range(0, len(rows), SLICE):
+                yield rows[at:at + SLICE], boxes[name]
+
+
+def _met(asked: DataFrame, goal: DataFrame) -> DataFrame:
+    """Points with the targets of the asked tile that are nearest, and not beyond the limit: all that tie."""
+    node, keys = NODE, ["_g", "_tile", "_chunk"]
+    hot = settle(asked.groupBy("_g", "_tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_k")).where("_k > 1"))
+    chunks = F.coalesce("_k", F.lit(1))
+    points = (asked.join(F.broadcast(hot), ["_g", "_tile"], "left")
+              .select(*_ASKED, F.pmod(F.xxhash64("_qx", "_qy"), chunks).cast("int").alias("_chunk")))
+    tiles = (goal.join(F.broadcast(hot), ["_g", "_tile"], "left")
+             .select("_g", "_tile", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"), "_tx", "_ty", "_tid", "_z"))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("_z")
+        tx, ty = (right[c].to_numpy() for c in ("_tx", "_ty"))
+        x, y, limit = (left[c].to_numpy() for c in ("_qx", "_qy", "_limit"))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        tree = _tree(np.stack([tx, tx, ty, ty]), node) if len(tx) else []
+        for at in range(0, len(x) if tree else 0, SLICE):
+            some = slice(at, at + SLICE)
+            row, item, d2 = _closest_in(tree, node, x[some], y[some], limit[some])
+            found.append((row + at, item, d2))
+        row, item, d2 = (np.concatenate(part) for part in zip(*found))
+        asked_rows = left.select(["_g", "_qx", "_qy", "_tile"]).take(pa.array(row))
+        return asked_rows.append_column("_d2", pa.array(d2)).append_column("_tid", right["_tid"].take(pa.array(item)))
+
+    out = f"_g string, _qx double, _qy double, _tile bigint, _d2 double, _tid {goal.schema['_tid'].dataType.simpleString()}"
+    return points.groupBy(*keys).cogroup(tiles.groupBy(*keys)).applyInArrow(meet, out)
+
+
+def _tree(boxes: np.ndarray, node: int) -> list[np.ndarray]:
+    """Boxes (least and most x, least and most y) in order, and levels of boxes around `node` of them each."""
+    levels = [boxes]
+    while levels[-1].shape[1] > node:
+        at = np.arange(0, levels[-1].shape[1], node)
+        levels.append(np.stack([f.reduceat(b, at) for f, b in zip((np.minimum, np.maximum) * 2, levels[-1])]))
+    return levels
+
+
+def _least(boxes: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distance from points to boxes; to a point, the distance as it is."""
+    dx = np.maximum(np.maximum(boxes[0][at] - x, x - boxes[1][at]), 0.0)
+    dy = np.maximum(np.maximum(boxes[2][at] - y, y - boxes[3][at]), 0.0)
+    return dx * dx + dy * dy
+
+
+def _first(tree: list[np.ndarray], node: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each point one box of the bottom, by the nearest box of each level: near, not always nearest."""
+    at = np.zeros(len(x), np.int64)
+    for boxes in reversed(tree):
+        below = np.minimum(at[:, None] * node + np.arange(node), boxes.shape[1] - 1)
+        at = below[np.arange(len(x)), np.argmin(_least(boxes, below, x[:, None], y[:, None]), axis=1)]
+    return at
+
+
+def _within(tree: list[np.ndarray], node: int, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All pairs of a point and a box of the bottom not beyond the point's limit, with the squared distance."""
+    row, at, d2 = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
+    for boxes in reversed(tree):
+        row, at = np.repeat(row, node), (at[:, None] * node + np.arange(node)).ravel()
+        there = at < boxes.shape[1]
+        row, at = row[there], at[there]
+        d2 = _least(boxes, at, x[row], y[row])
+        near = d2 <= limit[row]
+        row, at, d2 = row[near], at[near], d2[near]
+    return row, at, d2
+
+
+def _closest_in(tree: list[np.ndarray], node: int, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs of each point and the items nearest to it, ties included, not beyond the limit."""
+    some = _first(tree, node, x, y)
+    row, at, d2 = _within(tree, node, x, y, np.minimum(limit, _least(tree[0], some, x, y)))
+    best = np.full(len(x), np.inf)
+    np.minimum.at(best, row, d2)
+    tied = d2 == best[row]
+    return row[tied], at[tied], d2[tied]
 
 
 def _closest(qx: Column, qy: Column) -> Column:
@@ -166,74 +248,6 @@ def _closest(qx: Column, qy: Column) -> Column:
         ((qx - t["x"]) * (qx - t["x"]) + (qy - t["y"]) * (qy - t["y"])).alias("d2"), t["id"].alias("id")))))
 
 
-def _pruned(pairs: DataFrame, cell: WindowSpec) -> DataFrame:
-    """Pairs whose target cell may hold the neighbour of some point of the query cell.
-
-    Squared distances in cells: the least possible one of a pair against the best
-    one guaranteed to the query cell.
-    """
-    dx, dy = F.abs(F.col("_qx") - F.col("_px")), F.abs(F.col("_qy") - F.col("_py"))
-    zero = F.lit(0).cast("bigint")
-    least = F.greatest(dx - 1, zero) * F.greatest(dx - 1, zero) \
-        + F.greatest(dy - 1, zero) * F.greatest(dy - 1, zero)
-    most = (dx + 1) * (dx + 1) + (dy + 1) * (dy + 1)
-    return (pairs.withColumn("_lb", least).withColumn("_ub", F.min(most).over(cell))
-            .where(F.col("_lb") <= F.col("_ub")).drop("_lb", "_ub")
-            .withColumn("_all", F.sum("_n").over(cell)))
-
-
-def _build_leaves(goal: DataFrame, occupied: DataFrame, g: list[str], leaf_targets: int) -> DataFrame:
-    """Leaf table: (group, level, cell) -> candidate targets."""
-    target = F.struct(F.col("_tx").alias("x"), F.col("_ty").alias("y"), F.col("_tid").alias("id"))
-    sizes = goal.groupBy(*g).agg(F.count("*").alias("_n"))
-    small, big = (sizes.where(c).select(*g) for c in
-                  (F.col("_n") <= leaf_targets, F.col("_n") > leaf_targets))
-    zero = F.lit(0).cast("bigint")
-    # A short group is one leaf; only the others descend.
-    done = [goal.join(small, g, "left_semi").groupBy(*g, F.lit(0).alias("_level"), zero.alias("_lx"),
-                                                     zero.alias("_ly"))
-            .agg(F.collect_list(target).alias("_cand"))]
-    cell = Window.partitionBy(*g, "_qx", "_qy")
-    goal = goal.join(big, g, "left_semi")
-
-    def targets_at(level: int) -> DataFrame:
-        return goal.groupBy(*g, _at("_cx", level).alias("_px"), _at("_cy", level).alias("_py")).agg(
-            F.count("*").alias("_n"))
-
-    def queries_at(level: int) -> DataFrame:
-        return occupied.select(*g, F.shiftright("_ox", OCCUPANCY_DEPTH - level).alias("_qx"),
-                               F.shiftright("_oy", OCCUPANCY_DEPTH - level).alias("_qy")).distinct()
-
-    # The first level has at most 16 cells a side and group.
-    pairs = _pruned(queries_at(FIRST_LEVEL).join(targets_at(FIRST_LEVEL), g), cell)
-    for level in range(FIRST_LEVEL, DEPTH + 1):
-        # At most a few dozen target cells meet one query cell, at any level.
-        pairs = settle(pairs)
-        last = level == DEPTH
-        leaf = pairs if last else pairs.where(F.col("_all") <= leaf_targets)
-        n = pairs.agg(F.count_if(F.col("_all") <= leaf_targets), F.count("*")).first()
-        if n[0] or last:
-            members = goal.select(*g, _at("_cx", level).alias("_px"), _at("_cy", level).alias("_py"),
-                                  target.alias("_t"))
-            done.append(leaf.join(members, [*g, "_px", "_py"])
-                        .groupBy(*g, F.lit(level).alias("_level"), F.col("_qx").alias("_lx"),
-                                 F.col("_qy").alias("_ly"))
-                        .agg(F.collect_list("_t").alias("_cand")))
-        if n[0] == n[1] or last:
-            break
-        open_ = (pairs.where(F.col("_all") > leaf_targets).drop("_n", "_all")
-                 .withColumn("_qx", _children("_qx")).withColumn("_qy", _children("_qy")))
-        if level + 1 <= OCCUPANCY_DEPTH:
-            open_ = open_.join(queries_at(level + 1), [*g, "_qx", "_qy"], "left_semi")
-        near = (open_.withColumn("_px", _children("_px")).withColumn("_py", _children("_py"))
-                .join(targets_at(level + 1), [*g, "_px", "_py"]))
-        pairs = _pruned(near, cell)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
 def snap_to_existing(new: DataFrame, base: DataFrame, group: Sequence[str], lat: str, lon: str,
                      key: str, limit_m: float, taken: str | None = None) -> DataFrame:
     """New points within `limit_m` of an existing point of their group take its coordinate.

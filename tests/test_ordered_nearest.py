@@ -205,3 +205,23 @@ def test_polyconic_analytic_points(spark):
     assert east[0] - 5e6 == pytest.approx(
         6378137 / math.sqrt(1 - 0.00669438 * math.sin(math.radians(15)) ** 2)
         * math.cos(math.radians(15)) * math.radians(4), rel=2e-4)
+
+
+def test_nearest_of_far_points_over_many_tiles(spark, monkeypatch):
+    """A dense strip with ties, asked from far away: tiles, chunks and ids of any type, few rows met."""
+    monkeypatch.setattr(nearest, "CHUNK", 50)
+    targets = spark.range(4000).selectExpr("concat('t', id) AS t", "CAST(id % 2 AS INT) AS g", "CAST(id * 7919 % 1009 AS DOUBLE) / 2 AS x",
+                                           "CAST(id * 31 % 7 AS DOUBLE) / 4 AS y")
+    queries = spark.range(1500).selectExpr("id AS q", "IF(id = 7, NULL, CAST(id % 3 AS INT)) AS g", "CAST(id * 613 % 1000 AS DOUBLE) / 2 AS x",
+                                           "CAST(id * 17 % 400 - 600 AS DOUBLE) AS y")
+    met = []
+    real = nearest._met
+    monkeypatch.setattr(nearest, "_met", lambda asked, goal: met.append(asked.count()) or real(asked, goal))
+    got = nearest.nearest_in_group(queries, targets, ["g"], ("x", "y"), ("x", "y"), "t", "d", leaf_targets=4)
+    found = {r.q: (r.t, r.d) for r in got.collect()}
+    spots = [(r.g, r.x, r.y, r.t) for r in targets.collect()]
+    assert len(found) == 1500
+    for q in queries.collect():
+        near = min((((q.x - x) ** 2 + (q.y - y) ** 2, t) for g, x, y, t in spots if g == q.g), default=None)
+        assert found[q.q] == ((near[1], math.sqrt(near[0])) if near else (None, None))
+    assert len(met) == 2 and met[1] < 20 * met[0]
