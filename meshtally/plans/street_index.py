@@ -41,13 +41,16 @@ class StreetIndex:
 
 
 def usable_rows(counts: DataFrame) -> DataFrame:
-    """Rows with a street and a region, weighted; no number becomes 0, no locality ''."""
+    """Rows with a street and a region, weighted; no number becomes 0, no locality ''.
+
+    The counts are stored first: the weights read them twice, and they may come from all addresses.
+    """
     guards.require_columns(counts, ADDRESS_COLUMNS, "street index")
     rows = (counts.where(F.col("logradouro").isNotNull() & (F.col("logradouro") != "")
                          & F.col("id_regiao").isNotNull())
             .withColumn("numero", F.coalesce(F.col("numero").cast("bigint"), F.lit(0)).cast("bigint"))
             .withColumn("bairro", F.coalesce("bairro", F.lit(""))))
-    return weighted(rows, STREET, "n_domicilios", "n_enderecos")
+    return weighted(settle(rows), STREET, "n_domicilios", "n_enderecos")
 
 
 def build_runs(rows: DataFrame) -> DataFrame:

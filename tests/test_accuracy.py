@@ -1,5 +1,6 @@
 """A sample of addresses with their true regions."""
 
+from meshtally.plans import street_index as SI
 from meshtally.plans import reports
 
 RAW = ("COD_UNICO_ENDERECO string, COD_MUNICIPIO string, NOM_TIPO_SEGLOGR string, NOM_TITULO_SEGLOGR string, NOM_SEGLOGR string, "
@@ -24,3 +25,19 @@ def test_sampled_truth(spark):
     few = [sorted(map(tuple, reports.sampled_truth(df, regions, 7).collect())) for df in (raw, raw.repartition(9))]
     assert few[0] == few[1] and len(few[0]) == 9
     assert reports.sampled_truth(raw.limit(0), regions, 7).count() == 0
+
+
+def test_counts_are_computed_once(spark):
+    """The weights of the index read the counts twice; what the counts come from is read once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    schema = "cd_municipio_ibge string, logradouro string, bairro string, numero bigint, id_regiao bigint, n_enderecos bigint, n_domicilios bigint"
+    counts = spark.createDataFrame([("1", "A", None, n, n // 10, 2, n % 2) for n in range(100)], schema)
+    runs = SI.build_runs(SI.usable_rows(counts.mapInPandas(watched, schema)))
+    assert runs.count() == 10
+    assert seen.value == 100
