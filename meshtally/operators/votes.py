@@ -166,7 +166,8 @@ def country_votes(national: DataFrame, place_votes: DataFrame) -> DataFrame:
     years = national.select("ano_eleicao").distinct()
     cols = [*CONTEST, "nm_votavel", "sg_partido", "tipo_voto", "qt_votos"]
     return with_type.select(*cols).unionByName(
-        place_votes.join(years, "ano_eleicao", "left_anti").select(*cols))
+        # A few years: sent everywhere, or all votes of a year would meet in one task.
+        place_votes.join(F.broadcast(years), "ano_eleicao", "left_anti").select(*cols))
 
 
 def levels_agree(states: DataFrame, municipalities: DataFrame) -> DataFrame:

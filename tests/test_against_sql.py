@@ -2,7 +2,7 @@
 
 import duckdb
 
-
+from meshtally.operators import votes as V
 from meshtally.registry import registered
 
 
@@ -37,3 +37,17 @@ def test_search_places_of_one_address(spark, tmp_path):
     nation = spark.sql("SELECT CAST(0 AS INT) AS n_nationkey, 'N' AS n_name, CAST(0 AS INT) AS n_regionkey")
     rows = agree(spark, tmp_path, "search_places", supplier=supplier, nation=nation)
     assert [r[0] for r in rows] == [10 + 195000 * k for k in range(1, 21)]
+
+
+def test_country_votes_never_meet_by_year(spark):
+    """All votes of a year in one task is what a shuffle by the year would give."""
+    columns = "id_local_votacao string, ano_eleicao int, turno string, cargo string, nm_votavel string, sg_partido string, tipo_voto string, qt_votos bigint"
+    votes = spark.createDataFrame([("a", y, "1", "X", "N", "P", "nominal", 1) for y in (2018, 2022, 2026)], columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = V.country_votes(V.national_totals(votes.where("ano_eleicao < 2026")), votes)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.ano_eleicao for r in out.collect()) == [2018, 2022, 2026]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [line for line in plan.splitlines() if "LeftAnti" in line and "BroadcastHashJoin" in line]
