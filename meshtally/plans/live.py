@@ -11,6 +11,7 @@ from meshtally import constants as K
 from meshtally.functions import numbers, text
 from meshtally.operators.ordered import chunked_lists
 from meshtally.operators.shares import top_n
+from meshtally.session import settle
 
 SECTION = ["municipio", "zona", "secao"]
 
@@ -58,10 +59,35 @@ def section_lists(mapped: DataFrame, contest: Sequence[str] = (), size: int = 10
 
 
 def live_votes(rows: DataFrame, mapped: DataFrame, contest: Sequence[str] = ()) -> DataFrame:
-    """Ballot rows placed in a region: the declared place must belong to it, in the same `contest`."""
+    """Ballot rows placed in a region: the declared place must belong to it, in the same `contest`.
+
+    The columns with most values come first: a sort by them seldom compares the others.
+    """
     at = mapped.select(F.col("cd_municipio_tse").alias("municipio"), F.col("nr_zona").alias("zona"),
                        F.col("nr_local").alias("local"), F.col("nr_secao").alias("secao"), "id_regiao", *contest)
-    return rows.join(at, ["municipio", "zona", "local", "secao", *contest])
+    return rows.join(at, ["local", "secao", "zona", "municipio", *contest])
+
+
+def register_votes(rows: DataFrame, sections: DataFrame, mapping: DataFrame, regions: DataFrame,
+                   principal: DataFrame | None = None, contest: Sequence[str] = ()) -> DataFrame:
+    """`live_votes` over the `section_map` of the same tables, for a map that nothing else reads.
+
+    The place gives the region, and of the section only its presence in the register is asked. The
+    register is shuffled once as it stands, neither made distinct nor stored, and both sides carry
+    the number of the place instead of what names it.
+    """
+    key, spot = F.col("id_local_votacao"), ["uf", "municipio", "zona", "local", "id_regiao"]
+    known = mapping.join(regions.select("id_regiao"), "id_regiao", "left_semi").select(
+        key, F.lower(text.key_part(key, 0)).alias("uf"), text.key_part(key, 1).alias("municipio"),
+        text.key_part(key, 2).cast("int").alias("zona"), text.key_part(key, 3).cast("int").alias("local"), "id_regiao")
+    # Stored, so that both sides read the same numbers.
+    places = settle(known.select(*spot).distinct().withColumn("_place", F.monotonically_increasing_id()))
+    there = sections.join(known.join(places, spot).select("id_local_votacao", "_place").distinct(), "id_local_votacao")
+    if principal is not None:
+        there = there.join(principal.distinct(), ["cd_municipio_tse", "nr_zona", "nr_secao"], "left_semi")
+    return (rows.join(places.drop("uf"), ["municipio", "zona", "local"])
+            .join(there.select("_place", F.col("nr_secao").alias("secao"), *contest), ["_place", "secao", *contest], "left_semi")
+            .drop("_place"))
 
 
 def live_results(rows: DataFrame, contest: Sequence[str] = ("cargo",)) -> DataFrame:

@@ -257,8 +257,9 @@ def config_documents(s):
 
 
 def principal(s):
-    return O.sections(config_documents(s)).select(
-        F.col("municipio").alias("cd_municipio_tse"), F.col("zona").cast("int").alias("nr_zona"), F.col("secao").cast("int").alias("nr_secao"))
+    """Stored, so that the planner knows how few they are and leaves the register where it lies."""
+    return settle(O.sections(config_documents(s)).select(
+        F.col("municipio").alias("cd_municipio_tse"), F.col("zona").cast("int").alias("nr_zona"), F.col("secao").cast("int").alias("nr_secao")))
 
 
 ELECTION = ["ano_eleicao", "turno"]
@@ -269,6 +270,11 @@ def mapped(s):
     return L.section_map(sections(s), mapping, regions, principal(s), ELECTION)
 
 
+def placed(s):
+    regions, mapping = mesh(s)
+    return L.register_votes(section_rows(s), sections(s), mapping, regions, principal(s), ELECTION)
+
+
 SECTION_MAP = dict(
     **MESH, section=SECTION,
     section_map="""SELECT DISTINCT r.cd_municipio_ibge, LOWER(s.sg_uf) AS uf, s.cd_municipio_tse, m.id_regiao, CAST(nr_zona AS BIGINT) AS nr_zona,
@@ -593,7 +599,7 @@ QUERIES = {
         """SELECT COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 <> 0) AS mapeadas, COUNT(*) FILTER (id_regiao % 4 = 0) AS fora_da_malha,
                   COUNT(*) FILTER (id_regiao % 4 <> 0 AND nr_secao % 10 = 0) AS agregadas FROM {section} JOIN {mapping} USING (id_local_votacao)""", **MESH, section=SECTION),
     "live_results": query(
-        lambda s: tidy(L.live_shares(L.live_results(L.live_votes(section_rows(s), settle(mapped(s)), ELECTION), CONTEST), CONTEST)),
+        lambda s: tidy(L.live_shares(L.live_results(placed(s), CONTEST), CONTEST)),
         f"""SELECT id_regiao, ano_eleicao, turno, CAST(cargo AS BIGINT) AS cargo, tipo, numero, votos, validos, comparecimento,
                    CASE WHEN tipo IN ('nominal', 'legenda') THEN {pct_sql('votos', 'validos')} ELSE {pct_sql('votos', 'comparecimento')} END AS pct
             FROM (SELECT *, CAST(SUM(votos) FILTER (tipo IN ('nominal', 'legenda')) OVER w AS BIGINT) AS validos, CAST(SUM(votos) OVER w AS BIGINT) AS comparecimento FROM
