@@ -80,9 +80,10 @@ def register_votes(rows: DataFrame, sections: DataFrame, mapping: DataFrame, reg
     known = mapping.join(regions.select("id_regiao"), "id_regiao", "left_semi").select(
         key, F.lower(text.key_part(key, 0)).alias("uf"), text.key_part(key, 1).alias("municipio"),
         text.key_part(key, 2).cast("int").alias("zona"), text.key_part(key, 3).cast("int").alias("local"), "id_regiao")
-    # Stored, so that both sides read the same numbers.
+    # Stored, so that both sides read the same numbers and the planner knows how few they are.
     places = settle(known.select(*spot).distinct().withColumn("_place", F.monotonically_increasing_id()))
-    there = sections.join(known.join(places, spot).select("id_local_votacao", "_place").distinct(), "id_local_votacao")
+    numbered = settle(known.join(places, spot).select("id_local_votacao", "_place").distinct())
+    there = sections.join(numbered, "id_local_votacao")
     if principal is not None:
         there = there.join(principal.distinct(), ["cd_municipio_tse", "nr_zona", "nr_secao"], "left_semi")
     return (rows.join(places.drop("uf"), ["municipio", "zona", "local"])
