@@ -1,11 +1,12 @@
 """Nearest neighbour inside a group, exact, without comparing all pairs.
 
 Groups of few targets are short lists, joined to the query rows. The targets of other
-groups lie in tiles: runs of bounded length along a Z curve. A query point is first sent to
-the tile whose box is nearest, which gives a real target and its distance; then to those other
-tiles whose box is not farther than that, mostly none. Inside a tile, points and boxes of
-points are searched by the same two steps. So a point far from all targets costs no more than
-one amid them, and the work grows with the queries, times the depth of the tree.
+groups lie in tiles of bounded number: slabs along x, each cut along y, so that their boxes
+meet at edges only. A query point is first sent to the tile whose box is nearest, which gives
+a real target and its distance; then to those other tiles whose box is not farther than that,
+mostly none. Inside a tile, points and boxes of points are searched by the same two steps. So
+a point far from all targets costs no more than one amid them, and the work grows with the
+queries, times the depth of the tree.
 
 Only the boxes of the tiles of groups with several tiles (one row for some thousand targets)
 pass through the driver. A tile that many query points ask is met by them in chunks. The
@@ -15,31 +16,27 @@ to a point in it, so pruning cannot lose a neighbour to rounding.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshtally.operators.ordered import ordinal
 from meshtally.session import settle
 
-DEPTH = 30             # finest grid of the Z curve: the square's side / 2^30
 LEAF_TARGETS = 128     # where no group has more targets, each is one short list
 TILE = 16              # targets of a tile, in times that
-NODE = 16              # boxes in a node of a search tree
+BLOCKS = 4096          # parts along x that are ordered apart
+NODE = 8               # boxes in a node of a search tree
 CHUNK = 200_000        # query points that meet a tile in one task
-SLICE = 4096           # query points searched at once
+TASK = 20_000          # fewest query points for which another task is worth while
+SLICE = 2048           # query points searched at once
 BROADCAST_CANDIDATES = 1_000_000   # about 40 MB of lists; beyond it, a shuffled join
 
 
-def _cell(c: Column, low: float, side: float) -> Column:
-    """Grid coordinate at full depth, kept inside the square."""
-    raw = F.floor((c - F.lit(low)) / F.lit(side) * F.lit(float(2 ** DEPTH))).cast("bigint")
-    return F.greatest(F.lit(0), F.least(F.lit(2 ** DEPTH - 1), raw)).cast("bigint")
-
-
 # The masks that spread 32 bits over the even bits of 64.
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333),
            (1, 0x5555555555555555))
@@ -90,72 +87,83 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
                  F.to_json(F.array(*[F.col(c).cast("string") for c in g])))
     goal = _tiled(goal.select(key.alias("_g"), "_tx", "_ty", "_tid"), TILE * leaf_targets)
     placed = queries.select("*", key.alias("_g"), qx.alias("_qx"), qy.alias("_qy"))
-    point = ["_g", "_qx", "_qy"]
+    point = ["_qx", "_qy", "_g"]  # numbers sort faster than names
     asked = placed.select(*point).dropna().distinct()  # each question once
     boxes = _boxes(goal)
-    near = settle(_met(settle(_homes(asked, boxes)), goal))
-    if boxes:
-        near = near.unionByName(settle(_met(settle(_others(near, boxes)), goal)))
-    best = near.groupBy(*point).agg(F.min(F.struct("_d2", "_tid")).alias("_best"))
-    return placed.join(best, point, "left").select(
-        *[F.col(c) for c in queries.columns], F.col("_best._tid").alias(target_id), F.sqrt("_best._d2").alias(distance))
+    near = _met(settle(_homes(asked, boxes)), goal)
+    best = F.struct("_d2", "_tid")
+    if not boxes:
+        found = placed.join(near.select(*point, best.alias("_best")), point, "left")
+    else:
+        near = settle(_with_others(near, boxes))
+        others = near.select("_g", "_qx", "_qy", F.explode("_others").alias("_tile"), F.col("_d2").alias("_limit"))
+        second = _met(settle(others), goal).groupBy(*point).agg(F.min(best).alias("_second"))
+        found = (placed.join(near.select(*point, best.alias("_first")), point, "left").join(second, point, "left")
+                 .withColumn("_best", F.least("_first", "_second")))
+    return found.select(*[F.col(c) for c in queries.columns], F.col("_best._tid").alias(target_id),
+                        F.sqrt("_best._d2").alias(distance))
 
 
 def _tiled(goal: DataFrame, tile: int) -> DataFrame:
-    """Targets with their Z key and the number of their tile: runs of at most `tile` along the curve."""
-    box = goal.agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty")).first()
-    side = max(box[1] - box[0], box[3] - box[2], 1e-9) * (1 + 1e-9)
-    rows = goal.withColumn("_z", morton(_cell(F.col("_tx"), box[0], side), _cell(F.col("_ty"), box[2], side)))
-    sizes = goal.groupBy("_g").agg(F.count("*").alias("_size"))
-    rows = settle(rows.join(sizes, "_g"))
-    several = ordinal(rows.where(F.col("_size") > tile), ["_g"], ["_z", "_tx", "_ty"], F.shiftright("_z", 2 * (DEPTH - 8)), out="_at")
-    one = rows.where(F.col("_size") <= tile).withColumn("_at", F.lit(0).cast("bigint"))
-    return settle(several.unionByName(one).withColumn("_tile", F.floor(F.col("_at") / tile).cast("bigint")).drop("_at"))
-
-
-def _boxes(goal: DataFrame) -> dict[str, list[np.ndarray]]:
+    """Targets with the number of their tile, of at most `tile` of them, and their rank in it by id."""
+    sizes = goal.groupBy("_g").agg(F.count("*").alias("_size"), F.min("_tx").alias("_low"), F.max("_tx").alias("_high"))
+    rows = settle(goal.join(sizes, "_g"))
+    one = rows.where(F.col("_size") <= tile).withColumn("_tile", F.lit(0).cast("bigint"))
+    part = F.floor((F.col("_tx") - F.col("_low")) / F.greatest(F.col("_high") - F.col("_low"), F.lit(1e-9)) * F.lit(BLOCKS))
+    across = F.ceil(F.sqrt(F.col("_size") / F.lit(tile)))  # full tiles in a slab
+    several = ordinal(rows.where(F.col("_size") > tile), ["_g"], ["_tx", "_ty"], part, out="_at")
+    several = several.withColumn("_slab", F.floor(F.col("_at") / (across * tile)))
+    up = F.row_number().over(Window.partitionBy("_g", "_slab").orderBy("_ty", "_tx"))
+    several = several.withColumn("_tile", (F.col("_slab") * across + F.floor((up - 1) / tile)).cast("bigint"))
+    tiles = several.drop("_at", "_slab").unionByName(one).drop("_low", "_high")
+    return settle(tiles.withColumn("_rank", F.row_number().over(Window.partitionBy("_g", "_tile").orderBy("_tid"))))
+
+
+def _boxes(goal: DataFrame) -> dict[str, Tree]:
     """Search trees over the boxes of the tiles, for the groups that have several."""
     rows = (goal.groupBy("_g", "_tile").agg(F.min("_tx"), F.max("_tx"), F.min("_ty"), F.max("_ty"), F.max("_size").alias("_size"), F.count("*").alias("_c"))
             .where("_c < _size").drop("_size", "_c").orderBy("_g", "_tile").toPandas())
-    return {name: _tree(part.iloc[:, 2:].to_numpy(float).T, NODE) for name, part in rows.groupby("_g", sort=False)}
+    return {name: Tree(part.iloc[:, 2:].to_numpy(float).T, NODE) for name, part in rows.groupby("_g", sort=False)}
 
 
-def _homes(asked: DataFrame, boxes: dict[str, list[np.ndarray]]) -> DataFrame:
+def _homes(asked: DataFrame, boxes: dict[str, Tree]) -> DataFrame:
     """Query points with the tile of the nearest box, and no limit yet."""
-    node = NODE
-
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, home = np.asarray(batch["_qx"]), np.asarray(batch["_qy"]), np.zeros(batch.num_rows, np.int64)
             for rows, tree in _of_groups(batch, boxes):
-                home[rows] = _first(tree, node, x[rows], y[rows])
+                row, tile, _ = _closest_in(tree, x[rows], y[rows], np.full(len(rows), np.inf))
+                first = _starts(row)
+                home[rows[row[first]]] = tile[first]
             yield pa.RecordBatch.from_arrays([batch["_g"], batch["_qx"], batch["_qy"], pa.array(home), pa.array(np.full(len(home), np.inf))], names=_ASKED)
 
     return asked.select("_g", "_qx", "_qy").mapInArrow(homes, _ASKED_TYPE)
 
 
-def _others(near: DataFrame, boxes: dict[str, list[np.ndarray]]) -> DataFrame:
-    """Query points with each other tile whose box is not farther than the target found."""
-    node = NODE
-
+def _with_others(near: DataFrame, boxes: dict[str, Tree]) -> DataFrame:
+    """Query points with the other tiles whose box is not farther than the target found."""
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, d2, home = (np.asarray(batch[c]) for c in ("_qx", "_qy", "_d2", "_tile"))
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for rows, tree in _of_groups(batch, boxes):
-                row, tile, _ = _within(tree, node, x[rows], y[rows], d2[rows])
+                row, tile, _ = _within(tree, x[rows], y[rows], d2[rows])
                 away = tile != home[rows][row]
-                row, tile = rows[row[away]], tile[away]
-                yield pa.RecordBatch.from_arrays([batch["_g"].take(pa.array(row)), pa.array(x[row]), pa.array(y[row]), pa.array(tile), pa.array(d2[row])], names=_ASKED)
+                found.append((rows[row[away]], tile[away]))
+            row, tile = (np.concatenate(part) for part in zip(*found))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tile[np.argsort(row, kind="stable")]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "_others"])
 
-    # Tied targets of a point ask once.
-    return near.groupBy("_g", "_qx", "_qy", "_tile").agg(F.min("_d2").alias("_d2")).mapInArrow(others, _ASKED_TYPE)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in near.schema)
+    return near.mapInArrow(others, f"{kinds}, _others array<bigint>")
 
 
 _ASKED = ["_g", "_qx", "_qy", "_tile", "_limit"]
 _ASKED_TYPE = "_g string, _qx double, _qy double, _tile bigint, _limit double"
 
 
-def _of_groups(batch: pa.RecordBatch, boxes: dict[str, list[np.ndarray]]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+def _of_groups(batch: pa.RecordBatch, boxes: dict[str, Tree]) -> Iterator[tuple[np.ndarray, Tree]]:
     """Rows of a batch by slices of one group, with the tree of its tiles; groups of one tile are left out."""
     names = batch["_g"].dictionary_encode()
     codes = np.asarray(names.indices)
@@ -167,78 +175,113 @@ def _of_groups(batch: pa.RecordBatch, boxes: dict[str, list[np.ndarray]]) -> Ite
 
 
 def _met(asked: DataFrame, goal: DataFrame) -> DataFrame:
-    """Points with the targets of the asked tile that are nearest, and not beyond the limit: all that tie."""
-    node, keys = NODE, ["_g", "_tile", "_chunk"]
+    """Points with the target of the asked tile that is nearest, and not beyond the limit; of those that tie, the smallest id."""
+    node, keys = NODE, ["_key", "_g", "_tile", "_chunk"]
     hot = settle(asked.groupBy("_g", "_tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_k")).where("_k > 1"))
     chunks = F.coalesce("_k", F.lit(1))
+    key = F.xxhash64("_g", "_tile", "_chunk").alias("_key")  # sorts by one number first
+    rows = asked.count()
+    parts = max(1, min(rows // TASK, max(3 * asked.sparkSession.sparkContext.defaultParallelism, rows // CHUNK)))
     points = (asked.join(F.broadcast(hot), ["_g", "_tile"], "left")
-              .select(*_ASKED, F.pmod(F.xxhash64("_qx", "_qy"), chunks).cast("int").alias("_chunk")))
+              .withColumn("_chunk", F.pmod(F.xxhash64("_qx", "_qy"), chunks).cast("int")).select(key, "_chunk", *_ASKED))
     tiles = (goal.join(F.broadcast(hot), ["_g", "_tile"], "left")
-             .select("_g", "_tile", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"), "_tx", "_ty", "_tid", "_z"))
+             .withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+             .select(key, "_chunk", "_g", "_tile", "_tx", "_ty", "_tid", "_rank"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("_z")
-        tx, ty = (right[c].to_numpy() for c in ("_tx", "_ty"))
+        order = _side_by_side(right["_tx"].to_numpy(), right["_ty"].to_numpy(), node)
+        tx, ty, rank = (right[c].to_numpy()[order] for c in ("_tx", "_ty", "_rank"))
         x, y, limit = (left[c].to_numpy() for c in ("_qx", "_qy", "_limit"))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        tree = _tree(np.stack([tx, tx, ty, ty]), node) if len(tx) else []
+        tree = Tree(np.stack([tx, tx, ty, ty]), node) if len(tx) else None
         for at in range(0, len(x) if tree else 0, SLICE):
             some = slice(at, at + SLICE)
-            row, item, d2 = _closest_in(tree, node, x[some], y[some], limit[some])
-            found.append((row + at, item, d2))
+            row, item, d2 = _closest_in(tree, x[some], y[some], limit[some])
+            least = rank[item] == _per_row(np.minimum, row, rank[item])
+            found.append((row[least] + at, item[least], d2[least]))
         row, item, d2 = (np.concatenate(part) for part in zip(*found))
         asked_rows = left.select(["_g", "_qx", "_qy", "_tile"]).take(pa.array(row))
-        return asked_rows.append_column("_d2", pa.array(d2)).append_column("_tid", right["_tid"].take(pa.array(item)))
+        return asked_rows.append_column("_d2", pa.array(d2)).append_column("_tid", right["_tid"].take(pa.array(order[item])))
 
     out = f"_g string, _qx double, _qy double, _tile bigint, _d2 double, _tid {goal.schema['_tid'].dataType.simpleString()}"
-    return points.groupBy(*keys).cogroup(tiles.groupBy(*keys)).applyInArrow(meet, out)
+    points, tiles = (side.repartition(parts, *keys).groupBy(*keys) for side in (points, tiles))
+    return points.cogroup(tiles).applyInArrow(meet, out)
+
+
+def _side_by_side(x: np.ndarray, y: np.ndarray, node: int) -> np.ndarray:
+    """Order of points by slabs along x, and along y in each: every `node` of them lie close."""
+    slab = np.empty(len(x), np.int64)
+    slab[np.lexsort((y, x))] = np.arange(len(x)) // (math.ceil(math.sqrt(len(x) / node)) * node or 1)
+    return np.lexsort((x, y, slab))
+
 
+class Tree:
+    """Boxes (least and most x, least and most y) in order, and levels of boxes around `node` of them each.
 
-def _tree(boxes: np.ndarray, node: int) -> list[np.ndarray]:
-    """Boxes (least and most x, least and most y) in order, and levels of boxes around `node` of them each."""
-    levels = [boxes]
-    while levels[-1].shape[1] > node:
-        at = np.arange(0, levels[-1].shape[1], node)
-        levels.append(np.stack([f.reduceat(b, at) for f, b in zip((np.minimum, np.maximum) * 2, levels[-1])]))
-    return levels
+    A level has rows of `node` boxes, the last one filled up with boxes that are infinitely far.
+    """
+
+    def __init__(self, boxes: np.ndarray, node: int) -> None:
+        self.node, self.levels, self.counts = node, [], []
+        while True:
+            self.counts.append(boxes.shape[1])
+            fill = ((0, 0), (0, -boxes.shape[1] % node))
+            self.levels.append(np.pad(boxes, fill, constant_values=np.inf).reshape(4, -1, node))
+            if boxes.shape[1] <= node:
+                break
+            rows = np.pad(boxes, fill, mode="edge").reshape(4, -1, node)
+            boxes = np.stack([f(b, axis=1) for f, b in zip((np.min, np.max) * 2, rows)])
+
+    def down(self) -> Iterator[tuple[np.ndarray, int]]:
+        """Levels and their numbers of boxes, from the top."""
+        return zip(reversed(self.levels), reversed(self.counts))
 
 
 def _least(boxes: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared distance from points to boxes; to a point, the distance as it is."""
+    """Squared distance from points to the boxes of a row each; to a point, the distance as it is."""
+    x, y = x[:, None], y[:, None]
     dx = np.maximum(np.maximum(boxes[0][at] - x, x - boxes[1][at]), 0.0)
     dy = np.maximum(np.maximum(boxes[2][at] - y, y - boxes[3][at]), 0.0)
     return dx * dx + dy * dy
 
 
-def _first(tree: list[np.ndarray], node: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """For each point one box of the bottom, by the nearest box of each level: near, not always nearest."""
+def _starts(row: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.diff(row, prepend=-1))
+
+
+def _per_row(f: np.ufunc, row: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """At each value, what `f` makes of all values of its row; rows ascend."""
+    starts = _starts(row)
+    return np.repeat(f.reduceat(values, starts), np.diff(starts, append=len(row))) if len(row) else values
+
+
+def _first(tree: Tree, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distance of each point to one box of the bottom, by the nearest box of each level: near, not always nearest."""
     at = np.zeros(len(x), np.int64)
-    for boxes in reversed(tree):
-        below = np.minimum(at[:, None] * node + np.arange(node), boxes.shape[1] - 1)
-        at = below[np.arange(len(x)), np.argmin(_least(boxes, below, x[:, None], y[:, None]), axis=1)]
-    return at
+    for boxes, count in tree.down():
+        d2 = _least(boxes, at, x, y)
+        best = np.minimum(np.argmin(d2, axis=1), count - 1 - at * tree.node)
+        at = at * tree.node + best
+    return d2[np.arange(len(x)), best]
 
 
-def _within(tree: list[np.ndarray], node: int, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
-    """All pairs of a point and a box of the bottom not beyond the point's limit, with the squared distance."""
+def _within(tree: Tree, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All pairs of a point and a box of the bottom not beyond the point's limit, with the squared distance; points ascend."""
     row, at, d2 = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
-    for boxes in reversed(tree):
-        row, at = np.repeat(row, node), (at[:, None] * node + np.arange(node)).ravel()
-        there = at < boxes.shape[1]
-        row, at = row[there], at[there]
+    for boxes, count in tree.down():
         d2 = _least(boxes, at, x[row], y[row])
-        near = d2 <= limit[row]
-        row, at, d2 = row[near], at[near], d2[near]
+        some, box = np.nonzero(d2 <= limit[row][:, None])
+        row, at, d2 = row[some], at[some] * tree.node + box, d2[some, box]
+        if np.isinf(d2).any():  # not the boxes that fill up a row
+            row, at, d2 = (v[at < count] for v in (row, at, d2))
     return row, at, d2
 
 
-def _closest_in(tree: list[np.ndarray], node: int, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Pairs of each point and the items nearest to it, ties included, not beyond the limit."""
-    some = _first(tree, node, x, y)
-    row, at, d2 = _within(tree, node, x, y, np.minimum(limit, _least(tree[0], some, x, y)))
-    best = np.full(len(x), np.inf)
-    np.minimum.at(best, row, d2)
-    tied = d2 == best[row]
+def _closest_in(tree: Tree, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs of each point and the items nearest to it, ties included, not beyond the limit; points ascend."""
+    row, at, d2 = _within(tree, x, y, np.minimum(limit, _first(tree, x, y)))
+    tied = d2 == _per_row(np.minimum, row, d2)
     return row[tied], at[tied], d2[tied]
 
 

@@ -225,3 +225,21 @@ def test_nearest_of_far_points_over_many_tiles(spark, monkeypatch):
         near = min((((q.x - x) ** 2 + (q.y - y) ** 2, t) for g, x, y, t in spots if g == q.g), default=None)
         assert found[q.q] == ((near[1], math.sqrt(near[0])) if near else (None, None))
     assert len(met) == 2 and met[1] < 20 * met[0]
+
+
+def test_nearest_asks_few_other_tiles(spark, monkeypatch):
+    """Points far from a dense band, or amid a sparse field, ask hardly more than the tile of the nearest box."""
+    targets = spark.range(9000).selectExpr("id AS t", "1 AS g", "CAST(id * 7919 % 10007 AS DOUBLE) / 10 AS x",
+                                           "CAST(id * 104729 % IF(id % 3 = 0, 97, 8009) AS DOUBLE) / 10 AS y")
+    queries = spark.range(3000).selectExpr("id AS q", "1 AS g", "CAST(id % 1500 * 613 % 10007 AS DOUBLE) / 10 AS x",
+                                           "CAST(id % 1500 * 1013 % 10009 AS DOUBLE) / 10 - 200 AS y")
+    met = []
+    real = nearest._met
+    monkeypatch.setattr(nearest, "_met", lambda asked, goal: met.append(asked.count()) or real(asked, goal))
+    got = nearest.nearest_in_group(queries, targets, ["g"], ("x", "y"), ("x", "y"), "t", "d", leaf_targets=8)
+    found = {r.q: (r.t, r.d) for r in got.collect()}
+    spots = targets.orderBy("t").toPandas()
+    for q in queries.where("q < 1500").collect():
+        d2 = ((q.x - spots.x) ** 2 + (q.y - spots.y) ** 2).to_numpy()
+        assert found[q.q] == found[q.q + 1500] == (d2.argmin(), math.sqrt(d2.min()))
+    assert len(found) == 3000 and len(met) == 2 and met[1] < met[0] / 2
