@@ -83,12 +83,13 @@ def nearest_in_group(queries: DataFrame, targets: DataFrame, group: Sequence[str
                             F.sqrt("_best.d2").alias(distance))
 
     # One text names a group; it is null where a part of it is, which matches nothing.
-    key = F.when(F.concat(*[F.col(c).cast("string") for c in g]).isNotNull(),
-                 F.to_json(F.array(*[F.col(c).cast("string") for c in g])))
+    names = [F.col(c).cast("string") for c in g]
+    key = names[0] if len(g) == 1 else F.when(F.concat(*names).isNotNull(), F.to_json(F.array(*names)))
     goal = _tiled(goal.select(key.alias("_g"), "_tx", "_ty", "_tid"), TILE * leaf_targets)
-    placed = queries.select("*", key.alias("_g"), qx.alias("_qx"), qy.alias("_qy"))
+    zero = F.lit(0.0)  # added, it makes one number of 0 and -0
+    placed = queries.select("*", key.alias("_g"), (qx + zero).alias("_qx"), (qy + zero).alias("_qy"))
     point = ["_qx", "_qy", "_g"]  # numbers sort faster than names
-    asked = placed.select(*point).dropna().distinct()  # each question once
+    asked = placed.select(*point).dropna()
     boxes = _boxes(goal)
     near = _met(settle(_homes(asked, boxes)), goal)
     best = F.struct("_d2", "_tid")
@@ -127,9 +128,10 @@ def _boxes(goal: DataFrame) -> dict[str, Tree]:
 
 
 def _homes(asked: DataFrame, boxes: dict[str, Tree]) -> DataFrame:
-    """Query points with the tile of the nearest box, and no limit yet."""
+    """Query points, once in a batch, with the tile of the nearest box, and no limit yet."""
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.take(pa.array(_once(batch["_g"].dictionary_encode().indices, batch["_qx"], batch["_qy"])))
             x, y, home = np.asarray(batch["_qx"]), np.asarray(batch["_qy"]), np.zeros(batch.num_rows, np.int64)
             for rows, tree in _of_groups(batch, boxes):
                 row, tile, _ = _closest_in(tree, x[rows], y[rows], np.full(len(rows), np.inf))
@@ -175,7 +177,7 @@ def _of_groups(batch: pa.RecordBatch, boxes: dict[str, Tree]) -> Iterator[tuple[
 
 
 def _met(asked: DataFrame, goal: DataFrame) -> DataFrame:
-    """Points with the target of the asked tile that is nearest, and not beyond the limit; of those that tie, the smallest id."""
+    """Points, each once, with the target of the asked tile that is nearest, and not beyond the limit; of those that tie, the smallest id."""
     node, keys = NODE, ["_key", "_g", "_tile", "_chunk"]
     hot = settle(asked.groupBy("_g", "_tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_k")).where("_k > 1"))
     chunks = F.coalesce("_k", F.lit(1))
@@ -189,6 +191,7 @@ def _met(asked: DataFrame, goal: DataFrame) -> DataFrame:
              .select(key, "_chunk", "_g", "_tile", "_tx", "_ty", "_tid", "_rank"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.take(pa.array(_once(left["_qx"], left["_qy"])))
         order = _side_by_side(right["_tx"].to_numpy(), right["_ty"].to_numpy(), node)
         tx, ty, rank = (right[c].to_numpy()[order] for c in ("_tx", "_ty", "_rank"))
         x, y, limit = (left[c].to_numpy() for c in ("_qx", "_qy", "_limit"))
@@ -208,6 +211,15 @@ def _met(asked: DataFrame, goal: DataFrame) -> DataFrame:
     return points.cogroup(tiles).applyInArrow(meet, out)
 
 
+def _once(*columns: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Where each combination of numbers stands first, in their order."""
+    columns = [np.asarray(c) for c in columns]
+    order = np.lexsort(columns[::-1])
+    if not len(order):
+        return order
+    return order[np.concatenate([[True], np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])])]
+
+
 def _side_by_side(x: np.ndarray, y: np.ndarray, node: int) -> np.ndarray:
     """Order of points by slabs along x, and along y in each: every `node` of them lie close."""
     slab = np.empty(len(x), np.int64)

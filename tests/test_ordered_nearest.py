@@ -243,3 +243,13 @@ def test_nearest_asks_few_other_tiles(spark, monkeypatch):
         d2 = ((q.x - spots.x) ** 2 + (q.y - spots.y) ** 2).to_numpy()
         assert found[q.q] == found[q.q + 1500] == (d2.argmin(), math.sqrt(d2.min()))
     assert len(found) == 3000 and len(met) == 2 and met[1] < met[0] / 2
+
+
+def test_nearest_of_repeated_and_extreme_points(spark, monkeypatch):
+    """Each row is answered once, whether its point is repeated over tasks, signed zero or infinite."""
+    monkeypatch.setattr(nearest, "CHUNK", 20)
+    targets = spark.range(1000).selectExpr("id AS t", "1 AS g", "CAST(id % 40 AS DOUBLE) - 20 AS x", "CAST(id DIV 40 AS DOUBLE) AS y")
+    queries = spark.range(0, 300, 1, 6).selectExpr("id AS q", "1 AS g", """CASE id % 3 WHEN 0 THEN -0.0D WHEN 1 THEN 0.0D ELSE DOUBLE('Infinity') END AS x""",
+                                                   "-0.5D AS y")
+    got = nearest.nearest_in_group(queries, targets, ["g"], ("x", "y"), ("x", "y"), "t", "d", leaf_targets=3).collect()
+    assert sorted((r.q, r.t, r.d) for r in got) == [(q, 0, math.inf) if q % 3 == 2 else (q, 20, .5) for q in range(300)]
